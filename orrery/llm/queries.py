@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .shards import op2_shards
 from .token_files import op1_token_files
+from .warc import op3_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
+        "op2_shards": op2_shards,
+        "op3_warc": op3_warc,
     }
 
 
