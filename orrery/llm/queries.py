@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .quality import op8_quality
 from .shards import op2_shards
 from .token_files import op1_token_files
 from .warc import op3_warc
@@ -16,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_files": op1_token_files,
         "op2_shards": op2_shards,
         "op3_warc": op3_warc,
+        "op8_quality": op8_quality,
     }
 
 
