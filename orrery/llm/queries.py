@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .quality import op8_quality
 from .shards import op2_shards
 from .token_files import op1_token_files
+from .toxicity import op6_toxicity
 from .warc import op3_warc
 
 
@@ -17,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_files": op1_token_files,
         "op2_shards": op2_shards,
         "op3_warc": op3_warc,
+        "op6_toxicity": op6_toxicity,
         "op8_quality": op8_quality,
     }
 
