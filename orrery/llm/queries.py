@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .fingerprints import op10_fingerprints
 from .quality import op8_quality
 from .shards import op2_shards
 from .token_files import op1_token_files
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_warc": op3_warc,
         "op6_toxicity": op6_toxicity,
         "op8_quality": op8_quality,
+        "op10_fingerprints": op10_fingerprints,
     }
 
 
