@@ -54,31 +54,50 @@ class _Words(dict):
 
 
 class Encoder:
-    """Encodes whole texts with a byte-level BPE of the tokenizers library, each distinct word once.
+    """Encodes whole texts with a byte-level BPE of the tokenizers library, each distinct pre-token once.
 
     The pre-tokenizer of such a vocabulary always cuts before a single space between two characters that are not white
-    space, and what lies between two such cuts is encoded by itself. So a text is split there and the ids of the parts are
-    joined. Texts in which a space stands beside other white space are encoded whole by the library.
+    space. So a text is split there, a part is cut into pre-tokens (at once where it is a word and a mark), and the library's
+    model encodes each of these. Texts in which a space stands beside other white space, or with white space other than
+    spaces and line feeds, are encoded whole by the library.
     """
 
-    _beside = re.compile(r"\s[ ]|[ ](?:\s|$)|^[ ]").search
+    _other = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+    #: Fixed value: the pattern of the byte-level pre-tokenizer.
+    _pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.type = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.first, self.later = _Words(self._encode, ""), _Words(self._encode, " ")
-
-    def _encode(self, text: str) -> bytes:
+        self.model, self.cut = self.tokenizer.model, regex.compile(self._pattern).findall
+        visible = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = str.maketrans({chr(b): c for c_ in range(0, 0x800) for b, c in zip(chr(c_).encode(), visible(chr(c_))[0][0], strict=True)})
+        self.first, self.later, self.known = _Words(self._part, ""), _Words(self._part, " "), _Words(self._pretoken, "")
+
+    def _pretoken(self, text: str) -> bytes:
+        return np.array([t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(self.letters))], self.type).tobytes()
+
+    def _part(self, text: str) -> bytes:
+        word = text[1:] if text[:1] == " " else text
+        if word.isalpha():
+            return self.known[text]
+        if word[-1:] in (".", ",") and word[:-1].isalpha():
+            return self.known[text[:-1]] + self.known[text[-1]]
+        return b"".join([self.known[x] for x in self.cut(text)])
+
+    def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
-        if self._beside(text):
-            return self._encode(text)
+        if "  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " " or self._other(text):
+            return self.whole(text)
         first, *rest = text.split(" ")
         return self.first[first] + b"".join(map(self.later.__getitem__, rest))
 
