@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import op4_decontamination
 from .fingerprints import op10_fingerprints
 from .quality import op8_quality
 from .shards import op2_shards
@@ -19,6 +20,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_files": op1_token_files,
         "op2_shards": op2_shards,
         "op3_warc": op3_warc,
+        "op4_decontamination": op4_decontamination,
         "op6_toxicity": op6_toxicity,
         "op8_quality": op8_quality,
         "op10_fingerprints": op10_fingerprints,
