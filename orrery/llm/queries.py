@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op4_decontamination
 from .fingerprints import op10_fingerprints
+from .pieces import op9_pieces
 from .quality import op8_quality
 from .shards import op2_shards
 from .token_files import op1_token_files
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_decontamination": op4_decontamination,
         "op6_toxicity": op6_toxicity,
         "op8_quality": op8_quality,
+        "op9_pieces": op9_pieces,
         "op10_fingerprints": op10_fingerprints,
     }
 
