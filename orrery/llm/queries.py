@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op4_decontamination
 from .fingerprints import op10_fingerprints
+from .languages import op5_languages
 from .pieces import op9_pieces
 from .quality import op8_quality
 from .shards import op2_shards
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_shards": op2_shards,
         "op3_warc": op3_warc,
         "op4_decontamination": op4_decontamination,
+        "op5_languages": op5_languages,
         "op6_toxicity": op6_toxicity,
         "op8_quality": op8_quality,
         "op9_pieces": op9_pieces,
