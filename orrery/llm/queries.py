@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op4_decontamination
 from .fingerprints import op10_fingerprints
+from .jaccard import op7_jaccard
 from .languages import op5_languages
 from .pieces import op9_pieces
 from .quality import op8_quality
@@ -25,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_decontamination": op4_decontamination,
         "op5_languages": op5_languages,
         "op6_toxicity": op6_toxicity,
+        "op7_jaccard": op7_jaccard,
         "op8_quality": op8_quality,
         "op9_pieces": op9_pieces,
         "op10_fingerprints": op10_fingerprints,
