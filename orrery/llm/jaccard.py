@@ -37,8 +37,9 @@ FRAGMENT, BATCH = 1_500_000, 1_500_000
 PARTS, ROUNDS = 4, 2
 #: Survivors whose ids are broadcast; beyond that they are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Jaccard distances in percent: what is within NEAR of a leader is done with it; two linked sets differ by less than 100 - PERCENT.
-NEAR, AROUND = 25, 35
+#: Jaccard distance in percent within which a class is done with a leader. By the triangle inequality what is linked to such a
+#: class lies around the leader, within NEAR and the links' own distance.
+NEAR = 25
 
 
 def least(n, percent: int = PERCENT):
@@ -201,14 +202,14 @@ def links_of(spark: SparkSession, cores: DataFrame, percent: int) -> DataFrame:
     prefix = F.slice("shared", 1, (F.col("n") - least_n + 1 - F.col("unique")).cast("int"))
     postings = cores.select(F.col("sig").alias("x"), F.col("n").alias("nx"), F.posexplode(prefix).alias("place", "hash"), "unique").withColumn("px", F.col("place") + F.col("unique")).drop("place", "unique")
     postings = written(spark, postings, "jaccard-postings")
-    links = spark.createDataFrame([], "x binary, y binary")
+    links, around_percent = spark.createDataFrame([], "x binary, y binary"), percent - NEAR
     for _ in range(ROUNDS):
         star = written(spark, stars(postings), "jaccard-stars")
-        pairs = star.filter(F.col("x") != F.col("y")).filter((F.col("nx") * 100 >= F.col("ny") * (100 - AROUND)) & (F.col("ny") * 100 >= F.col("nx") * (100 - AROUND))).select("x", "nx", "y", "ny").distinct()
+        pairs = star.filter(F.col("x") != F.col("y")).filter((F.col("nx") * 100 >= F.col("ny") * around_percent) & (F.col("ny") * 100 >= F.col("nx") * around_percent)).select("x", "nx", "y", "ny").distinct()
         compared = written(spark, overlaps(pairs, cores), "jaccard-compared")
         links = written(spark, links.union(compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), percent)).select("x", "y")), "jaccard-links")
         where = components(spark, cores, links)
-        around = compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), 100 - AROUND)).join(where.withColumnRenamed("sig", "x"), "x")
+        around = compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), around_percent)).join(where.withColumnRenamed("sig", "x"), "x")
         around = around.join(where.select(F.col("sig").alias("y"), F.col("component").alias("leads")), "y")
         open_ = around.filter("component != leads").select("y").distinct()
         near = around.join(open_, "y", "left_semi").select("x", "nx", "y", "component")
@@ -263,3 +264,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH, pe
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked by a Jaccard similarity of 0.9 or more of their 3-word shingles."""
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of `docs` whose doc_id isn't in `gone`: a broadcast while those are at most BROADCAST_ROWS, else a shuffle."""
+    gone = gone.select(F.col("doc_id").alias("gone id")).distinct()
+    side = F.broadcast(gone) if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else gone
+    return docs.join(side, F.col("doc_id") == F.col("gone id"), "left_anti")
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs`, with all their columns, less those whose component has a smaller doc_id. Rows without doc_id stay."""
+    found = written(spark, near_duplicates(spark, docs, width, percent), "jaccard-found")
+    return without(docs, found.filter("doc_id != component_id"))

@@ -173,10 +173,10 @@ def of_pages(pages: DataFrame) -> DataFrame:
     return pages.select(F.lit(None).cast("long").alias("doc_id"), F.col("page_id").cast("long").alias("page_id"), F.col("html").alias("text"), F.lit(True).alias("is_markup"), declared.alias("declared"), F.when(host != "", host).alias("host"))
 
 
-def confident(docs: DataFrame, labelled: DataFrame, least: float = CONFIDENCE) -> DataFrame:
-    """The rows of `docs` (unique doc_id), with all their columns, whose language has a posterior of `least` or more."""
-    found = identify(of_documents(docs), labelled, ["doc_id"])
-    return docs.join(found.filter(F.col("confidence") >= least).select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+def rejected(docs: DataFrame, labelled: DataFrame, least: float = CONFIDENCE) -> DataFrame:
+    """doc_id of rows of `docs` whose best language has a posterior below `least`, or that have no letter to judge by."""
+    found = identify(of_documents(docs.withColumn("source", F.col("source").cast("string"))), labelled, ["doc_id"]).filter(F.col("confidence") < least).select("doc_id")
+    return found.union(docs.filter(~F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))).select(F.col("doc_id").cast("long")))
 
 
 def op5_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
