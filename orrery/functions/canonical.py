@@ -7,6 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Metadata keys that belong to the document, not to the chunk.
 SET_KEYS = ("content_sha256", "document_id", "document_version_id", "source_name", "source_uri")
@@ -29,17 +30,17 @@ def canonical_text(value: object) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _is_object(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: parse_object(t) is not None)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _canonical(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if (x := parse_object(t)) is None else canonical_text(x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _stripped(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if (x := parse_object(t)) is None else canonical_text({k: v for k, v in x.items() if k not in SET_KEYS}))
 
