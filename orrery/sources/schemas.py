@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 
 def _schema(fields: str) -> T.StructType:
-    kinds = {"string": T.StringType(), "int": T.IntegerType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "strings": T.ArrayType(T.StringType(), False), "floats": T.ArrayType(T.FloatType(), False)}
+    kinds = {"string": T.StringType(), "int": T.IntegerType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "strings": T.ArrayType(T.StringType()), "floats": T.ArrayType(T.FloatType())}
     return T.StructType([T.StructField(n.rstrip("?"), kinds[k], n.endswith("?")) for n, k in (f.split(":") for f in fields.split())])
 
 
