@@ -73,7 +73,7 @@ def dot(a: Column, b: Column) -> Column:
 def cosine_distance(a: Column, b: Column) -> Column:
     """1 - cosine, in doubles from vectors of floats, within 0 and 2; null for a zero vector or unequal dimensions."""
     raw = 1 - F.try_divide(dot(a, b), F.sqrt(dot(a, a) * dot(b, b)))
-    return F.when(F.size(a) == F.size(b), F.greatest(F.lit(0.0), F.least(F.lit(2.0), raw)))
+    return F.when((F.size(a) == F.size(b)) & raw.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(2.0), raw)))
 
 
 def narrow(v: Column) -> Column:
