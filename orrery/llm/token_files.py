@@ -239,7 +239,7 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, with
     dictionaries = [bytes(r.content) for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.zdict").load(folder).select("content").collect()]
     if manifest.isEmpty():
         return spark.createDataFrame([], schema)
-    dictionary = dictionaries[0]
+    dictionary = dictionaries[0] if dictionaries else b""  # an empty file isn't listed
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
