@@ -33,5 +33,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+#: base32 in SQL: the digest's 160 bits, five at a time, as letters of its alphabet.
+WARC_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, CAST(unhex(sha1(h)) AS BIT)::VARCHAR AS bits, max(page_id) OVER (PARTITION BY h) AS kept FROM p)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(CAST(substr(bits, CAST(i * 5 + 1 AS BIGINT), 5) AS BIT) AS INTEGER), 1)), '') AS payload_digest,
+CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> kept THEN kept END AS refers_to FROM d"""
+
+JACCARD_SQL = """WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+u AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+l AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.g = b.g AND a.doc_id <> b.doc_id AND a.n * 100 >= b.n * 90 AND b.n * 100 >= a.n * 90 GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) * 100 >= (a.n + b.n - count(*)) * 90),
+r(a, b) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT s.doc_id, len(s.s) AS n_shingles, min(r.b) AS component_id FROM s JOIN r ON r.a = s.doc_id GROUP BY s.doc_id, s.s"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Scheduling through a heap, trained models, edit distances, Viterbi and the hashes of fingerprints aren't SQL's."""
+    return {"op3_warc": WARC_SQL, "op7_jaccard": JACCARD_SQL}
