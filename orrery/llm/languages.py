@@ -25,6 +25,8 @@ from .common import table, written
 
 #: Slots for hashed runs of three bytes; the bound of labelled rows for the text model; the weight of a long text in runs.
 SLOTS, SAMPLE, RUNS = 1 << 15, 4_000, 60
+#: Tasks that count the sample: each sends SLOTS sums a language to the driver.
+TASKS = 8
 #: Rows of its parent's prior that a host and a domain start with; pseudo-counts of a declared language or suffix.
 STRENGTH, PSEUDO = 8.0, 0.5
 #: A row whose best language has less than this posterior is rejected.
@@ -60,7 +62,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """
     known = docs.select("text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     picked = known.select(F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(SAMPLE)
-    sampled = known.join(F.broadcast(picked), F.xxhash64("text") == F.col("h"), "left_semi").dropDuplicates(["text"])
+    sampled = known.join(F.broadcast(picked), F.xxhash64("text") == F.col("h"), "left_semi").dropDuplicates(["text"]).coalesce(TASKS)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
