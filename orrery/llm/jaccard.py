@@ -32,7 +32,7 @@ WIDTH, PERCENT = 3, 90
 #: Shingles beyond the least prefix that step 1 looks at, as a share of the set: two linked sets share so many and one more.
 MORE = 0.05
 #: Shingles that a task counts, and that a message to it is made from.
-FRAGMENT, BATCH = 1_500_000, 1_500_000
+FRAGMENT, BATCH = 500_000, 500_000
 #: Fragments in which pairs are compared; leaders that a class is compared with before it is compared with the rest.
 PARTS, ROUNDS = 4, 2
 #: Survivors whose ids are broadcast; beyond that they are joined by a shuffle.
@@ -66,6 +66,7 @@ def shingle_sets(docs: DataFrame, width: int, percent: int, whole: bool) -> Data
                 ids = b.column("doc_id").slice(part.rows.start, part.docs)
                 sigs = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays([ids, pa.array(sigs, pa.binary()), pa.array(n), pa.array([s[:k].tobytes() for s, k in zip(sets, few, strict=True)], pa.binary())], names=["doc_id", "sig", "n", "hashes"])
+        tokens.release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "doc_id long, sig binary, n long, hashes binary")
 
@@ -100,6 +101,7 @@ def census(sets: DataFrame, fragments: int, percent: int, whole: bool) -> DataFr
             out = [(f, name, hashes[a:z].tobytes(), times[a:z].astype("<u4").tobytes(), None, None, None, None) for f, (a, z) in enumerate(zip(at, at[1:], strict=False)) if z > a]
             out.append((fragments + int(name[:8], 16) % fragments, name, hashes.tobytes() if whole else None, None, inverse.astype("<u4").tobytes(), np.array([len(p) // 8 for p in parts], "<u4").tobytes(), joined, np.array(rows.column("n").to_pylist(), "<u4").tobytes()))
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in out], schema)
+        tokens.release()
 
     def count(t: pa.Table) -> pa.Table:
         if t.column("times").null_count:  # batches' own rows pass

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -9,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; a longer text is worked on by itself, whole.
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -19,6 +20,13 @@ BYTE_HASH = _rng.integers(0, 1 << 64, 256, dtype=np.uint64)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def release() -> None:
+    """Gives freed memory back to the system at a task's end, as an idle worker keeps what it once had."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit (the finalizer of splitmix64)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
