@@ -175,12 +175,14 @@ def beside(near: DataFrame, cores: DataFrame, percent: int) -> DataFrame:
     full = near.join(a, "x").join(b, "y")
     full = full.select("x", "nx", "y", "component", F.size("hy").alias("whole"), F.array_except("hy", "hx").alias("missing"), F.array_except("hx", "hy").alias("extra"))
     of = lambda name, kind: F.transform(name, lambda h: F.struct(F.lit(kind).alias("kind"), h.alias("hash")))
-    rows = full.select("x", "nx", "y", "component", "whole", F.size("missing").alias("lost"), F.explode(F.concat(of("missing", 0), of("extra", 1))).alias("difference"))
-    other = rows.select("y", "difference", F.col("x").alias("x2"), F.col("nx").alias("nx2"), F.col("component").alias("component2"), F.col("lost").alias("lost2"))
+    rows = full.select("x", "nx", "y", "component", "whole", F.size("missing").alias("lost"), F.size("extra").alias("gained"), F.explode(F.concat(of("missing", 0), of("extra", 1))).alias("difference"))
+    other = rows.select("y", "difference", F.col("x").alias("x2"), F.col("nx").alias("nx2"), F.col("component").alias("component2"), F.col("lost").alias("lost2"), F.col("gained").alias("gained2"))
     n, m = F.col("nx"), F.col("nx2")
-    pairs = rows.join(other, ["y", "difference"]).filter((F.col("x") < F.col("x2")) & (F.col("component") != F.col("component2")) & (n * 100 >= m * percent) & (m * 100 >= n * percent))
+    base = F.col("whole") - F.col("lost") - F.col("lost2")
+    most = F.least("lost", "lost2") + F.least("gained", "gained2")  # no two classes have more differences in common
+    pairs = rows.join(other, ["y", "difference"]).filter((F.col("x") < F.col("x2")) & (F.col("component") != F.col("component2")) & linked(F.least(base + most, n, m), n, m, percent))
     same = pairs.groupBy("y", "x", "nx", "x2", "nx2", "whole", "lost", "lost2").agg(F.count("*").alias("same"))
-    return same.filter(linked(F.col("whole") - F.col("lost") - F.col("lost2") + F.col("same"), n, m, percent)).select("x", F.col("x2").alias("y"))
+    return same.filter(linked(base + F.col("same"), n, m, percent)).select("x", F.col("x2").alias("y"))
 
 
 def components(spark: SparkSession, nodes: DataFrame, links: DataFrame) -> DataFrame:
