@@ -16,11 +16,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import tokens
 from .common import table
 
 MARK = "▁"  # stands for a space in pieces
-#: Distinct words whose ids a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+#: Distinct words whose ids a worker remembers before it starts anew; letters of those it keeps between tasks.
+REMEMBERED, KEPT = 1_000_000, 6
 LOW = float("-inf")
 _span = re.compile(" +[^ ]*").findall
 
@@ -154,6 +155,14 @@ class Encoder:
         self.words, self.spans = _Spans(self.v, " "), _Spans(self.v, "")
         self.decoded = [self.v.bytes_of.get(i, b"") for i in range(max(self.v.bytes_of) + 1)]
 
+    def forget(self) -> None:
+        """At a task's end: what a later task is likely to meet again are short words; an idle worker keeps only those."""
+        for known in (self.words, self.spans):
+            short = {k: x for k, x in known.items() if len(k) <= KEPT}
+            known.clear()
+            known.update(short)
+        tokens.release()
+
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, "<u4")
@@ -202,6 +211,7 @@ def encoded(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataFra
                     yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
                     rows = []
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+        e.forget()
 
     names = [c.split()[0] for c in schema.split(", ")]
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(work, schema)
