@@ -186,12 +186,12 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def encoded(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, vocabulary: str, with_ids: bool = False, forget: bool = False) -> DataFrame:
     """doc_id, n_ids, ids_crc32 (of the ids as little-endian unsigned 32-bit integers), decoded_sha256 and round_trip (and ids).
 
     Whole texts are encoded and their ids decoded again; round_trip says whether that gives the text. A null text counts as
     empty and has no ids. Repeated rows are each encoded, a null doc_id stays, other columns are ignored, and an empty table
-    gives no rows.
+    gives no rows. forget: workers that go on with other operators drop most of their words after each task.
     """
     import hashlib
 
@@ -211,7 +211,8 @@ def encoded(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataFra
                     yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
                     rows = []
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
-        e.forget()
+        if forget:
+            e.forget()
 
     names = [c.split()[0] for c in schema.split(", ")]
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(work, schema)
