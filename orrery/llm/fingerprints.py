@@ -63,7 +63,9 @@ def densified(h: Column, bins: int = BINS, n: int = PROBES) -> Column:
 
             return F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), borrowed)
 
-        return F.when(F.size(m) == bins, m).otherwise(F.get(F.transform(F.array(by_bin), fill), 0))
+        # Longs are sorted as signed: the upper half of the bins comes first.
+        turned = F.concat(F.slice(m, bins // 2 + 1, bins // 2), F.slice(m, 1, bins // 2))
+        return F.when(F.size(m) == bins, turned).otherwise(F.get(F.transform(F.array(by_bin), fill), 0))
 
     sparse = F.get(F.transform(F.array(F.sort_array(h)), mins), 0)
     return F.get(F.transform(F.array(sparse), lambda m: F.when(F.size(m) == 0, m).otherwise(dense(m))), 0)

@@ -457,6 +457,23 @@ def test_densified_bins_borrow_alike(spark):
     assert near.mean() == pytest.approx(5 / 15, abs=0.04)
 
 
+def test_likeness_where_one_text_fills_all_bins(spark):
+    """Between 500 and 1,200 words one of two near copies may fill all bins and the other not; bins stand in one order all the same."""
+    pairs = []
+    for i in range(176):
+        words = [f"w{i}x{j}" for j in range(500 + 4 * i)]
+        pairs.append((i, " ".join(words), " ".join(words[:-100] + [f"o{i}x{j}" for j in range(100)]), len(words)))
+    filled = lambda c: F.size(F.array_distinct(F.transform(fingerprints.shingles(F.col(c)), lambda x: F.shiftrightunsigned(x, 57))))
+    bins = lambda c: F.transform(fingerprints.densified(fingerprints.shingles(F.col(c))), lambda x: F.shiftrightunsigned(x, 57))
+    near = fingerprints.likeness(fingerprints.fingerprint(F.col("a")), fingerprints.fingerprint(F.col("b")))
+    got = spark.createDataFrame(pairs, "k int, a string, b string, n int").select("n", near.alias("near"), filled("a").alias("fa"), filled("b").alias("fb"), bins("a").alias("bins")).collect()
+    assert sum((r.fa == 128) != (r.fb == 128) for r in got) >= 5
+    for r in got:
+        # 100 words changed at the end change 100 of the n - 4 shingles on either side.
+        assert r.near == pytest.approx((r.n - 104) / (r.n + 96), abs=0.2)
+        assert r.fa < 128 or list(r.bins) == list(range(128))
+
+
 def test_no_python_in_the_fingerprints_plan(spark, docs):
     plan = fingerprints.fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
