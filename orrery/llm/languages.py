@@ -3,6 +3,9 @@
 log P(language | row) = tempered log P(text | language) + log P(declared | language) + log P(suffix | language)
                         + log P(language | host), up to a constant.
 
+One class stands for the languages that nobody labelled: in its texts all runs are equally likely. A labelled language beats
+it only where the text has that language's runs more often than by chance, so confidence judges fit as well as rank.
+
 The last three come from grouped sums, over all rows, of what the texts alone say. The host's prior is smoothed towards its
 registered domain's and that towards the whole corpus', and leaves out what the row itself has added.
 """
@@ -29,6 +32,8 @@ SLOTS, SAMPLE, RUNS = 1 << 15, 4_000, 60
 TASKS = 8
 #: Rows of its parent's prior that a host and a domain start with; pseudo-counts of a declared language or suffix.
 STRENGTH, PSEUDO = 8.0, 0.5
+#: The class of texts in none of the labelled languages; the least share of a language's mass that is spread over all slots.
+UNKNOWN, SPREAD = "und", 0.1
 #: A row whose best language has less than this posterior is rejected.
 CONFIDENCE = 0.5
 
@@ -58,9 +63,12 @@ _GAPS[[b for b in range(128) if not chr(b).isalpha()]] = 32
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages, and log probabilities [slot, language], from at most SAMPLE rows (text, lang) of least hash of their text.
 
-    Only sums over slots leave the executors. Rows without a language teach nothing; without any, the only language is "und".
+    Among the languages is UNKNOWN, all slots of which are alike. Every other one spreads a share of its mass over all slots:
+    the same, so runs that no language has favour none of them, but for those known from few runs, which spread more (as if
+    SPREAD of each slot had been seen) and never as much as UNKNOWN. Only sums over slots leave the executors. Rows without a
+    language, or with UNKNOWN, teach nothing; without any other row UNKNOWN is the only language.
     """
-    known = docs.select("text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = docs.select("text", "lang").filter((F.col("lang") != UNKNOWN) & F.col("text").isNotNull())
     picked = known.select(F.xxhash64("text").alias("h")).distinct().orderBy("h").limit(SAMPLE)
     sampled = known.join(F.broadcast(picked), F.xxhash64("text") == F.col("h"), "left_semi").dropDuplicates(["text"]).coalesce(TASKS)
 
@@ -77,14 +85,13 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([n.astype("<i8").tobytes()], pa.binary())], names=["lang", "counts"])
 
     rows = sampled.mapInArrow(work, "lang string, counts binary").toPandas()
-    langs = sorted(set(rows["lang"]))
-    if not langs:
-        return ["und"], np.zeros((SLOTS, 1), np.float32)
+    langs = sorted({*rows["lang"], UNKNOWN})
     counts = np.zeros((SLOTS, len(langs)))
     for lang, n in zip(rows["lang"], rows["counts"], strict=True):
         counts[:, langs.index(lang)] += np.frombuffer(n, "<i8")
-    smooth = counts + 0.1
-    return langs, np.log(smooth / smooth.sum(0)).astype(np.float32)
+    total = counts.sum(0)
+    spread = np.maximum(SPREAD, SPREAD * SLOTS / (SPREAD * SLOTS + total))
+    return langs, np.log((1 - spread) * counts / np.maximum(total, 1) + spread / SLOTS).astype(np.float32)
 
 
 def likelihoods(rows: DataFrame, langs: list[str], table_: np.ndarray, keep: list[str]) -> DataFrame:
@@ -120,7 +127,8 @@ def identify(rows: DataFrame, labelled: DataFrame, keys: list[str]) -> DataFrame
 
     declared is a language tag or null, host a host name or null; either may be wrong. A null text counts as empty: then the
     other evidence decides, and without any the corpus' prior. Of equal posteriors the language first in the alphabet is
-    taken. Repeated rows have equal results; an empty table gives no rows.
+    taken. A text in none of the labelled languages has the language UNKNOWN. Repeated rows have equal results; an empty
+    table gives no rows.
     """
     spark = rows.sparkSession
     langs, logs = train(labelled)
@@ -176,8 +184,8 @@ def of_pages(pages: DataFrame) -> DataFrame:
 
 
 def rejected(docs: DataFrame, labelled: DataFrame, least: float = CONFIDENCE) -> DataFrame:
-    """doc_id of rows of `docs` whose best language has a posterior below `least`, or that have no letter to judge by."""
-    found = identify(of_documents(docs.withColumn("source", F.col("source").cast("string"))), labelled, ["doc_id"]).filter(F.col("confidence") < least).select("doc_id")
+    """doc_id of rows of `docs` in no labelled language, or whose best one has a posterior below `least`, or without a letter to judge by."""
+    found = identify(of_documents(docs.withColumn("source", F.col("source").cast("string"))), labelled, ["doc_id"]).filter((F.col("confidence") < least) | (F.col("lang") == UNKNOWN)).select("doc_id")
     return found.union(docs.filter(~F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False))).select(F.col("doc_id").cast("long")))
 
 

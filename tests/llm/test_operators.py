@@ -1,5 +1,6 @@
 """Each operator on small tables with nulls, empty and long texts, ties, repeated rows, no rows and clashing columns."""
 
+import base64
 import hashlib
 import random
 import zlib
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from orrery.llm import decontamination, fingerprints, jaccard, languages, pieces, quality, shards, token_files, toxicity, warc
 from orrery.llm.common import scratch
 
+from ..conftest import DATA
+
 public_tokenizers = pytest.importorskip("public_tokenizers")
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, start string, key string, range string, slot string, shard string, sig string, ll string"
@@ -242,6 +245,34 @@ def test_languages(spark, docs, none):
     assert {0, 3, 6} <= gone and 18 not in gone
 
 
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+    "Všetci ľudia sa rodia slobodní a sebe rovní, čo sa týka ich dôstojnosti a práv.",
+    base64.b64encode(hashlib.sha512(b"x").digest() * 4).decode(),
+    " ".join("".join(random.Random(i).choices("abcdefghijklmnopqrstuvwxyz", k=3 + i % 6)) for i in range(80)),
+    "xqzv krwj pqtl gghk",
+]
+
+
+def test_unseen_languages_are_rejected_and_labelled_ones_stay(spark):
+    known = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang", "source")
+    foreign = spark.createDataFrame([(10**6 + i, t, None, "foreign.example.org" if i % 2 else None) for i, t in enumerate(FOREIGN)], known.schema)
+    seen = known.filter("doc_id % 2 = 0")
+    held_out = known.filter("doc_id % 2 = 1 AND text RLIKE '[A-Za-z]{3}'")
+    gone = {r.doc_id for r in languages.rejected(held_out.unionByName(foreign), seen).collect()}
+    assert gone == {10**6 + i for i in range(len(FOREIGN))}
+    found = {r.doc_id: r for r in languages.identify(languages.of_documents(held_out.unionByName(foreign)), seen, ["doc_id"]).collect()}
+    assert all(found[d].lang == languages.UNKNOWN for d in gone)
+    right = [found[r.doc_id].lang == r.lang for r in held_out.select("doc_id", "lang").collect()]
+    assert sum(right) > 0.98 * len(right)
+    # Labelled rows only count with a language: a corpus labelled as unknown has no model of its own.
+    langs, logs = languages.train(seen)
+    assert languages.UNKNOWN in langs and np.allclose(np.exp(logs.astype(float)).sum(0), 1, atol=1e-3)
+
+
 def prose_of(lang, seed, n=12):
     rng = random.Random(seed)
     return " ".join(rng.choice({"en": ["the", "which", "with", "house", "why", "they", "thing"], "de": ["der", "nicht", "und", "schön", "ich", "straße", "zwölf"]}[lang]) for _ in range(n))
