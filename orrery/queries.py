@@ -318,9 +318,9 @@ def rule_unknown_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structure-aware chunks of pages: the heading and its paragraphs as units (tags dropped, entities kept)."""
     pages = read(spark, sf_dir, "pages")
-    block = F.regexp_extract_all("html", F.lit(r"(?s)<(?:p|li)\b[^>]*>([^<]*)"), 1)
-    heading = F.regexp_extract("html", r"(?s)<h1\b[^>]*>([^<]*)", 1)
-    made = pages.select(text_of("page-", "page_id").alias("document_id"), F.array(heading).alias("path"), F.posexplode(block).alias("position", "content"), F.sha2("html", 256).alias("content_sha256"))
+    blocks = F.udf(U.parse_html, "array<struct<content string, path array<string>>>", useArrow=True)(F.coalesce("html", F.lit("")))
+    made = pages.select(text_of("page-", "page_id").alias("document_id"), F.posexplode(blocks).alias("position", "block"), F.sha2("html", 256).alias("content_sha256"))
+    made = made.select("document_id", "block.path", "position", "block.content", "content_sha256")
     found = chunking.structure_aware(U.prepared(made), CONFIG)
     return found.select("document_id", "chunk_id", F.col("sequence").cast("long").alias("sequence"), F.col("character_count").cast("long").alias("character_count"), F.size("source_unit_ids").cast("long").alias("units"))
 

@@ -1,6 +1,10 @@
+import html
+from html.parser import HTMLParser
+
 import pytest
 
 from orrery import queries as engine
+from orrery.sources import units
 
 from .conftest import DATA, oracle_rows, rows
 
@@ -23,6 +27,85 @@ def test_page_sections_stay_under_their_limit(spark):
     assert (found.groupby("document_id").sequence.min() == 1).all()
 
 
+class Blocks(HTMLParser):
+    """Texts of p and li by the library's tokens, for pages that nest lists only in items."""
+
+    def __init__(self, text):
+        super().__init__()
+        self.blocks, self.heading, self.stack, self.silent = [], "", [], 0
+        self.feed(text)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.silent += tag in ("script", "style")
+        if tag in ("p", "li", "h1", "ul", "article", "div", "footer") and self.stack and self.stack[-1][0] == "p":
+            self.stack.pop()
+        if tag == "li" and self.stack and self.stack[-1][0] == "li":
+            self.stack.pop()
+        if tag in ("p", "li"):
+            self.blocks.append("")
+            self.stack.append((tag, len(self.blocks) - 1))
+        elif tag in ("h1", "ul"):
+            self.stack.append((tag, None))
+        elif tag == "br":
+            self.handle_data(" ")
+
+    def handle_endtag(self, tag):
+        self.silent -= tag in ("script", "style")
+        if tag in ("article", "div", "footer", "body", "html"):
+            self.stack.clear()
+        elif any(t == tag for t, _ in self.stack):
+            while self.stack.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        if self.silent:
+            return
+        if self.stack and self.stack[-1][0] == "h1":
+            self.heading += data
+        elif at := next((b for _, b in reversed(self.stack) if b is not None), None):
+            self.blocks[at] += data
+        elif at == 0:
+            self.blocks[0] += data
+
+
+def plain(text):
+    return " ".join(html.unescape(text).split())
+
+
+def test_blocks_of_pages_are_whole_texts(spark):
+    pages = spark.read.parquet(f"{DATA}/pages.parquet").collect()
+    tagged = 0
+    for page in pages:
+        got, want = units.parse_html(page.html), Blocks(page.html)
+        assert [plain(c) for c, _ in got] == [plain(b) for b in want.blocks]
+        assert all([plain(h) for h in path] == [plain(want.heading)] for _, path in got)
+        tagged += "<li><a" in page.html
+    assert tagged > 10
+    # Chunks hold all of it: those of a page with one chunk have heading and blocks, and each block is a unit of some chunk.
+    found = engine.page_sections(spark, DATA).toPandas().groupby("document_id")
+    single = 0
+    for page in pages:
+        blocks = [(c, p[0]) for c, p in units.parse_html(page.html) if c.strip()]
+        chunks = found.get_group(f"page-{page.page_id}")
+        assert chunks.units.sum() >= len(blocks) and chunks.character_count.sum() >= sum(len(c) for c, _ in blocks)
+        if len(chunks) == 1:
+            single += 1
+            assert chunks.character_count.iloc[0] == len(f"{blocks[0][1]}\n\n" + "\n\n".join(c for c, _ in blocks))
+    assert single
+
+
+def test_blocks_with_inner_tags_and_open_ends():
+    def found(text):
+        return [c for c, _ in units.parse_html(text)]
+
+    assert units.parse_html("<h1>A <em>b</em></h1><ul><li><a href='/x>y'>one</a></li></ul><p><b>lead<br>next &amp; <i>on</i></p>") == [("one", ["A b"]), ("lead\nnext &amp; on", ["A b"])]
+    assert found("<ul><li>two<ul><li>in</li></ul>tail</li></ul>") == ["two\ntail", "in"]
+    assert found("<P>A<p class=x>B</article>after<p>a<div>b</div>c") == ["A", "B", "a"]
+    assert found('<p>a<!-- <p>c --> b<script>var t="</p><p>no";</script>d</p><style><p>no</style>') == ["a bd"]
+    assert found("<p>1 < 2</p>") == ["1 < 2"] and found("") == []
+
+
 def test_search_plan_filters_before_ranking(spark):
     plan = engine.vector_search_topk(spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
