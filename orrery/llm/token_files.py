@@ -60,6 +60,9 @@ class Encoder:
     space. So a text is split there, a part is cut into pre-tokens (at once where it is a word and a mark), and the library's
     model encodes each of these. Texts in which a space stands beside other white space, or with white space other than
     spaces and line feeds, are encoded whole by the library.
+
+    The literal of an added token, as <|endoftext|>, is encoded as plain text (`encode_special_tokens`): a document can't
+    end itself. The library's default gives it the token's id, so ids and offsets differ from it for such texts.
     """
 
     _other = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
