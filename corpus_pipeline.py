@@ -18,11 +18,13 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents with letters whose language is known with a posterior of one half or more."""
-    return jaccard.without(docs, written(spark, languages.rejected(docs, docs), "language-rejected"))
+    docs = jaccard.keyed(spark, docs)
+    rows = jaccard.by_key(docs)
+    return jaccard.without(docs, written(spark, languages.rejected(rows, rows), "language-rejected"))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each component of near duplicates (five words, similarity of 0.8 or more) the document of least doc_id."""
+    """Keeps of each component of near duplicates (five words, similarity of 0.8 or more) one row, of least doc_id."""
     return jaccard.one_of_each(spark, docs, 5, 80)
 
 

@@ -270,14 +270,32 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
+def keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """`docs` with `row key`, a long that no two rows share: doc_id where all rows have one of their own.
+
+    Else rows are numbered in the order of doc_id (null ones last) and the digest of their text, and written with their numbers.
+    """
+    doc_id = F.col("doc_id").cast("long")
+    if docs.groupBy(doc_id.alias("id")).count().filter("id is null or count > 1").isEmpty():
+        return docs.withColumn("row key", doc_id)
+    ordered = docs.orderBy(doc_id.asc_nulls_last(), F.sha2(F.coalesce("text", F.lit("")), 256))
+    return written(spark, ordered.withColumn("row key", F.monotonically_increasing_id()), "jaccard-keyed")
+
+
+def by_key(rows: DataFrame) -> DataFrame:
+    """Keyed rows with their key for doc_id."""
+    return rows.withColumn("doc_id", F.col("row key")).drop("row key")
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id isn't in `gone`: a broadcast while those are at most BROADCAST_ROWS, else a shuffle."""
+    """The keyed rows whose key isn't among the doc_ids of `gone`, less the key: a broadcast while those are at most BROADCAST_ROWS, else a shuffle."""
     gone = gone.select(F.col("doc_id").alias("gone id")).distinct()
     side = F.broadcast(gone) if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else gone
-    return docs.join(side, F.col("doc_id") == F.col("gone id"), "left_anti")
+    return docs.join(side, F.col("row key") == F.col("gone id"), "left_anti").drop("row key")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs`, with all their columns, less those whose component has a smaller doc_id. Rows without doc_id stay."""
-    found = written(spark, near_duplicates(spark, docs, width, percent), "jaccard-found")
+    """The rows of `docs`, with all their columns, less those whose component has a row of smaller key: one row of each component stays."""
+    docs = keyed(spark, docs)
+    found = written(spark, near_duplicates(spark, by_key(docs), width, percent), "jaccard-found")
     return without(docs, found.filter("doc_id != component_id"))

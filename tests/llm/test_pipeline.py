@@ -13,6 +13,18 @@ from .test_operators import PIECES, brute
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 
+def test_rows_that_share_or_lack_a_doc_id(spark):
+    docs = table(spark, DATA, "documents")
+    a, b = (r.text for r in docs.filter("n_chars BETWEEN 900 AND 3000 AND lang = 'en'").orderBy("doc_id").limit(2).collect())
+    rows = [(None, a), (7, a), (7, a), (None, a), (None, b), (None, b), (8, ""), (8, b), (None, "123")]
+    made = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], docs.schema)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.known_language(spark, made, DATA).collect()]
+    assert sorted(map(repr, kept)) == sorted(repr(r) for r in rows if r[1] not in ("", "123"))
+    kept = corpus_pipeline.distinct(spark, made.filter("n_chars > 3"), DATA)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(7, a), (8, b)]
+
+
 def test_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "language ID", "n-gram Jaccard join", "benchmark decontamination", "SentencePiece encoding and decoding"]
     docs = table(spark, DATA, "documents")
