@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,13 +19,6 @@ BYTE_HASH = _rng.integers(0, 1 << 64, 256, dtype=np.uint64)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def release() -> None:
-    """Gives freed memory back to the system at a task's end, as an idle worker keeps what it once had."""
-    pa.default_memory_pool().release_unused()
-    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-        trim(0)
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit (the finalizer of splitmix64)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -90,18 +82,32 @@ def words(part: Part) -> Words:
     return Words(start, end, np.searchsorted(part.bounds, start, "right") - 1)
 
 
+def blocks(ends: np.ndarray, size: int = PART_BYTES) -> Iterator[slice]:
+    """Slices of items, whose running sizes are `ends`, of about `size` in all, or of one larger item."""
+    at, n = 0, len(ends)
+    while at < n:
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+        yield slice(at, stop)
+        at = stop
+
+
 def word_hashes(part: Part, found: Words) -> np.ndarray:
-    """64-bit hashes of the words with A-Z in lower case: a polynomial of random byte values by position, mixed."""
-    if not len(found.start):
-        return np.zeros(0, np.uint64)
+    """64-bit hashes of the words with A-Z in lower case: a polynomial of random byte values by position, mixed.
+
+    Words are worked on in blocks of about PART_BYTES, so a very long text costs no more than its words' hashes.
+    """
+    out = np.zeros(len(found.start), np.uint64)
     length = found.end - found.start
-    begin = np.concatenate([[0], np.cumsum(length)])
-    inside = np.arange(begin[-1]) - np.repeat(begin[:-1], length)
-    powers = np.full(int(length.max()), STEP, np.uint64)
-    powers[0] = 1
-    powers = np.multiply.accumulate(powers)
-    values = BYTE_HASH[LOWER[part.data[inside + np.repeat(found.start, length)]]] * powers[inside]
-    return mix(np.add.reduceat(values, begin[:-1]) + length.astype(np.uint64))
+    for some in blocks(np.cumsum(length)):
+        n = length[some]
+        begin = np.concatenate([[0], np.cumsum(n)])
+        inside = np.arange(begin[-1]) - np.repeat(begin[:-1], n)
+        powers = np.full(int(n.max()), STEP, np.uint64)
+        powers[0] = 1
+        powers = np.multiply.accumulate(powers)
+        values = BYTE_HASH[LOWER[part.data[inside + np.repeat(found.start[some], n)]]] * powers[inside]
+        out[some] = mix(np.add.reduceat(values, begin[:-1]) + n.astype(np.uint64))
+    return out
 
 
 def shingle_hashes(h: np.ndarray, width: int) -> np.ndarray:
