@@ -12,14 +12,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import in_arrow, table
 
 #: Errors allowed for each character of an item; bytes of items that are matched in one pass over the documents.
 RATE, BLOCK_BYTES = 0.08, 16 << 20
+#: Distances that a worker remembers, of items and windows of at most so many characters together.
+REMEMBERED, SHORT = 4_096, 2_048
 
 _gaps = re.compile(r"[\W_]+")
 
@@ -61,7 +63,12 @@ def myers(item: str, text: str) -> int:
     return best
 
 
-_distance = lru_cache(1 << 14)(myers)
+_remembered = lru_cache(REMEMBERED)(myers)
+
+
+def _distance(item: str, text: str) -> int:
+    """Copies of a passage are compared once, as long as they are short enough to be remembered."""
+    return (_remembered if len(item) + len(text) <= SHORT else myers)(item, text)
 
 
 @dataclass
@@ -136,6 +143,9 @@ def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[lis
             yield found
 
 
+FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int32()), ("errors", pa.int32())])
+
+
 def contaminations(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """doc_id, item_id, distance, errors of every item in every document that has it within floor(rate * characters) errors.
 
@@ -147,26 +157,30 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) ->
     out = docs.sparkSession.createDataFrame([], schema)
     for items in blocks(benchmark):
 
-        def work(batches: Iterator[pd.DataFrame], items: list = items) -> Iterator[pd.DataFrame]:
+        def work(batches: Iterator[pa.RecordBatch], items: list = items) -> Iterator[pa.RecordBatch]:
             m = matcher(items, rate)
             for b in batches:
-                rows = [(d, *x) for d, t in zip(b.doc_id.astype("Int64"), b.text, strict=True) if isinstance(t, str) for x in m.find(t)]
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "distance", "errors"]).astype({"doc_id": "Int64", "item_id": "Int64"})
+                rows = [(d, *x) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True) if t.is_valid for x in m.find(t.as_py())]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), FOUND, strict=True)], schema=FOUND)
 
-        out = out.unionByName(docs.mapInPandas(work, schema))
+        out = out.unionByName(in_arrow(docs, work, schema))
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
-    """The rows of `docs`, with all their columns, whose text holds no item. Without a join, in the rows' own partitions."""
+    """The rows of `docs`, with all their columns untouched, whose text holds no item. Without a join, in the rows' own partitions.
+
+    Null and empty texts stay; of repeated rows all stay or none.
+    """
     for items in blocks(benchmark):
 
-        def work(batches: Iterator[pd.DataFrame], items: list = items) -> Iterator[pd.DataFrame]:
+        def work(batches: Iterator[pa.RecordBatch], items: list = items) -> Iterator[pa.RecordBatch]:
             m = matcher(items, rate)
             for b in batches:
-                yield b[[not (isinstance(t, str) and m.find(t)) for t in b["text"]]]
+                yield b.filter(pa.array([not (t.is_valid and m.find(t.as_py())) for t in b.column("text")], pa.bool_()))
 
-        docs = docs.mapInPandas(work, docs.schema)
+        docs = in_arrow(docs, work, docs.schema)
     return docs
 
 
