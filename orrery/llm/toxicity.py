@@ -10,18 +10,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, written
+from .common import in_arrow, table, written
 from .labelled import fold, sample
 
 HELD_OUT, THRESHOLD = 3, 0.7
-#: The bound of labelled rows that the lexicon is learned from, and of its entries.
-SAMPLE, ENTRIES = 8_000, 4_000
-#: Entries are whole words or word beginnings of so many letters; an entry is in so many toxic texts at least, its share of all
+#: The bound of labelled rows that the lexicon is learned from.
+SAMPLE = 8_000
+#: Entries are whole words, or word beginnings of SHORTEST to LONGEST letters; an entry is in so many toxic texts at least, its share of all
 #: words is so many times higher in toxic texts, the log likelihood ratio of its texts is so large that chance makes none among
 #: all entries, and it is so much heavier than its own beginning.
 SHORTEST, LONGEST, SUPPORT, TIMES, RATIO, MORE = 4, 14, 5, 4.0, 18.0, 1.3
@@ -122,43 +122,51 @@ WORDS = ""  # stands for all words of a text
 
 
 def entries_of(text: str) -> Counter:
-    """How often words and word beginnings are in a folded text."""
+    """How often words, of any length, and word beginnings of up to LONGEST letters are in a folded text."""
     out: Counter = Counter()
     for w, n in Counter(text.split()).items():
         out[WORDS] += n
-        if len(w) <= LONGEST:
-            out[f" {w} "] += n
+        out[f" {w} "] += n
         for size in range(SHORTEST, min(len(w), LONGEST) + 1):
             out[f" {w[:size]}"] += n
     return out
 
 
+def _rows(b: pa.RecordBatch) -> Iterator[tuple[str, int]]:
+    return zip(b.column("text").to_pylist(), b.column("label").to_pylist(), strict=True)
+
+
 def learn(picked: DataFrame) -> Lexicon:
-    """A lexicon from labelled rows (text, label), which are bounded; only counts of texts for each entry leave the executors."""
+    """A lexicon from labelled rows (text, label), which are bounded; only counts of texts for each entry leave the executors.
+
+    All entries and exceptions that pass are kept: each is in SUPPORT texts of the sample at least, so the sample bounds them.
+    """
     picked = picked.select(F.coalesce("text", F.lit("")).alias("text"), "label")
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = ("clean", "toxic", "clean_n", "toxic_n")
+    counts_of = pa.schema([("entry", pa.string()), *((c, pa.int64()) for c in columns)])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, times = (Counter(), Counter()), (Counter(), Counter())
-            for text, label in zip(b.text, b.label, strict=True):
+            for text, label in _rows(b):
                 found = entries_of(folded(text))
                 texts[label].update(found.keys())
                 times[label].update(found)
             for y in (0, 1):
-                yield pd.DataFrame({"entry": list(texts[y]), "clean": [n * (1 - y) for n in texts[y].values()], "toxic": [n * y for n in texts[y].values()], "clean_n": [n * (1 - y) for n in times[y].values()], "toxic_n": [n * y for n in times[y].values()]})
+                yield pa.RecordBatch.from_pydict({"entry": list(texts[y]), "clean": [n * (1 - y) for n in texts[y].values()], "toxic": [n * y for n in texts[y].values()], "clean_n": [n * (1 - y) for n in times[y].values()], "toxic_n": [n * y for n in times[y].values()]}, counts_of)
 
     clean, toxic = (picked.filter(F.col("label") == x).count() for x in (0, 1))
     if not toxic or not clean:
         return Lexicon()
-    columns = ("clean", "toxic", "clean_n", "toxic_n")
-    counts = picked.mapInPandas(count, "entry string, " + ", ".join(f"{c} long" for c in columns)).groupBy("entry").agg(*(F.sum(c).alias(c) for c in columns))
+    counts = in_arrow(picked, count, "entry string, " + ", ".join(f"{c} long" for c in columns)).groupBy("entry").agg(*(F.sum(c).alias(c) for c in columns))
     clean_words, toxic_words = (r or 1 for r in counts.filter(F.col("entry") == WORDS).agg(F.sum("clean_n"), F.sum("toxic_n")).first())
     odds = F.log((F.col("toxic_n") + 0.5) / toxic_words * clean_words / (F.col("clean_n") + 0.5))
     share = toxic / (clean + toxic)
     part = F.col("toxic") / (F.col("clean") + F.col("toxic"))
     ratio = F.col("toxic") * F.log(part / share) + F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - part) / (1 - share))).otherwise(0.0)
     found = counts.filter((F.col("entry") != WORDS) & (F.col("toxic") >= SUPPORT) & (part > share)).withColumn("odds", odds).filter((ratio >= RATIO) & (F.col("odds") >= math.log(TIMES)))
-    got = found.orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "entry").limit(ENTRIES).toPandas()
+    got = found.select("entry", "odds").toPandas()
     weights: dict[str, float] = {}
     for entry, odds in sorted(zip(got.entry, got.odds, strict=True), key=lambda x: (len(x[0].rstrip()), x[0])):
         shorter = max((weights.get(entry[:n], 0.0) for n in range(SHORTEST + 1, len(entry))), default=0.0)
@@ -166,11 +174,11 @@ def learn(picked: DataFrame) -> Lexicon:
             weights[entry] = float(odds)
     lexicon = Lexicon(weights)
 
-    def context(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
         for b in batches:
             seen: Counter = Counter()
-            for text, label in zip(b.text, b.label, strict=True):
+            for text, label in _rows(b):
                 text = folded(text)
                 phrases = set()
                 for begin, end, _ in lexicon.hits(text, automaton):
@@ -178,17 +186,18 @@ def learn(picked: DataFrame) -> Lexicon:
                     before, after = text.rfind(" ", 0, begin), text.find(" ", stop) + 1
                     phrases |= {text[before:stop] if before >= 0 else "", text[begin:after] if after else ""} - {""}
                 seen.update((p, int(label)) for p in phrases)
-            yield pd.DataFrame([(p, n * (1 - y), n * y) for (p, y), n in seen.items()], columns=["phrase", "clean", "toxic"])
+            yield pa.RecordBatch.from_pydict({"phrase": [p for p, _ in seen], "clean": [n * (1 - y) for (_, y), n in seen.items()], "toxic": [n * y for (_, y), n in seen.items()]}, pa.schema([("phrase", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())]))
 
-    spared = picked.mapInPandas(context, "phrase string, clean long, toxic long").groupBy("phrase").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    lexicon.exceptions = [r.phrase for r in spared.filter((F.col("clean") >= SUPPORT) & (F.col("toxic") * (TIMES * clean / toxic) < F.col("clean"))).orderBy(F.desc("clean"), "phrase").limit(ENTRIES).collect()]
+    spared = in_arrow(picked, context, "phrase string, clean long, toxic long").groupBy("phrase").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    lexicon.exceptions = [r.phrase for r in spared.filter((F.col("clean") >= SUPPORT) & (F.col("toxic") * (TIMES * clean / toxic) < F.col("clean"))).orderBy("phrase").collect()]
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
         for b in batches:
-            yield pd.DataFrame([(*lexicon.measures(t, automaton), y) for t, y in zip(b.text, b.label, strict=True)], columns=["a", "b", "label"])
+            found = [(*lexicon.measures(t, automaton), y) for t, y in _rows(b)]
+            yield pa.RecordBatch.from_pydict({c: [x[i] for x in found] for i, c in enumerate(("a", "b", "label"))}, pa.schema([("a", pa.float64()), ("b", pa.float64()), ("label", pa.int32())]))
 
-    rows = picked.mapInPandas(measure, "a double, b double, label int").toPandas().sort_values(["label", "a", "b"])
+    rows = in_arrow(picked, measure, "a double, b double, label int").toPandas().sort_values(["label", "a", "b"])
     x, y = np.log1p(20 * rows[["a", "b"]].to_numpy()), rows.label.to_numpy()
     weigh = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
     w = np.zeros(3)
@@ -203,15 +212,16 @@ def learn(picked: DataFrame) -> Lexicon:
 
 
 def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """Adds the score of each row's whole text."""
+    """Adds the score of each row's whole text; a column of that name is replaced, all others pass untouched."""
     docs = docs.drop("score")
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
         for b in batches:
-            yield b.assign(score=[lexicon.score(lexicon.measures(t if isinstance(t, str) else "", automaton)) for t in b.text])
+            scores = [lexicon.score(lexicon.measures(t.as_py() or "", automaton)) for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64())], names=[*b.schema.names, "score"])
 
-    return docs.mapInPandas(work, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return in_arrow(docs, work, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
