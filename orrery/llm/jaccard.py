@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import table, written
+from .common import in_arrow, table, written
 
 WIDTH, PERCENT = 3, 90
 #: Shingles beyond the least prefix that step 1 looks at, as a share of the set: two linked sets share so many and one more.
@@ -66,9 +66,8 @@ def shingle_sets(docs: DataFrame, width: int, percent: int, whole: bool) -> Data
                 ids = b.column("doc_id").slice(part.rows.start, part.docs)
                 sigs = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays([ids, pa.array(sigs, pa.binary()), pa.array(n), pa.array([s[:k].tobytes() for s, k in zip(sets, few, strict=True)], pa.binary())], names=["doc_id", "sig", "n", "hashes"])
-        tokens.release()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "doc_id long, sig binary, n long, hashes binary")
+    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, "doc_id long, sig binary, n long, hashes binary")
 
 
 MESSAGE = "fragment int, batch string, hashes binary, times binary, inverse binary, sizes binary, sigs binary, n binary"
@@ -101,7 +100,6 @@ def census(sets: DataFrame, fragments: int, percent: int, whole: bool) -> DataFr
             out = [(f, name, hashes[a:z].tobytes(), times[a:z].astype("<u4").tobytes(), None, None, None, None) for f, (a, z) in enumerate(zip(at, at[1:], strict=False)) if z > a]
             out.append((fragments + int(name[:8], 16) % fragments, name, hashes.tobytes() if whole else None, None, inverse.astype("<u4").tobytes(), np.array([len(p) // 8 for p in parts], "<u4").tobytes(), joined, np.array(rows.column("n").to_pylist(), "<u4").tobytes()))
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in out], schema)
-        tokens.release()
 
     def count(t: pa.Table) -> pa.Table:
         if t.column("times").null_count:  # batches' own rows pass
@@ -136,7 +134,7 @@ def census(sets: DataFrame, fragments: int, percent: int, whole: bool) -> DataFr
         sigs = [own["sigs"][16 * i : 16 * i + 16] for i in range(len(sizes))]
         return pa.table([pa.array(sigs, pa.binary()), pa.array(n), pa.array(unique), pa.array(shared, pa.list_(pa.int64()))], names=["sig", "n", "unique", "shared"])
 
-    sent = sets.mapInArrow(send, MESSAGE)
+    sent = in_arrow(sets, send, MESSAGE)
     counted = sent.groupBy("fragment").applyInArrow(count, MESSAGE)
     return counted.groupBy("batch").applyInArrow(gather, "sig binary, n long, unique long, shared array<long>")
 
