@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tokens
-from .common import table
+from .common import in_arrow, table
 from .labelled import fold, sample
 
 #: Slots for hashed words, rank of the interactions, and the bound of labelled rows that the model is fitted on.
@@ -47,7 +47,10 @@ def features(part: tokens.Part) -> Features:
     found = tokens.words(part)
     h = tokens.word_hashes(part, found)
     size = np.diff(part.bounds)
-    kinds = np.bincount(np.repeat(np.arange(n) * KINDS, size) + _KINDS[part.data], minlength=n * KINDS).reshape(n, KINDS)
+    if n == 1:  # a text that may be long is counted block by block
+        kinds = sum(np.bincount(_KINDS[part.data[at : at + tokens.PART_BYTES]], minlength=KINDS) for at in range(0, max(1, len(part.data)), tokens.PART_BYTES))[None]
+    else:
+        kinds = np.bincount(np.repeat(np.arange(n) * KINDS, size) + _KINDS[part.data], minlength=n * KINDS).reshape(n, KINDS)
     count = np.bincount(found.doc, minlength=n)
     key, times = np.unique(found.doc * SLOTS + (h & np.uint64(SLOTS - 1)).astype(np.int64), return_counts=True)
     doc, slot = key // SLOTS, key % SLOTS
@@ -147,13 +150,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                 yield pa.RecordBatch.from_arrays([b.column("label").slice(part.rows.start, part.docs), pa.array(list(f.statistics), schema[1].type), pa.array([x.astype(np.int32) for x, _ in each], schema[2].type), pa.array([x for _, x in each], schema[3].type)], schema=schema)
 
     picked = sample(docs, labels, "quality", fold(F.col("doc_id"), HELD_OUT) == 0, SAMPLE)
-    got = picked.mapInArrow(work, FEATURES).toPandas()
+    got = in_arrow(picked, work, FEATURES).toPandas()
     rows = [(Features(np.stack([s]), np.zeros(len(i), int), np.asarray(i), np.asarray(x)), int(y)) for y, s, i, x in zip(got.label, got.statistics, got["slot"], got["value"], strict=True)]
     return fit(sorted(rows, key=lambda r: (r[1], r[0].statistics.tobytes())))
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
-    """Adds the score of each row's whole text; a null text counts as empty. A column of that name is replaced."""
+    """Adds the score of each row's whole text; a null text counts as empty. A column of that name is replaced, all others pass untouched."""
     docs = docs.drop(column)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +164,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
             scores = [model.scores(features(p)) for p in tokens.parts(b.column("text"))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(scores) if scores else np.zeros(0))], names=[*b.schema.names, column])
 
-    return docs.mapInArrow(work, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
+    return in_arrow(docs, work, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
