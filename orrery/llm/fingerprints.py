@@ -10,16 +10,13 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import range_bounds, range_of, table
+from .common import numbered, table, written
 
 #: Words of a shingle, bins (a power of two), bits kept of each bin (4 or 8), probes before the exhaustive choice.
 WIDTH, BINS, BITS, PROBES = 5, 128, 8, 8
-#: Rows in a range of doc_ids, until there are RANGES of them; then ranges grow.
-DOCS_A_RANGE, RANGES = 8_192, 2_048
-
 
 def shingles(text: Column, width: int = WIDTH) -> Column:
     """Hashes of the runs of `width` words, A-Z in lower case; fewer words are one run, a text without words has none."""
@@ -89,41 +86,48 @@ def likeness(a: Column, b: Column, bins: int = BINS, bits: int = BITS) -> Column
     return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(corrected)
 
 
-def neighbourhoods(docs: DataFrame, docs_a_range: int = DOCS_A_RANGE) -> DataFrame:
-    """Ranges of doc_ids in which a window over (guest, descending key, text) finds each row's next row.
+#: What tells documents apart: rows that agree in both are one document repeated.
+KEY = ["id", "hash"]
+
 
-    The next row is that in descending doc_id, after the last the first. Rows are dealt once, by ranges of doc_id; the highest row of a range
-    also goes to the range above it as a guest. The guests are found by ids alone, there is one for each range and at most
-    RANGES of these. Rows with one doc_id stand in the order of their texts; rows without doc_id come last.
+def precursors(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """For each document (id, hash) the one whose next document it is: its key (to_id, to_hash) and `half` of its characters.
+
+    The next document is that in descending id, texts' hashes telling apart documents of one id; after the last comes the
+    first. Only keys and lengths are sorted and numbered, no texts.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    n = max(1, min(RANGES, -(-docs.count() // docs_a_range)))
-    ranged = docs.withColumns({"key": key, "range": range_of(key, range_bounds(docs.select("doc_id"), "doc_id", n))})
-    tops = ranged.groupBy("range").agg(F.max("key").alias("key"))
-    everywhere = Window.orderBy("range")
-    above = F.coalesce(F.lead("range").over(everywhere), F.first("range").over(everywhere.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    guests = ranged.join(F.broadcast(tops.withColumn("above", above)), ["range", "key"]).withColumns({"range": F.col("above"), "guest": F.lit(1)}).drop("above")
-    return ranged.withColumn("guest", F.lit(0)).unionByName(guests)
+    keys = rows.select(*KEY, "n_chars").distinct()
+    ranked = written(spark, numbered(spark, keys, [F.desc("id"), "hash"], "fingerprint-keys"), "fingerprint-order")
+    count = ranked.count()
+    before = ranked.select(((F.col("number") + 1) % F.lit(max(1, count))).alias("number"), F.col("id").alias("to_id"), F.col("hash").alias("to_hash"), F.floor(F.col("n_chars") / 2).cast("int").alias("half"))
+    return ranked.join(before, "number").select(*KEY, "to_id", "to_hash", "half")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row.
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_doc_id of every row.
+
+    Null texts count as empty; an empty text and its edited text have the empty fingerprint and are alike. Rows without a
+    doc_id come last. Rows that repeat both doc_id and text are one document and have equal results, its next document being
+    the next other one; a single document is its own. Other columns are ignored; an empty table gives no rows.
 
-    Null texts count as empty; an empty text and its edited text have the empty fingerprint and are alike. A single row is
-    its own next row. Repeated rows each have a row. Other columns are ignored; an empty table gives no rows.
+    Texts are dealt once, by a hash of their key. What a document's precursor needs of it is sent there: its fingerprint, and
+    no more characters than the precursor replaces.
     """
-    dealt = neighbourhoods(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
-    order = Window.partitionBy("range").orderBy("guest", F.desc("key"), "text")
-    rows = dealt.withColumn("fingerprint", fingerprint(F.col("text")))
-    rows = rows.withColumns({"next_text": F.lead("text").over(order), "next_fingerprint": F.lead("fingerprint").over(order)}).filter("guest = 0")
-    rows = rows.withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprint(F.col("edited")).alias("edited_fingerprint"), "next_fingerprint")
+    spark, text = docs.sparkSession, F.coalesce("text", F.lit(""))
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    named = named.withColumns({"id": F.coalesce("doc_id", F.lit(-(1 << 63))), "hash": F.xxhash64("text")})
+    before = precursors(spark, named.withColumn("n_chars", F.length("text").cast("long")))
+    rows = named.withColumn("fingerprint", fingerprint(F.col("text")))
+    sent = rows.join(before, KEY).select(F.col("to_id").alias("id"), F.col("to_hash").alias("hash"), F.substr("text", F.lit(1), F.col("half")).alias("beginning"), F.col("fingerprint").alias("next_fingerprint"), F.col("doc_id").alias("next_doc_id"))
+    found = rows.join(sent.groupBy(*KEY).agg(*(F.first(c).alias(c) for c in ("beginning", "next_fingerprint", "next_doc_id"))), KEY)
+    found = found.withColumn("edited", edited(F.col("text"), F.col("beginning")))
+    found = found.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprint(F.col("edited")).alias("edited_fingerprint"), "next_fingerprint", "next_doc_id")
     near = {"near_edited": likeness(F.col("fingerprint"), F.col("edited_fingerprint")), "near_next": likeness(F.col("fingerprint"), F.col("next_fingerprint"))}
-    return rows.withColumns(near).drop("next_fingerprint")
+    return found.withColumns(near).drop("next_fingerprint")
 
 
 def edited(text: Column, following: Column) -> Column:
-    """The text with its last floor(n / 2) code points replaced by the first as many (or all) of the following text."""
+    """The text with its last floor(n / 2) code points replaced by the first as many (or all) of the following text, or of its beginning."""
     half = F.floor(F.length(text) / 2).cast("int")
     return F.concat(F.substr(text, F.lit(1), F.length(text) - half), F.substr(following, F.lit(1), half))
 
