@@ -1,12 +1,17 @@
 """Each operator on small tables with nulls, empty and long texts, ties, repeated rows, no rows and clashing columns."""
 
 import base64
+import functools
+import glob
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from orrery.llm import decontamination, fingerprints, jaccard, languages, pieces, quality, shards, token_files, toxicity, warc
@@ -25,6 +30,8 @@ def prose(seed: int, n: int) -> str:
     return " ".join(rng.choice(WORDS) for _ in range(n)) + "."
 
 
+#: The next number that a 64-bit float can't hold.
+BIG = (1 << 53) + 1
 TEXTS = [None, "", " ", "one", "one two", "One TWO", prose(1, 40), prose(1, 40), prose(1, 40) + " Extra", prose(2, 4000), "a  b\n\tc", "日本語 😀 é", "<|endoftext|> it's", prose(3, 60), prose(3, 30) + " CHANGED " + prose(4, 30), "x" * 5000]
 
 
@@ -45,25 +52,34 @@ def none(spark):
 # ---- 1
 
 
-def whole_ids(text):
+@functools.cache
+def library():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(BPE)
-    t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(BPE)
+
+
+def whole_ids(text):
+    return library().encode(text or "", add_special_tokens=False).ids
 
 
 def test_encoder_equals_the_library():
     e, rng = token_files.Encoder(BPE), random.Random(5)
     odd = ["".join(rng.choice("ab'sé.1 \n日😀,-\t\xa0") for _ in range(rng.randint(1, 40))) for _ in range(500)]
-    for t in [*filter(None, TEXTS), *odd, " a", "a ", "it's they'll ''", "a\x1c b"]:
+    marks = ["".join(rng.choice(["ab", "é", ".", ",", "\n", " ", "'s", "_", "½", "1"]) for _ in range(rng.randint(1, 25))) for _ in range(1_000)]
+    special = ["hi <|endoftext|> there", "a<|endoftext|>b", "<|endoftext|>", "word. <|endoftext|>.\nNext", "\x01 \x02 \x04a. b\x00c, \x03"]
+    for t in [*filter(None, TEXTS), *odd, *marks, *special, " a", "a ", "it's they'll ''", "a\x1c b"]:
         assert np.frombuffer(e(t), e.type).tolist() == whole_ids(t), t
+    assert 50256 in whole_ids(special[0])
+    small = token_files.Encoder(BPE, 4_000)  # forgets again and again
+    for t in [*filter(None, TEXTS), *odd, *marks]:
+        assert np.frombuffer(small(t), e.type).tolist() == np.frombuffer(e(t), e.type).tolist()
 
 
 def test_token_files_round_trip(spark, docs):
     folder = scratch(spark, "test")
-    manifest = token_files.write_token_files(spark, docs, folder, BPE, docs_a_range=4)
-    assert manifest.count() > 2
+    manifest = token_files.write_token_files(spark, docs, folder, BPE, docs_a_range=4, file_bytes=60)
+    assert manifest.count() > 2 and manifest.filter("part > 0").count()
     got = token_files.read_token_files(spark, folder, manifest, with_ids=True).toPandas().sort_values("start")
     want = sorted([(r.doc_id, [*whole_ids(r.text), 0]) for r in docs.select("doc_id", "text").collect()], key=lambda x: x[0])
     assert got.doc_id.tolist() == [d for d, _ in want]
@@ -74,10 +90,12 @@ def test_token_files_round_trip(spark, docs):
 
 def test_one_document_is_read_by_its_index(spark, docs):
     folder = scratch(spark, "test")
-    row = token_files.write_token_files(spark, docs, folder, BPE).first()
+    without = spark.createDataFrame([(None, "x")], "doc_id long, text string")
+    row = token_files.write_token_files(spark, docs.select("doc_id", "text").unionByName(without), folder, BPE).first()
     content = open(row.path.removeprefix("file://"), "rb").read()
-    assert token_files.read_document(content, b"", 15).tolist() == [*whole_ids("One TWO"), 0]
-    assert token_files.read_document(content, b"", 16) is None
+    dictionary = next(open(p, "rb").read() for p in glob.glob(f"{folder.removeprefix('file://')}/*.zdict"))
+    assert token_files.read_document(content, dictionary, 15).tolist() == [*whole_ids("One TWO"), 0]
+    assert token_files.read_document(content, dictionary, 16) is None and token_files.read_document(content, dictionary, 0).tolist() == [0]
     with pytest.raises(ValueError, match="dictionary"):
         token_files.read_document(content, b"other", 15)
 
@@ -96,24 +114,65 @@ def test_token_files_of_nothing(spark, none):
     assert token_files.read_token_files(spark, folder, token_files.write_token_files(spark, none, folder, BPE)).count() == 0
 
 
-def test_token_files_need_ids(spark):
-    with pytest.raises(ValueError, match="doc_id"):
-        token_files.write_token_files(spark, spark.createDataFrame([(None, "a")], "doc_id long, text string"), scratch(spark, "test"), BPE)
+def test_token_files_without_ids(spark):
+    rows = [(None, "a"), (5, "b"), (None, "c d"), (BIG, "e"), (-3, None)]
+    folder = scratch(spark, "test")
+    manifest = token_files.write_token_files(spark, spark.createDataFrame(rows, "doc_id long, text string"), folder, BPE)
+    got = sorted((r.start, r.doc_id, r.n_tokens) for r in token_files.read_token_files(spark, folder, manifest).collect())
+    assert [d for _, d, _ in got] == [None, None, -3, 5, BIG] and [x for x, _, _ in got] == np.cumsum([0, *(n for _, _, n in got[:-1])]).tolist()
+
+
+def test_token_files_plan_does_not_grow(spark, docs):
+    """Many ranges and one doc_id for all rows: the ranges are still small and the order is whole."""
+    same = docs.select(F.lit(1).alias("doc_id"), "text")
+    folder = scratch(spark, "test")
+    manifest = token_files.write_token_files(spark, same, folder, BPE, docs_a_range=2)
+    assert manifest.agg(F.max("docs")).first()[0] <= 8 and manifest.count() >= 4
+    got = token_files.read_token_files(spark, folder, manifest)
+    assert got.count() == same.count() and got.select("start").distinct().count() == got.count()
 
 
 # ---- 2
 
 
+def plain_lpt(sizes, shards_):
+    """Item by item: descending sizes, each to the least load, then the least number."""
+    loads, given = [0] * shards_, {}
+    for s in sorted(sizes, reverse=True):
+        i = min(range(shards_), key=lambda i: (loads[i], i))
+        loads[i] += s
+        given[s, i] = given.get((s, i), 0) + 1
+    return loads, given
+
+
 def test_lpt_by_hand():
-    assert shards.lpt([3, 3, 2, 2, 2], 2) == [0, 1, 0, 1, 0]
-    assert shards.lpt([], 3) == []
+    assert shards.lpt([(3, 2), (2, 3)], 2) == ([[1, 1], [2, 1]], [7, 5])
+    assert shards.lpt([], 3) == ([], [0, 0, 0])
     with pytest.raises(ValueError):
-        shards.lpt([1], 0)
+        shards.lpt([(1, 1)], 0)
+
+
+@given(st.dictionaries(st.integers(1, 3_000), st.integers(1, 60), max_size=12), st.integers(1, 9))
+@settings(max_examples=150, deadline=None)
+def test_histogram_gives_what_plain_lpt_gives(histogram, n):
+    got, loads = shards.lpt(list(histogram.items()), n)
+    want, each = plain_lpt([s for s, k in histogram.items() for _ in range(k)], n)
+    assert loads == want
+    assert all(got[j][i] == each.get((s, i), 0) for j, s in enumerate(histogram) for i in range(n))
 
 
-@pytest.mark.parametrize("bundles", [4, 49_152])
-def test_shards(spark, docs, bundles, monkeypatch):
-    monkeypatch.setattr(shards.assign, "__defaults__", (bundles,))
+def test_shards_are_those_of_plain_lpt(spark):
+    frame = spark.read.parquet(f"{DATA}/documents.parquet")
+    got = shards.shard_documents(spark, frame).toPandas()
+    groups = {}
+    for r in frame.select("text").collect():
+        groups[r.text or ""] = groups.get(r.text or "", 0) + len((r.text or "").encode()) + 8
+    loads = got.groupby("shard")["size"].sum().reindex(range(24), fill_value=0)
+    assert loads.tolist() == plain_lpt(groups.values(), 24)[0]
+    assert loads.max() - loads.min() <= max(groups.values())
+
+
+def test_shards(spark, docs):
     got = shards.shard_documents(spark, docs, 3).toPandas()
     texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
     assert len(got) == docs.count() and set(got.law) == {"bytes"} and got.grown_shard.isna().all()
@@ -160,7 +219,7 @@ def test_archives_round_trip(spark, archive_bytes):
 
 def test_broken_segments_are_errors(spark):
     folder = scratch(spark, "test")
-    page = warc.records_of(1, "u", b"x" * 40_000, warc.digest_of(b"x" * 40_000), None, False, "w", 16_384)
+    page = warc.records_of(1, "u", b"x" * 40_000, warc.digest_of(b"x" * 40_000), "<urn:x>", None, 16_384)
     from orrery.llm.common import write_atomically
 
     for wrong in (page[:1] + page[2:], page[:-1], page + page[1:2]):
@@ -170,6 +229,32 @@ def test_broken_segments_are_errors(spark):
             warc.reassembled(warc.read_records(spark, folder).filter("segment is not null")).collect()
 
 
+def test_references_resolve_and_names_are_unique(spark):
+    folder = scratch(spark, "test")
+    warc.write_archives(spark, spark.createDataFrame(PAGES, "page_id long, url string, html string, kept long"), folder, archive_bytes=300)
+    heads = []
+    for file in glob.glob(f"{folder.removeprefix('file://')}/*.warc.gz"):
+        found = [warc.parsed(raw)[0] for raw in warc.members(open(file, "rb").read())]
+        assert found[0]["warc-type"] == "warcinfo" and found[0]["warc-filename"] == file.rsplit("/", 1)[1]
+        heads += found
+    names = [h["warc-record-id"] for h in heads]
+    assert len(set(names)) == len(names)
+    responses = {h["warc-record-id"]: h for h in heads if h["warc-type"] == "response"}
+    revisits = [h for h in heads if h["warc-type"] == "revisit"]
+    assert revisits and all(responses[h["warc-refers-to"]]["warc-payload-digest"] == h["warc-payload-digest"] for h in revisits)
+
+
+def test_reading_is_linear():
+    rng = random.Random(1)
+    one = warc.record([("WARC-Type", "response"), ("WARC-Record-ID", "<x>")], rng.randbytes(3_000))
+    archive = one * (32 * 1024 * 1024 // len(one))
+    began = time.perf_counter()
+    assert sum(1 for _ in warc.members(archive)) == len(archive) // len(one)
+    assert time.perf_counter() - began < 4
+    with pytest.raises(ValueError, match="cut short"):
+        list(warc.members(one[:-3]))
+
+
 def test_archives_of_nothing(spark):
     folder = scratch(spark, "test")
     manifest = warc.write_archives(spark, spark.createDataFrame([], "page_id long, url string, html string"), folder)
@@ -408,29 +493,66 @@ def best_score(v, text):
     return best[-1]
 
 
-def test_viterbi_equals_the_plain_table():
-    e, rng = pieces.Encoder(PIECES), random.Random(4)
-    score = {i: s for x in e.v.known.values() if x for i, s in [x]}
-    texts = [t[:400] for t in TEXTS if t] + ["the" * 100, " a  b ", "▁x ▁"] + ["".join(rng.choice("the abn▁ 日\n") for _ in range(rng.randint(1, 60))) for _ in range(200)]
+def test_ids_equal_the_library():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    e, rng = pieces.Encoder(pieces.Vocabulary.read(PIECES)), random.Random(4)
+    assert e.v.merges
+    texts = [t for t in TEXTS if t] + ["the" * 700, "a" * 3_000, " a  b ", "   ", "word. Next, one.\nLine", "².x ². y", "\x01 \x04a. b"]
+    texts += ["".join(rng.choice("the abn 日\n.,²'s") for _ in range(rng.randint(1, 60))) for _ in range(500)]
     for t in texts:
+        assert e.encode(t).tolist() == model.encode(t), t
+        assert e.decode(e.encode(t)) == t
+    assert e.decode(e.encode("▁x ▁")) == "▁x ▁"
+    small = pieces.Encoder(e.v, 4_000)  # forgets again and again
+    assert all(small.encode(t).tolist() == e.encode(t).tolist() for t in texts)
+
+
+def test_unigram_search_equals_the_plain_table():
+    rng = random.Random(4)
+    found = {c: -6.0 for c in "abc "} | {"".join(rng.choice("abc ") for _ in range(rng.randint(2, 5))): -rng.uniform(3, 12) for _ in range(60)}
+    v = pieces.Vocabulary({p: (256 + i, x) for i, (p, x) in enumerate(found.items())}, {b: b for b in range(256)}, False)
+    e = pieces.Encoder(v)
+    score = {256 + i: x for i, x in enumerate(found.values())}
+    for _ in range(300):
+        t = "".join(rng.choice("abc dé") for _ in range(rng.randint(1, 80)))
         ids = e.encode(t)
         assert e.decode(ids) == t
-        assert sum(score.get(i, e.v.fallback) for i in ids.tolist()) == pytest.approx(best_score(e.v, " " + t))
+        assert sum(score.get(i, v.fallback) for i in ids.tolist()) == pytest.approx(best_score(v, " " + t))
+
+
+def test_pairs_follow_as_merging_says():
+    """Edges that go through their merges together against merging the two pieces' characters in full."""
+    v, rng = pieces.Vocabulary.read(PIECES), random.Random(9)
+
+    def merged(text):
+        parts = list(text)
+        while len(parts) > 1 and (best := v._best(parts)):
+            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+        return parts
+
+    ids = sorted(v.text_of)
+    some = [(rng.choice(ids), rng.choice(ids)) for _ in range(3_000)]
+    # Pieces cut in two are the pairs most likely to be merged.
+    some += [(v.known[p[:k]][0], v.known[p[k:]][0]) for p in rng.sample(sorted(v.known), 3_000) for k in range(1, len(p)) if p[:k] in v.known and p[k:] in v.known]
+    for a, b in some:
+        assert v.may_follow(a, b) == (merged(v.text_of[a] + v.text_of[b]) == [v.text_of[a], v.text_of[b]])
 
 
-def test_stream_forgets_what_is_committed():
-    e, out = pieces.Encoder(PIECES), []
-    text = " " + prose(6, 4_000)
-    assert pieces.stream(text, e.v, out.extend) < 200
-    assert b"".join(e.decoded[i] for i in out).decode() == text
+@pytest.mark.parametrize("text", [" " + prose(6, 4_000), " " + "the" * 5_000, "a" * 9_000, "日" * 500, ""])
+def test_stream_forgets_what_is_committed(text):
+    v, out, times = pieces.Vocabulary.read(PIECES), [], []
+    assert pieces.stream(text, v, lambda ids: (out.extend(ids), times.append(1))) < 8 * v.longest
+    assert b"".join(v.bytes_of[i] for i in out).decode() == text and len(times) >= len(text) // 100
 
 
 def test_paths_that_never_converge_are_kept():
-    """In such a text two paths go on side by side to the end; nothing is committed too early and the work stays linear."""
-    e, out = pieces.Encoder(PIECES), []
-    text = " " + "the" * 5_000
-    pieces.stream(text, e.v, out.extend)
-    assert b"".join(e.decoded[i] for i in out).decode() == text
+    """Under these scores two paths go on side by side to the end; nothing is committed too early and the work stays linear."""
+    v = pieces.Vocabulary({"a": (256, -5.0), "aa": (257, -3.0)}, {b: b for b in range(256)}, False)
+    out = []
+    pieces.stream("a" * 5_001, v, out.extend)
+    assert out.count(257) == 2_500 and out.count(256) == 1
 
 
 def test_encoded_documents(spark, docs, none):
@@ -441,6 +563,33 @@ def test_encoded_documents(spark, docs, none):
     assert pieces.encoded(none, PIECES).count() == 0
 
 
+# ---- ids of any size
+
+
+def test_ids_beside_nulls_are_exact(spark):
+    item = prose(50, 20)
+    frame = spark.createDataFrame([(BIG, item), (None, item), (-BIG, "clean")], "doc_id long, text string").coalesce(1)
+    benchmark = spark.createDataFrame([(BIG, item), (None, "elsewhere entirely")], "item_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 1)], "doc_id long, toxic int, quality int")
+    want = {BIG, None, -BIG}
+    assert {r.doc_id for r in pieces.encoded(frame, PIECES).collect()} == want
+    assert {r.doc_id for r in toxicity.toxicity(frame, labels).collect()} == want
+    assert {r.doc_id for r in quality.quality(frame, labels).collect()} == want
+    assert {r.doc_id for r in fingerprints.fingerprints(frame).collect()} == want
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminations(frame, benchmark).collect()} == {(BIG, BIG), (None, BIG)}
+    assert {(r.doc_id, r.component_id) for r in jaccard.near_duplicates(spark, frame).collect()} == {(BIG, BIG), (None, BIG), (-BIG, -BIG)}
+    pages = spark.createDataFrame([(BIG, "u", "x"), (None, "u", "x"), (3, "u", "x")], "page_id long, url string, html string").coalesce(1)
+    folder = scratch(spark, "test")
+    assert {(r.page_id, r.refers_to) for r in warc.read_archives(spark, folder, warc.write_archives(spark, pages, folder)).collect()} == {(BIG, None), (None, BIG), (3, BIG)}
+
+
+def test_clean_passes_every_type_untouched(spark):
+    frame = spark.sql("SELECT id AS doc_id, if(id = 2, null, 'some text') AS text, timestamp'2024-02-03 04:05:06.789' AS t, date'1999-01-02' AS d, cast(id / 3 AS decimal(30, 10)) AS c, array(id, null) AS a, named_struct('x', array('y', null), 'z', map('k', id)) AS s, if(id = 1, null, id + 9007199254740993) AS n, cast('ab' AS binary) AS b, cast(null AS int) AS e FROM range(4)").coalesce(1)
+    benchmark = spark.createDataFrame([(1, "not in there")], "item_id long, text string")
+    assert decontamination.clean(frame, benchmark).collect() == frame.collect()
+    assert decontamination.clean(frame, benchmark).schema == frame.schema
+
+
 # ---- 10
 
 
