@@ -35,7 +35,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document left."""
-    return pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True, forget=True)
+    return pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True, remembered=96 << 20, kept=4 << 20)
 
 
 STAGES = [
