@@ -139,7 +139,7 @@ def softmax(ll: Column) -> Column:
     return F.transform(parts, lambda x: x / F.aggregate(parts, F.lit(0.0), lambda a, y: a + y))
 
 
-def domain(address: Column) -> Column:
+def registered(address: Column) -> Column:
     """The registered domain of a host name: its last two labels, or three under a country's second level; an address is its own."""
     found = F.regexp_extract("host", rf"([^.]+\.(?:(?:{SECOND_LEVEL})\.[a-z]{{2}}|[^.]+))$", 1)
     return F.when(address | (found == ""), F.col("host")).otherwise(found)
@@ -160,7 +160,7 @@ def identify(rows: DataFrame, labelled: DataFrame, keys: list[str]) -> DataFrame
     tag = F.regexp_extract(F.lower(F.coalesce("declared", F.lit(""))), "^([a-z]{2,3})(?:[-_]|$)", 1)
     made = rows.withColumns({"host": F.coalesce(host, F.lit("")), "declared": tag})
     address = F.col("host").rlike(r"^[0-9.]+$|[:\[\]]")
-    made = made.withColumns({"suffix": F.when((F.instr("host", ".") > 0) & ~address, F.regexp_extract("host", r"([^.]+)$", 1)).otherwise(""), "domain": domain(address)})
+    made = made.withColumns({"suffix": F.when((F.instr("host", ".") > 0) & ~address, F.regexp_extract("host", r"([^.]+)$", 1)).otherwise(""), "domain": registered(address)})
     kept = [*keys, "host", "domain", "suffix", "declared"]
     evidence = written(spark, likelihoods(made, langs, logs, kept), "language-evidence")
     evidence = evidence.withColumn("alone", softmax(F.col("ll")))

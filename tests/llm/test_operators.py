@@ -330,6 +330,72 @@ def test_languages(spark, docs, none):
     assert {0, 3, 6} <= gone and 18 not in gone
 
 
+def plain_fusion(rows, langs, logs):
+    """lang and posterior of each (text, declared, host), by loops over bytes and dictionaries."""
+    alone, lls, domains = [], [], []
+    for text, _, host in rows:
+        data = bytes(b + 32 if 65 <= b < 91 else b for b in (text or "").encode())
+        data = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in data)
+        runs = [data[i : i + 3] for i in range(len(data) - 2) if data[i + 1 : i + 3] != b"  "]
+        ll = np.zeros(len(langs))
+        for a, b, c in runs:
+            ll += logs[(((a * 961 + b) * 961 + c) * 40_503 >> 7) & (languages.SLOTS - 1)]
+        ll *= min(len(runs), languages.RUNS) / max(1, len(runs))
+        lls.append(ll)
+        alone.append(np.exp(ll - ll.max()) / np.exp(ll - ll.max()).sum())
+        labels = (host or "").lower().split(".")
+        domains.append(host.lower() if host and host.replace(".", "").isdigit() else ".".join(labels[-3 if labels[-2:] == ["co", "uk"] else -2 :]))
+    prior = (sum(alone) + 1) / (len(rows) + len(langs))
+    total = lambda keys, key: sum((a for a, k in zip(alone, keys, strict=True) if k == key), np.zeros(len(langs)))
+    hosts, tags = [(h or "").lower() for _, _, h in rows], [(d or "").split("-")[0] for _, d, _ in rows]
+    ends = ["" if h.replace(".", "").isdigit() or "." not in h else h.split(".")[-1] for h in hosts]
+
+    def given(values, value):
+        if not value:
+            return np.zeros(len(langs))
+        all_ = sum(a for a, v in zip(alone, values, strict=True) if v)
+        return np.log((total(values, value) + languages.PSEUDO) / (all_ + languages.PSEUDO * (len(set(values) - {""}) + 1)))
+
+    out = []
+    for i, own in enumerate(alone):
+        score = lls[i] + given(tags, tags[i]) + given(ends, ends[i])
+        if hosts[i]:
+            of_domain = (total(domains, domains[i]) - own + languages.STRENGTH * prior) / (domains.count(domains[i]) - 1 + languages.STRENGTH)
+            score += np.log((total(hosts, hosts[i]) - own + languages.STRENGTH * of_domain) / (hosts.count(hosts[i]) - 1 + languages.STRENGTH))
+        else:
+            score += np.log(prior)
+        p = np.exp(score - score.max())
+        out.append((langs[int(p.argmax())], (p / p.sum()).max()))
+    return out
+
+
+@pytest.mark.parametrize("large", [0, 3, 1_000])
+def test_fusion_equals_plain_loops(spark, large, monkeypatch):
+    """Hosts that are broadcast, hosts that aren't, and both, give the same."""
+    monkeypatch.setattr(languages, "LARGE", large)
+    rng = random.Random(7)
+    hosts = ["a.co.uk", "b.co.uk", "x.a.co.uk", "10.0.0.1", "10.0.0.2", "www.site.example", "BLOG.site.example", "localhost", "", None]
+    rows = [(prose_of(["en", "de"][rng.random() < 0.4], i, rng.choice([0, 1, 2, 12])), rng.choice([None, "en-US", "de", "fr", "??"]), rng.choice(hosts + ["a.co.uk"] * 6)) for i in range(120)] + [(None, None, None), ("", "de", "b.co.uk")]
+    rows = [(t, d if d != "??" else None, h) for t, d, h in rows]
+    labelled = spark.createDataFrame([(prose_of(x, i), x) for i in range(40) for x in ("en", "de")], "text string, lang string")
+    table = spark.createDataFrame([(i, t, False, d, h, "clash") for i, (t, d, h) in enumerate(rows)], "doc_id long, text string, is_markup boolean, declared string, host string, ll string")
+    langs, logs = languages.train(labelled)
+    got = {r.doc_id: r for r in languages.identify(table, labelled, ["doc_id"]).collect()}
+    assert len(got) == len(rows)
+    for i, (lang, posterior) in enumerate(plain_fusion(rows, langs, logs.astype(float))):
+        assert got[i].lang == lang and got[i].confidence == pytest.approx(posterior, abs=1e-4)
+
+
+def test_long_texts_are_cut_between_runs():
+    import pyarrow as pa
+
+    text = prose(3, 400_000)
+    part = next(languages.tokens.parts(pa.array([text])))
+    whole = languages.slots(part)[1]
+    assert len(part.data) > languages.tokens.PART_BYTES
+    assert np.concatenate([languages.slots(b)[1] for b in languages.blocks(part)]).tolist() == whole.tolist()
+
+
 FOREIGN = [
     "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
     "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
