@@ -1,4 +1,8 @@
-"""python -m orrery index [uri] [set id] | search [query] [k]: with settings from the environment and the local embedder."""
+"""python -m orrery index URI [set id] | search [query] [k]: with settings from the environment.
+
+EMBEDDING_BASE_URL and EMBEDDING_KEY name an embedding service; without either a local embedder stands in, under a model name
+of its own, so that its vectors are never taken for a service's.
+"""
 
 from __future__ import annotations
 
@@ -10,15 +14,15 @@ import uuid
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from .errors import InvalidRequest
+from .errors import InvalidConfig, InvalidRequest
 from .functions import exprs as X
-from .operators.embedder import HashEmbedder
+from .operators.embedder import Embedder, HashEmbedder, HttpEmbedder
 from .operators.mapping import ModelProfile
 from .plans import config
 from .plans.store import IndexStore
 from .plans.workflows import IndexingWorkflow, IndexRequest, Query, RetrievalWorkflow
 
-TENANT, KNOWLEDGE_BASE = "local", "default"
+TENANT, KNOWLEDGE_BASE, LOCAL_MODEL = "local", "default", "local-hashed-words"
 
 
 def arguments(args: list[str]) -> tuple[str, int]:
@@ -32,10 +36,27 @@ def arguments(args: list[str]) -> tuple[str, int]:
     return query, int(k)
 
 
+def embedding(settings: config.Settings) -> tuple[ModelProfile, Embedder]:
+    """The model space and what embeds into it: the service that the settings name, or the local embedder."""
+    if settings.embedding_base_url and settings.embedding_key:
+        client = HttpEmbedder(settings.embedding_base_url, settings.embedding_key, settings.embedding_model, settings.dimensions, settings.timeout_s, settings.batch)
+        return ModelProfile(settings.embedding_model, settings.dimensions), client
+    if settings.embedding_base_url or settings.embedding_key:
+        raise InvalidConfig("EMBEDDING_BASE_URL and EMBEDDING_KEY go together")
+    return ModelProfile(LOCAL_MODEL, settings.dimensions), HashEmbedder(settings.dimensions)
+
+
 def main(argv: list[str]) -> int:
     settings = config.load(os.environ)
+    model, embedder = embedding(settings)
     spark = SparkSession.builder.appName("orrery").getOrCreate()
-    model, embedder = ModelProfile(settings.embedding_model, settings.dimensions), HashEmbedder(settings.dimensions)
+    try:
+        return run(spark, settings, model, embedder, argv)
+    finally:
+        spark.stop()
+
+
+def run(spark: SparkSession, settings: config.Settings, model: ModelProfile, embedder: Embedder, argv: list[str]) -> int:
     store = IndexStore(spark, settings.root, settings.dimensions)
     if argv[:1] == ["index"] and 2 <= len(argv) <= 3:
         uri = F.lit(argv[1])

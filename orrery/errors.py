@@ -25,6 +25,10 @@ class InvalidEmbedding(EngineError):
     pass
 
 
+class EmbeddingUnavailable(EngineError):
+    """The embedding service failed or answered with an error; its text isn't shown."""
+
+
 class InvalidEvidence(EngineError):
     pass
 

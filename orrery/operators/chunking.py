@@ -67,9 +67,9 @@ def _sequenced(rows: DataFrame, order: list[str]) -> DataFrame:
     return rows.withColumn("sequence", F.row_number().over(Window.partitionBy("document_id").orderBy(*order)))
 
 
-def _finished(rows: DataFrame) -> DataFrame:
+def _finished(rows: DataFrame, sources: Column) -> DataFrame:
     """token_count is this engine's own measure: words between white space."""
-    return rows.withColumns({"character_count": F.length("content"), "token_count": F.size(F.array_remove(F.split(X.trim("content"), r"(?U)\s+"), "")), "source_unit_ids": F.array("unit_id")}).select(
+    return rows.withColumns({"character_count": F.length("content"), "token_count": F.size(F.array_remove(F.split(X.trim("content"), r"(?U)\s+"), "")), "source_unit_ids": sources}).select(
         "document_id", "chunk_id", "kind", "level", "parent_chunk_id", "previous_chunk_id", "next_chunk_id", "sequence", "content", "character_count", "token_count", "source_unit_ids", "metadata"
     )
 
@@ -80,47 +80,79 @@ def parent_child(units: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataF
     upper = top.select("document_id", "unit_id", "unit_index", "parent_at", F.lit(-1).alias("child_at"), "content", "chunk_id", none.alias("parent_chunk_id"), none.alias("previous_chunk_id"), none.alias("next_chunk_id"), F.lit("parent").alias("kind"), F.lit(0).alias("level"))
     lower = children(top, config).withColumns({"kind": F.lit("child"), "level": F.lit(1)})
     rows = _sequenced(upper.unionByName(lower), ["unit_index", "parent_at", "child_at"])
-    return _finished(rows.withColumn("metadata", F.lit("{}")))
+    return _finished(rows.withColumn("metadata", F.lit("{}")), F.array("unit_id"))
+
+
+def _size(texts: list[tuple[str, str]]) -> int:
+    return sum(len(x) for _, x in texts) + 2 * max(0, len(texts) - 1)
+
+
+def section_chunks(texts: list[tuple[str, str]], most: int, least: int) -> list[list[tuple[str, str]]]:
+    """The texts (unit, text) of a section in runs of at most `most` characters, blank lines between texts included.
+
+    Runs are filled in order. If the last one then has fewer than `least`, it takes texts over from the end of the one before,
+    as long as that keeps `least` and it has room.
+    """
+    out: list[list[tuple[str, str]]] = []
+    for x in texts:
+        if out and _size([*out[-1], x]) <= most:
+            out[-1].append(x)
+        else:
+            out.append([x])
+    if len(out) > 1:
+        before, last = out[-2:]
+        while _size(last) < least and _size(before[:-1]) >= least and _size([before[-1], *last]) <= most:
+            last.insert(0, before.pop())
+    return out
+
+
+def structured(units: list[tuple[str, str, list[str]]], config: ChunkConfig) -> list[tuple[str, list[str], list[str]]]:
+    """(content, path, units) of each chunk of a document's units (id, content, path).
+
+    A chunk holds units of one heading section; a fenced block is a chunk by itself. With `prepend` the headings and a blank
+    line go before the content and count; headings that would take more than half of a chunk, or no room beside a fenced
+    block, stay in the metadata alone. A text that is too long by itself is cut; a fenced block is an error.
+    """
+    most, least, out = config.structure_max, config.structure_min, []
+    at = 0
+    while at < len(units):
+        path = units[at][2]
+        end = at
+        while end < len(units) and units[end][2] == path:
+            end += 1
+        head = " > ".join(path) + "\n\n" if config.heading_context == "prepend" and path else ""
+        head = "" if len(head) > most // 2 else head
+        room, run = most - len(head), []
+
+        def close(run: list = run, head: str = head, path: list[str] = path, room: int = room) -> None:
+            out.extend((head + "\n\n".join(x for _, x in some), path, [u for u, _ in some]) for some in section_chunks(run, room, min(least, room)))
+            run.clear()
+
+        for unit, content, _ in units[at:end]:
+            if content.lstrip()[:3] in ("```", "~~~"):
+                if len(content) > most:
+                    raise OversizeBlock(f"a block of {len(content)} characters; a chunk has at most {most}")
+                close()
+                out.append(((head if len(content) <= room else "") + content, path, [unit]))
+            else:
+                run += [(unit, content[i : i + room]) for i in range(0, len(content), room)]
+        close()
+        at = end
+    return out
 
 
 def structure_aware(units: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
-    """Units (document_id, unit_id, unit_index, content, path) of one heading section gathered up to structure_max; a code block alone.
+    """Units (document_id, unit_id, unit_index, content, path) as chunks of heading sections (`structured`).
 
-    With `prepend` the headings and a blank line go before the content. A longer section starts a further chunk between
-    units; a unit that is too long by itself is cut if it is text, and is an error if it is a fenced block.
+    Documents are grouped, so one document's units are in one task; a null path is an empty one.
     """
-    schema = "document_id string, unit_id string, content string, at int, path array<string>, units array<string>"
-    most, prepend = config.structure_max, config.heading_context == "prepend"
+    schema = "document_id string, content string, at int, path array<string>, units array<string>"
 
     def work(t: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
-        held: list[tuple[str, str]] = []
-        path: list[str] = []
-
-        def close() -> None:
-            if held:
-                body = "\n\n".join(x for _, x in held)
-                head = " > ".join(path)
-                out.append((held[0][0], f"{head}\n\n{body}" if prepend and head else body, path, [u for u, _ in held]))
-                held.clear()
-
-        for unit, content, here in t.sort_values("unit_index")[["unit_id", "content", "path"]].itertuples(index=False):
-            here = list(here) if here is not None else []
-            fenced = content.lstrip()[:3] in ("```", "~~~")
-            if fenced and len(content) > most:
-                raise OversizeBlock(f"a block of {len(content)} characters; a chunk has at most {most}")
-            if here != path or fenced or sum(len(x) + 2 for _, x in held) + len(content) > most:
-                close()
-            path = here
-            held += [(unit, content[i : i + most]) for i in range(0, 1, 1)] if len(content) <= most else []
-            for i in range(0, len(content), most) if len(content) > most else ():
-                held.append((unit, content[i : i + most]))
-                close()
-            if fenced:
-                close()
-        close()
+        rows = t.sort_values("unit_index")[["unit_id", "content", "path"]].itertuples(index=False)
+        made = structured([(u, c, [] if p is None else list(p)) for u, c, p in rows], config)
         doc = t["document_id"].iloc[0]
-        return pd.DataFrame([(doc, u, c, i, p, us) for i, (u, c, p, us) in enumerate(out)], columns=["document_id", "unit_id", "content", "at", "path", "units"])
+        return pd.DataFrame([(doc, c, i, p, us) for i, (c, p, us) in enumerate(made)], columns=["document_id", "content", "at", "path", "units"])
 
     rows = _sequenced(units.select("document_id", "unit_id", "unit_index", "content", "path").groupBy("document_id").applyInPandas(work, schema), ["at"])
     none = F.lit(None).cast("string")
@@ -128,7 +160,7 @@ def structure_aware(units: DataFrame, config: ChunkConfig = ChunkConfig()) -> Da
     rows = rows.withColumn("chunk_id", F.sha2(F.concat_ws(":", "document_id", F.lit("structure"), "sequence", "content"), 256))
     order = Window.partitionBy("document_id").orderBy("sequence")
     rows = rows.withColumns({"previous_chunk_id": before.over(order), "next_chunk_id": after.over(order), "parent_chunk_id": none, "kind": F.lit("structure"), "level": F.lit(0), "metadata": F.to_json(F.struct(F.col("path").alias("semantic_path")))})
-    return _finished(rows).join(rows.select("chunk_id", "units"), "chunk_id").withColumn("source_unit_ids", F.array_distinct("units")).drop("units")
+    return _finished(rows, F.array_distinct("units"))
 
 
 @dataclass(frozen=True)

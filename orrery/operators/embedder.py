@@ -1,17 +1,24 @@
-"""Vectors for texts: the protocol of an embedder, and one that needs no service."""
+"""Vectors for texts: the protocol of an embedder, a client of a service, and one that needs no service."""
 
 from __future__ import annotations
 
 import hashlib
+import json
 import math
+import urllib.error
+import urllib.request
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
+from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from ..errors import InvalidEmbedding
+from ..errors import EmbeddingUnavailable, InvalidConfig, InvalidEmbedding, InvalidRequest
+
+#: Requests that a client has under way at once, and bytes of a response, at most.
+CONCURRENCY, RESPONSE_BYTES = 10, 8 << 20
 
 
 class Embedder(Protocol):
@@ -38,6 +45,62 @@ class HashEmbedder:
         return out
 
 
+@dataclass(frozen=True)
+class HttpEmbedder:
+    """A client of an embedding service with the widespread JSON interface (POST {base_url}/embeddings).
+
+    Each text is a request of its own, so the service's count of tokens is that of the text. At most `concurrency` requests
+    are under way; the first error ends the call and cancels those that haven't begun. Errors never show the service's text
+    or the key. The client can be sent to executors.
+    """
+
+    base_url: str
+    key: str
+    model: str
+    dimensions: int = 1536
+    timeout_s: float = 30.0
+    concurrency: int = CONCURRENCY
+
+    def __post_init__(self) -> None:
+        if not self.base_url.strip() or not self.key or not self.model.strip() or self.dimensions < 1 or self.timeout_s <= 0 or not 1 <= self.concurrency <= CONCURRENCY:
+            raise InvalidConfig("the embedding client's settings are incomplete")
+
+    def __repr__(self) -> str:
+        return f"HttpEmbedder({self.base_url!r}, {self.model!r}, {self.dimensions})"
+
+    def embed(self, texts: list[str]) -> list[tuple[list[float], int]]:
+        if not texts or any(not t.strip() for t in texts):
+            raise InvalidRequest("there is no text, or a blank one, to embed")
+        with ThreadPoolExecutor(min(self.concurrency, len(texts))) as pool:
+            asked = [pool.submit(self.one, t) for t in texts]
+            done, waiting = wait(asked, return_when=FIRST_EXCEPTION)
+            for f in waiting:
+                f.cancel()
+            if failed := next((f for f in done if f.exception()), None):
+                failed.result()
+        return [f.result() for f in asked]
+
+    def one(self, text: str) -> tuple[list[float], int]:
+        body = json.dumps({"model": self.model, "input": [text], "dimensions": self.dimensions, "encoding_format": "float"}).encode()
+        key = self.key.reveal() if hasattr(self.key, "reveal") else self.key
+        request = urllib.request.Request(f"{self.base_url.rstrip('/')}/embeddings", body, {"Authorization": f"Bearer {key}", "Content-Type": "application/json"})
+        try:
+            with urllib.request.urlopen(request, timeout=self.timeout_s) as response:  # noqa: S310
+                content = response.read(RESPONSE_BYTES + 1)
+        except (OSError, ValueError) as cause:
+            status = f" with status {cause.code}" if isinstance(cause, urllib.error.HTTPError) else ""
+            raise EmbeddingUnavailable(f"the embedding request failed{status}") from None
+        try:
+            if len(content) > RESPONSE_BYTES:
+                raise ValueError
+            answer = json.loads(content)
+            [item] = answer["data"]
+            vector, tokens = [float(x) for x in item["embedding"]], int(answer["usage"]["prompt_tokens"])
+        except (ValueError, KeyError, TypeError):
+            raise InvalidEmbedding("the service's answer isn't an embedding") from None
+        return checked([(vector, tokens)], 1, self.dimensions)[0]
+
+
 def checked(results: list[tuple[list[float], int]], count: int, dimensions: int) -> list[tuple[list[float], int]]:
     """What an embedder returned: as many results as texts, each with a token, the dimensions and finite 32-bit numbers."""
     right = len(results) == count and all(n >= 1 and len(v) == dimensions and all(abs(x) <= 3.4028234663852886e38 for x in v) for v, n in results)

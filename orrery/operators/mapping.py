@@ -76,8 +76,13 @@ def semantic_path(metadata: Column) -> Column:
     return F.when(texts, F.from_json(path, "array<string>"))
 
 
-def map_build(spec: BuildSpec, chunks: DataFrame) -> BuildData:
-    """The rows of a build, in the same order and with the same hashes each time; `validate` says whether they are right."""
+def map_build(spec: BuildSpec, chunks: DataFrame, profile: tuple[str, str] | None = None) -> BuildData:
+    """The rows of a build, in the same order and with the same hashes each time; `validate` says whether they are right.
+
+    profile: name and version under which the chunks were made; another one than the spec's is refused.
+    """
+    if profile is not None and tuple(x.strip() for x in profile) != (spec.config.profile_name.strip(), spec.config.profile_version.strip()):
+        raise InvalidBuild("R-PROF: the chunks were made under another profile")
     spark = chunks.sparkSession
     row = [x.strip() for x in (spec.set_id, spec.tenant_id, spec.knowledge_base_id, spec.document_id, spec.source_uri, spec.source_name, spec.content_sha256, spec.strategy_name, spec.config.profile_name, spec.config.profile_version)]
     names = "id tenant_id knowledge_base_id document_id source_uri source_name content_sha256 strategy_name profile_name profile_version config status".split()

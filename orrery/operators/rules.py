@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..errors import InvalidBuild
 from ..functions import canonical as J
 from ..functions import exprs as X
-from .chunking import PARENT_CHILD
+from .chunking import PARENT_CHILD, STRUCTURE_AWARE
 from .mapping import BuildData, embeddable
 
 SET, CHUNK = "chunk_set_id", ["chunk_set_id", "chunk_id"]
@@ -22,7 +22,7 @@ def _any(conditions: list[Column]) -> Column:
 
 
 def blank_or_padded_scope(sets: DataFrame) -> DataFrame:
-    return sets.filter(_any([X.padded(c) for c in ("id", "tenant_id", "knowledge_base_id", "document_id", "source_name", "profile_name", "profile_version")])).select("id")
+    return sets.filter(_any([X.padded(c) for c in ("id", "tenant_id", "knowledge_base_id", "document_id", "source_name", "strategy_name", "profile_name", "profile_version")])).select("id")
 
 
 def source_uri_policy(sets: DataFrame) -> DataFrame:
@@ -33,6 +33,60 @@ def content_hash_format(sets: DataFrame) -> DataFrame:
     return sets.filter(_any([~F.col("content_sha256").rlike(X.HEX64)])).select("id")
 
 
+#: The keys of a configuration snapshot; those that each strategy needs to be whole numbers of 1 or more; the policy.
+NUMBERS = {PARENT_CHILD: ("parent_max_runes", "child_max_runes"), STRUCTURE_AWARE: ("max_runes", "min_runes")}
+TEXTS, POLICY, CONTEXTS = ("heading_context", "embedding_input_policy"), "v1", ("prepend", "metadata_only")
+
+
+def config_snapshots(sets: DataFrame) -> DataFrame:
+    """Sets whose stored configuration isn't an object, has an unknown key or a value of the wrong type, lacks what its
+    strategy needs, has what only another one needs (0 and "" count as absent), or another policy than v1."""
+    whole = sets.withColumn("snapshot", F.try_parse_json("config"))
+    value = lambda k: F.try_variant_get("snapshot", f"$.{k}", "variant")
+    kind = lambda k: F.coalesce(F.schema_of_variant(value(k)), F.lit("VOID"))
+    number = lambda k: F.coalesce(F.try_variant_get("snapshot", f"$.{k}", "long"), F.lit(0))
+    text = lambda k: F.coalesce(F.try_variant_get("snapshot", f"$.{k}", "string"), F.lit(""))
+    numbers = [k for keys in NUMBERS.values() for k in keys]
+    unknown = F.size(F.array_except(F.coalesce(F.json_object_keys("config"), F.array(F.lit("?"))), F.array(*map(F.lit, [*numbers, *TEXTS])))) > 0
+    wrong = [~J.is_object(F.col("config")), unknown, *(~kind(k).isin("BIGINT", "VOID") for k in numbers), *(~kind(k).isin("STRING", "VOID") for k in TEXTS), text("embedding_input_policy") != POLICY]
+
+    def fits(strategy: str) -> Column:
+        own = [number(k) >= 1 if k in NUMBERS[strategy] else number(k) == 0 for k in numbers]
+        context = text("heading_context")
+        rest = [context == ""] if strategy == PARENT_CHILD else [context.isin(*CONTEXTS), number("min_runes") <= number("max_runes")]
+        return (F.col("strategy_name") == strategy) & reduce(lambda a, b: a & b, [*own, *rest])
+
+    return whole.filter(_any([*wrong, ~(fits(PARENT_CHILD) | fits(STRUCTURE_AWARE))])).select("id")
+
+
+def profile_mismatches(results: DataFrame, sets: DataFrame) -> DataFrame:
+    """Sets whose chunking result (id, strategy_name, profile_name, profile_version) was made under another profile or strategy."""
+    made = results.select("id", *(F.col(c).alias(f"made {c}") for c in ("strategy_name", "profile_name", "profile_version")))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"made {c}")) for c in ("strategy_name", "profile_name", "profile_version")])
+    return sets.join(made, "id").filter(~same).select("id")
+
+
+def other_documents(chunks: DataFrame, sets: DataFrame) -> DataFrame:
+    """Chunks of another document than their set's."""
+    own = sets.select(F.col("id").alias(SET), F.col("document_id").alias("set document"))
+    return chunks.join(own, SET).filter(~F.col("document_id").eqNullSafe(F.col("set document"))).select(*CHUNK)
+
+
+def other_sets(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Chunks or inputs of a set that isn't among these."""
+    return rows.join(sets.select(F.col("id").alias(SET)), SET, "left_anti").select(*CHUNK)
+
+
+def semantic_paths(chunks: DataFrame, sets: DataFrame) -> DataFrame:
+    """Chunks of sets that prepend headings from metadata, whose heading path is there but isn't an array of texts, none blank."""
+    context = F.get_json_object("config", "$.heading_context")
+    asked = chunks.join(sets.filter(context == "metadata_only").select(F.col("id").alias(SET)), SET, "left_semi")
+    found = F.get_json_object("metadata", "$.semantic_path")
+    texts = F.from_json(found, "array<string>")
+    right = (found == "[]") | ((F.schema_of_variant(F.try_parse_json(found)) == "ARRAY<STRING>") & F.forall(texts, lambda t: ~X.blank(t)))
+    return asked.filter(found.isNotNull() & ~F.coalesce(right, F.lit(False))).select(*CHUNK)
+
+
 def duplicate_chunk_ids(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy(*CHUNK).agg(F.count("*").alias("n")).filter("n > 1")
 
@@ -83,14 +137,15 @@ def orphan_children(chunks: DataFrame) -> DataFrame:
 
 
 def asymmetric_links(chunks: DataFrame) -> DataFrame:
-    """Neighbours that are missing, of another kind, level, document or parent, or that don't point back."""
-    out = []
-    for there, back in (("next_chunk_id", "previous_chunk_id"), ("previous_chunk_id", "next_chunk_id")):
-        other = chunks.select(SET, F.col("chunk_id").alias("there"), *(F.col(c).alias(f"o_{c}") for c in ("kind", "level", "document_id", "parent_chunk_id", back)))
-        mine = chunks.filter(F.col(there).isNotNull()).withColumn("there", F.col(there)).join(other, [SET, "there"], "left")
-        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"o_{c}")) for c in ("kind", "level", "document_id", "parent_chunk_id")])
-        out.append(mine.filter(~(same & F.col("chunk_id").eqNullSafe(F.col(f"o_{back}")))).select(*CHUNK))
-    return out[0].union(out[1]).distinct()
+    """Neighbours that are missing, of another kind, level, document or parent, or that don't point back. One join for both sides."""
+    same = ("kind", "level", "document_id", "parent_chunk_id")
+    fields = chunks.select(SET, "chunk_id", *same, "previous_chunk_id", "next_chunk_id")
+    other = fields.select(SET, F.col("chunk_id").alias("there"), *(F.col(c).alias(f"o_{c}") for c in (*same, "previous_chunk_id", "next_chunk_id")))
+    sides = F.array(F.struct(F.col("next_chunk_id").alias("there"), F.lit(True).alias("forward")), F.struct(F.col("previous_chunk_id").alias("there"), F.lit(False).alias("forward")))
+    mine = fields.select(SET, "chunk_id", *same, F.explode(F.filter(sides, lambda s: s["there"].isNotNull())).alias("side")).select(SET, "chunk_id", *same, "side.*")
+    back = F.when(F.col("forward"), F.col("o_previous_chunk_id")).otherwise(F.col("o_next_chunk_id"))
+    right = reduce(lambda a, b: a & b, [*(F.col(c).eqNullSafe(F.col(f"o_{c}")) for c in same), F.col("chunk_id").eqNullSafe(back)])
+    return mine.join(other, [SET, "there"], "left").filter(~right).select(*CHUNK).distinct()
 
 
 def input_targets(chunks: DataFrame, inputs: DataFrame, strategy: str) -> DataFrame:
@@ -148,7 +203,8 @@ def evidence_order(evidence: DataFrame) -> DataFrame:
 def checks(build: BuildData, strategy: str) -> dict[str, Callable[[], DataFrame]]:
     s, c, i = build.sets, build.chunks, build.inputs
     return {
-        "R-SPEC": lambda: blank_or_padded_scope(s), "R-URI": lambda: source_uri_policy(s), "R-SHA": lambda: content_hash_format(s),
+        "R-SPEC": lambda: blank_or_padded_scope(s), "R-URI": lambda: source_uri_policy(s), "R-SHA": lambda: content_hash_format(s), "R-CFG2": lambda: config_snapshots(s),
+        "R-CH7": lambda: other_documents(c, s), "R-CH8": lambda: other_sets(c.select(*CHUNK).union(i.select(*CHUNK)), s), "R-PATH": lambda: semantic_paths(c, s),
         "R-CH1": lambda: chunk_fields(c), "R-CH2": lambda: duplicate_chunk_ids(c), "R-CH3": lambda: duplicate_sequences(c), "R-CH5": lambda: rune_counts(c),
         "R-CH6": lambda: blank_units(c), "R-CH9": lambda: metadata_objects(c), "R-CH10": lambda: self_relations(c), "R-KIND": lambda: kinds(c, strategy),
         "R-PC2": lambda: orphan_children(c), "R-ADJ": lambda: asymmetric_links(c), "R-IN1": lambda: input_targets(c, i, strategy),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..errors import InvalidEvidence, InvalidRequest
 from ..functions import exprs as X
+from ..functions.canonical import parse_object
 
 MOST, QUERY_RUNES = 20, 4096
 #: Rows of query vectors that are broadcast to the candidates.
@@ -54,8 +55,8 @@ def search(sets: DataFrame, chunks: DataFrame, embeddings: DataFrame, request: S
     return rows.join(F.broadcast(top), ["chunk_set_id", "chunk_id"]).select(*EVIDENCE).orderBy("cosine_distance", "chunk_set_id", "chunk_id")
 
 
-def search_many(queries: DataFrame, candidates: DataFrame, limit: int) -> DataFrame:
-    """query_id, rank and distance of the nearest candidates of each query (query_id, vector) in its model space.
+def search_many(queries: DataFrame, candidates: DataFrame, limit: int | None) -> DataFrame:
+    """query_id, rank and distance of the nearest candidates of each query (query_id, vector) in its model space; all without a limit.
 
     Queries are a stated set, broadcast in blocks of at most BROADCAST_QUERIES; Spark keeps `limit` rows for each query and
     task before the shuffle (window group limit).
@@ -66,23 +67,31 @@ def search_many(queries: DataFrame, candidates: DataFrame, limit: int) -> DataFr
         some = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == k)
         pairs = candidates.join(F.broadcast(some), "model_key").withColumn("cosine_distance", X.cosine_distance(F.col("embedding"), F.col("vector"))).filter("cosine_distance is not null")
         order = Window.partitionBy("query_id").orderBy("cosine_distance", "chunk_set_id", "chunk_id")
-        found = pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit).select("query_id", "rank", "chunk_set_id", "chunk_id", "cosine_distance")
+        placed = pairs.withColumn("rank", F.row_number().over(order))
+        found = (placed if limit is None else placed.filter(F.col("rank") <= limit)).select("query_id", "rank", "chunk_set_id", "chunk_id", "cosine_distance")
         out = found if out is None else out.union(found)
     return out
 
 
+def whole_evidence(r: dict) -> bool:
+    """Whether a row of evidence has all it needs: texts that aren't blank, ids without white space at an end, numbers in range."""
+    texts = [r[c] for c in ("chunk_set_id", "chunk_id", "document_id", "source_uri", "source_name", "kind", "content")]
+    units = r["source_unit_ids"]
+    if any(not isinstance(t, str) or not t.strip() for t in [*texts, *(units or [None])]) or any(t != t.strip() for t in texts[:2]):
+        return False
+    numbers = r["sequence"], r["token_count"], r["cosine_distance"]
+    return None not in numbers and numbers[0] >= 1 and numbers[1] >= 0 and 0 <= numbers[2] <= 2 and parse_object(r["metadata"]) is not None
+
+
 def validate_evidence(rows: list, limit: int) -> None:
     """Evidence as it is returned: at most `limit` rows in order, each one whole and once."""
-    import json
-
     if len(rows) > limit:
         raise InvalidEvidence("too many rows")
     before = None
     for r in rows:
-        key = (r["cosine_distance"], r["chunk_set_id"].encode(), r["chunk_id"].encode())
-        whole = all(str(r[c]).strip() for c in ("chunk_set_id", "chunk_id", "document_id", "source_uri", "source_name", "kind", "content")) and r["sequence"] >= 1 and r["token_count"] >= 0 and len(r["source_unit_ids"]) > 0
-        if not whole or not 0 <= r["cosine_distance"] <= 2 or not isinstance(json.loads(r["metadata"]), dict):
+        if not whole_evidence(r):
             raise InvalidEvidence(f"{r['chunk_id']} isn't whole")
+        key = (r["cosine_distance"], r["chunk_set_id"].encode(), r["chunk_id"].encode())
         if before is not None and key <= before:
             raise InvalidEvidence("rows are out of order or repeated")
         before = key

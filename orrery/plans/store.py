@@ -185,12 +185,15 @@ class IndexStore:
         row = self._find(set_id)
         scope = [row[k] for k in SCOPE]
         self.validate(set_id)
+        checked = self._frame("chunk_embeddings", [row["embeddings"]]).count()
         switched: dict[tuple[str, bool], str] = {}
 
         def visible(r: dict, shown: bool) -> str:
             key = (r["embeddings"], shown)
             if key not in switched:
                 switched[key] = self._write("chunk_embeddings", r["id"], self._frame("chunk_embeddings", [r["embeddings"]]).withColumn("searchable", F.lit(shown)))
+                if shown and (n := self._frame("chunk_embeddings", [switched[key]]).filter("searchable").count()) != checked:
+                    raise BuildConflict(f"{n} vectors became visible, {checked} were checked")
             return switched[key]
 
         def change(state: dict) -> None:
@@ -234,5 +237,5 @@ class IndexStore:
         for name, key in (("chunks", "chunks"), ("chunk_embeddings", "embeddings")):
             folders = [r[key] for r in self._all().values() if r[key]]
             found[name] = self.spark.read.parquet(folders[0]).schema if folders else schemas.TABLES[name]
-        if problems := schemas.drift(found):
+        if problems := schemas.drift(found, nullability=False):
             raise SchemaDrift("; ".join(f"{d.table}.{d.column}: {d.problem}" for d in problems))

@@ -67,12 +67,13 @@ class IndexingWorkflow:
 
     def ingest_document(self, s: IndexState) -> IndexState:
         found = U.read_files(self.spark, s.request.source_uri).withColumn("document_id", F.lit(s.request.document_id))
-        content = found.orderBy("position").agg(F.sha2(F.array_join(F.collect_list("content"), "\n"), 256).alias("h")).first()["h"]
-        units = U.prepared(found.withColumn("content_sha256", F.lit(content))).cache()
-        first = units.select("structured").first()
-        if first is None:
+        units = U.stamped(U.prepared(found), F.lit(s.request.canonical_uri), F.col("mime_type")).cache()
+        kinds = units.select("structured", "content_sha256").distinct().limit(2).collect()
+        if not kinds:
             raise InvalidBuild("the document has no content")
-        return replace(s, units=units, strategy=STRUCTURE_AWARE if first["structured"] else PARENT_CHILD, counts={"content_sha256": content})
+        if len(kinds) > 1:
+            raise InvalidBuild("the address names more than one document")
+        return replace(s, units=units, strategy=STRUCTURE_AWARE if kinds[0]["structured"] else PARENT_CHILD, counts={"content_sha256": kinds[0]["content_sha256"]})
 
     def chunk_document(self, s: IndexState) -> IndexState:
         return replace(s, chunks=self.chunker.chunk(s.units).drop("strategy_name"))
@@ -80,7 +81,7 @@ class IndexingWorkflow:
     def prepare_index(self, s: IndexState) -> IndexState:
         r = s.request
         spec = BuildSpec(r.set_id, r.tenant_id, r.knowledge_base_id, r.document_id, r.canonical_uri, r.source_name, s.counts["content_sha256"], s.strategy, self.chunker.config, self.model, r.title)
-        build = map_build(spec, s.chunks)
+        build = map_build(spec, s.chunks, (self.chunker.config.profile_name, self.chunker.config.profile_version))
         pending = self.store.prepare_build(build, spec).cache()
         row = index_result(build.chunks, build.inputs, pending).first().asDict()
         return replace(s, spec=spec, build=build, pending=pending, counts=s.counts | row)
@@ -116,6 +117,10 @@ class Query:
         q = replace(self, run_id=self.run_id.strip(), query=self.query.strip(), tenant_id=self.tenant_id.strip(), knowledge_base_id=self.knowledge_base_id.strip())
         if not all((q.run_id, q.query, q.tenant_id, q.knowledge_base_id)) or len(q.query) > search.QUERY_RUNES or not 1 <= q.top_k <= search.MOST:
             raise InvalidRequest("the query lacks a field or is out of bounds")
+        try:
+            "".join((q.run_id, q.query, q.tenant_id, q.knowledge_base_id)).encode()
+        except UnicodeEncodeError:
+            raise InvalidRequest("the query isn't valid Unicode") from None
         return q
 
 

@@ -94,9 +94,9 @@ def visible_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evidence_order_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ranked evidence in which every seventh row stands three places too early."""
+    """All visible candidates of a query, ranked, in which every seventh row stands three places too early."""
     sets, _, vectors = vector_index(spark, sf_dir)
-    ranks = search.search_many(read(spark, sf_dir, "embeddings").filter(F.col("vec_id") == QUERY_ID).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"), MODEL.key().alias("model_key")), search.visible(sets, vectors), 200)
+    ranks = search.search_many(read(spark, sf_dir, "embeddings").filter(F.col("vec_id") == QUERY_ID).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"), MODEL.key().alias("model_key")), search.visible(sets, vectors), None)
     moved = ranks.withColumn("rank", (F.col("rank") * 10 - F.when(F.col("rank") % 7 == 0, 35).otherwise(0)).cast("long"))
     return rules.evidence_order(moved)
 
@@ -152,6 +152,103 @@ def rule_source_uri(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.source_uri_policy(read(spark, sf_dir, "embeddings").select(v.alias("id"), uri.alias("source_uri")))
 
 
+def form_of(forms: list[str], c: Column) -> Column:
+    """One of the texts, by number."""
+    return F.get(F.array(*map(F.lit, forms)), (c % len(forms)).cast("int"))
+
+
+#: Identifiers that a set may have, and two that it may not; hashes likewise.
+IDENTIFIERS = ["a", "a b", " a", "a\u3000", "\t", "", "é"]
+HASHES = ["0" * 64, "0123456789abcdef" * 4, "A" * 64, "0" * 63, "g" * 64, ""]
+#: (strategy, configuration) of sets; from the third on they break the rule.
+SNAPSHOTS = [
+    ("parent_child", '{"parent_max_runes":2000,"child_max_runes":500,"embedding_input_policy":"v1"}'),
+    ("structure_aware", '{"max_runes":1800,"min_runes":600,"heading_context":"metadata_only","embedding_input_policy":"v1"}'),
+    ("parent_child", '{"parent_max_runes":2000,"child_max_runes":500,"embedding_input_policy":"v2"}'),
+    ("parent_child", '{"parent_max_runes":2000,"child_max_runes":500,"embedding_input_policy":"v1","extra":1}'),
+    ("parent_child", '{"parent_max_runes":"2000","child_max_runes":500,"embedding_input_policy":"v1"}'),
+    ("parent_child", '{"parent_max_runes":2000,"embedding_input_policy":"v1"}'),
+    ("parent_child", '{"parent_max_runes":2000,"child_max_runes":500,"max_runes":1,"embedding_input_policy":"v1"}'),
+    ("structure_aware", '{"max_runes":600,"min_runes":1800,"heading_context":"prepend","embedding_input_policy":"v1"}'),
+    ("structure_aware", '{"max_runes":1800,"min_runes":600,"heading_context":"other","embedding_input_policy":"v1"}'),
+    ("other", '{"max_runes":1800,"min_runes":600,"heading_context":"prepend","embedding_input_policy":"v1"}'),
+    ("parent_child", "[]"),
+    ("parent_child", "{"),
+    ("structure_aware", '{"max_runes":1800.5,"min_runes":600,"heading_context":"prepend","embedding_input_policy":"v1"}'),
+]
+#: Metadata whose heading path is right or missing, and, from the sixth on, wrong.
+PATHS = ["{}", '{"semantic_path":[]}', '{"semantic_path":["a"," b "]}', '{"semantic_path":null}', '{"x":[1]}', '{"semantic_path":[" "]}', '{"semantic_path":"a"}', '{"semantic_path":[1,"a"]}', '{"semantic_path":["a",null]}', '{"semantic_path":{"a":"b"}}', '{"semantic_path":[null]}', '{"semantic_path":7}']
+#: Objects, and, from the fourth on, what isn't one.
+METADATA = ["{}", '{"a":{"b":[1]}}', ' {"a":1} ', "[]", "null", '{"a":1}x', '{"a":NaN}', "", "7", '"x"']
+
+
+def numbered_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets that break no rule: one for each vector."""
+    v = F.col("vec_id")
+    name = lambda n: text_of(f"{n}-", v).alias(n)
+    return read(spark, sf_dir, "embeddings").select("vec_id", text_of("set-", v).alias("id"), *map(name, ("tenant_id", "knowledge_base_id", "document_id", "source_name", "profile_name", "profile_version")), F.lit(PARENT_CHILD).alias("strategy_name"))
+
+
+def rule_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each field of a set's scope and profile is blank or padded in some sets."""
+    v, fields = F.col("vec_id"), ("tenant_id", "knowledge_base_id", "document_id", "source_name", "strategy_name", "profile_name", "profile_version")
+    sets = numbered_sets(spark, sf_dir)
+    return rules.blank_or_padded_scope(sets.withColumns({c: F.when(v % 8 == i, form_of(IDENTIFIERS, F.floor(v / 8))).otherwise(F.col(c)) for i, c in enumerate(fields)}))
+
+
+def rule_content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.content_hash_format(numbered_sets(spark, sf_dir).withColumn("content_sha256", form_of(HASHES, F.col("vec_id"))))
+
+
+def rule_config_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.col("vec_id")
+    return rules.config_snapshots(numbered_sets(spark, sf_dir).withColumns({"strategy_name": form_of([x for x, _ in SNAPSHOTS], v), "config": form_of([x for _, x in SNAPSHOTS], v)}))
+
+
+def rule_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of which some were made under another profile, version or strategy."""
+    sets, v = numbered_sets(spark, sf_dir), F.col("vec_id")
+    other = {c: F.when(v % 10 == i, F.lit("other")).otherwise(F.col(c)) for i, c in enumerate(("strategy_name", "profile_name", "profile_version"))}
+    return rules.profile_mismatches(sets.withColumns(other), sets)
+
+
+def numbered_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return numbered_sets(spark, sf_dir).select("vec_id", F.col("id").alias("chunk_set_id"), text_of("chunk-", "vec_id").alias("chunk_id"), "document_id")
+
+
+def rule_other_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = numbered_chunks(spark, sf_dir).withColumn("document_id", F.when(F.col("vec_id") % 9 == 2, F.lit("document_id-x")).when(F.col("vec_id") % 9 != 3, F.col("document_id")))
+    return rules.other_documents(chunks, numbered_sets(spark, sf_dir))
+
+
+def rule_other_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.other_sets(numbered_chunks(spark, sf_dir), numbered_sets(spark, sf_dir).filter("vec_id % 4 <> 3"))
+
+
+def rule_semantic_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heading paths of all forms, in sets that take headings from the metadata and in sets that don't."""
+    v = F.col("vec_id")
+    sets = numbered_sets(spark, sf_dir).withColumn("config", X.config_structure(F.lit(1800), F.lit(600), F.when(v % 5 == 0, "prepend").otherwise("metadata_only")))
+    return rules.semantic_paths(numbered_chunks(spark, sf_dir).withColumn("metadata", form_of(PATHS, v)), sets)
+
+
+def rule_metadata_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.metadata_objects(numbered_chunks(spark, sf_dir).withColumn("metadata", form_of(METADATA, F.col("vec_id"))))
+
+
+def rule_embedding_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of which some break one part of the rule each, and one in twenty is there twice."""
+    e, v = read(spark, sf_dir, "embeddings"), F.col("vec_id")
+    at = lambda n, wrong, right: F.when(v % 20 == n, wrong).otherwise(right)
+    text = text_of("text of ", v)
+    vector = at(7, F.slice("embedding", 1, 63), at(8, F.transform("embedding", lambda x: F.lit(float("nan")).cast("float")), F.col("embedding")))
+    out = e.select(
+        at(1, F.lit("no uuid"), uuid_of(text_of("set:", v))).alias("chunk_set_id"), at(2, F.lit(" padded"), text_of("chunk-", v)).alias("chunk_id"), at(3, F.lit(""), F.lit("m")).alias("model_key"), at(4, F.lit(" "), text).alias("embedding_text"),
+        at(5, F.lit("0"), X.sha256(text)).alias("input_sha256"), at(6, F.lit(0), F.lit(3)).alias("embedding_token_count"), vector.alias("embedding"), "vec_id",
+    )
+    return rules.embedding_records(out.union(out.filter(v % 20 == 9)), 64)
+
+
 # ---- documents as chunks
 
 
@@ -185,6 +282,13 @@ def unit_preparation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return longs(units(spark, sf_dir).select("document_id", "tenant_id", "knowledge_base_id", "content_sha256", "unit_index", "unit_id"), "unit_index")
 
 
+def unit_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six keys that each unit of the documents carries, beside one of its own; a key of the same name gives way."""
+    own = U.of_table(read(spark, sf_dir, "documents")).withColumn("metadata", F.create_map(F.lit("language"), F.col("knowledge_base_id"), F.lit("unit_type"), F.lit("given")))
+    found = U.stamped(U.prepared(own), F.col("uri"), F.lit("text/plain"))
+    return found.select("unit_id", *(F.col("metadata")[k].alias(k) for k in ("language", "source_uri", "mime_type", "document_id", "document_version_id", "unit_type", "unit_index")))
+
+
 def document_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = F.concat(F.lit("https://example.com/files/part-"), (F.col("doc_id") % 50).cast("string"), F.lit(".tar/Report "), F.col("doc_id").cast("string"), F.lit(".md"))
     return read(spark, sf_dir, "documents").select("doc_id", X.document_id(uri).alias("document_id"), X.display_name(uri).alias("source_name"), X.title(X.display_name(uri)).alias("title"))
@@ -326,7 +430,7 @@ def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [vector_search_topk, search_isolation, batch_search_topk, visible_candidates, evidence_order_check, publish_transition, active_uniqueness, profile_config_conflict, config_snapshots, model_keys, rule_vectors, rule_early_visible, rule_source_uri, unit_preparation, document_identity, parent_chunks, child_chunks, chunk_links, chunk_statistics, embedding_inputs, embedding_inputs_structure, prepare_build_missing, index_result_counts, reconcile_deletes, reconcile_upserts, stale_embeddings, rule_input_targets, rule_unknown_pending, page_sections]
+    named = [vector_search_topk, search_isolation, batch_search_topk, visible_candidates, evidence_order_check, publish_transition, active_uniqueness, profile_config_conflict, config_snapshots, model_keys, rule_vectors, rule_early_visible, rule_source_uri, rule_identifiers, rule_content_hash, rule_config_snapshots, rule_profiles, rule_other_documents, rule_other_sets, rule_semantic_paths, rule_metadata_objects, rule_embedding_records, unit_metadata, unit_preparation, document_identity, parent_chunks, child_chunks, chunk_links, chunk_statistics, embedding_inputs, embedding_inputs_structure, prepare_build_missing, index_result_counts, reconcile_deletes, reconcile_upserts, stale_embeddings, rule_input_targets, rule_unknown_pending, page_sections]
     return {f.__name__: f for f in named} | {
         "rule_duplicate_chunk_ids": of_broken(rules.duplicate_chunk_ids),
         "rule_duplicate_sequences": lambda spark, sf_dir: longs(rules.duplicate_sequences(broken(spark, sf_dir)), "sequence"),
@@ -347,6 +451,9 @@ _SIDE = """SELECT m.chunk_set_id, m.chunk_id FROM b m LEFT JOIN b o ON o.chunk_s
  (m.kind IS NOT DISTINCT FROM o.kind AND m.level IS NOT DISTINCT FROM o.level AND m.document_id IS NOT DISTINCT FROM o.document_id AND m.parent_chunk_id IS NOT DISTINCT FROM o.parent_chunk_id AND m.chunk_id IS NOT DISTINCT FROM o.{back}_chunk_id)"""
 
 
+_NUMBERED = "SELECT 'set-' || vec_id AS chunk_set_id, 'chunk-' || vec_id AS chunk_id FROM embeddings WHERE"
+
+
 def oracle_sql() -> dict[str, str]:
     near = "SELECT *, list_cosine_distance(embedding::DOUBLE[], q) AS d FROM vis, q"
     shared = "SELECT *, substr(document_id, 10, 1) AS doc FROM i"
@@ -355,7 +462,7 @@ def oracle_sql() -> dict[str, str]:
         "search_isolation": f"{VECTORS} SELECT CASE WHEN tenant_id <> '{TENANT}' THEN 'tenant' WHEN knowledge_base_id <> '{KNOWLEDGE_BASE}' THEN 'knowledge base' WHEN status <> 'active' THEN status WHEN NOT searchable THEN 'not searchable' WHEN model_key <> key THEN 'model' ELSE 'visible' END AS excluded_by, count(*) AS candidates FROM i, k GROUP BY 1",
         "batch_search_topk": f"{VECTORS} SELECT query_id, rank, chunk_set_id, chunk_id, round(d, 6) AS cosine_distance FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, chunk_set_id, chunk_id) AS rank FROM (SELECT s.vec_id AS query_id, chunk_set_id, chunk_id, list_cosine_distance(vis.embedding::DOUBLE[], s.embedding::DOUBLE[]) AS d FROM vis JOIN k ON model_key = key, embeddings s WHERE s.vec_id % 20 = 0)) WHERE rank <= 5",
         "visible_candidates": f"{VECTORS} SELECT tenant_id, knowledge_base_id, model_key, count(*) AS candidates FROM vis GROUP BY ALL",
-        "evidence_order_check": f"{VECTORS}, n AS (SELECT *, row_number() OVER (ORDER BY d, chunk_set_id, chunk_id) AS r FROM ({near}) JOIN k ON model_key = key), m AS (SELECT r * 10 - CASE WHEN r % 7 = 0 THEN 35 ELSE 0 END AS rank, r, chunk_set_id, chunk_id FROM n WHERE r <= 200) SELECT rank, chunk_set_id, chunk_id FROM (SELECT *, lag(r) OVER (ORDER BY rank) AS b FROM m) WHERE b >= r",
+        "evidence_order_check": f"{VECTORS}, n AS (SELECT *, row_number() OVER (ORDER BY d, chunk_set_id, chunk_id) AS r FROM ({near}) JOIN k ON model_key = key), m AS (SELECT r * 10 - CASE WHEN r % 7 = 0 THEN 35 ELSE 0 END AS rank, r, chunk_set_id, chunk_id FROM n) SELECT rank, chunk_set_id, chunk_id FROM (SELECT *, lag(r) OVER (ORDER BY rank) AS b FROM m) WHERE b >= r",
         "publish_transition": f"{VECTORS}, s AS ({shared}), f AS (SELECT tenant_id, knowledge_base_id, doc, min(chunk_set_id) AS id FROM s WHERE status = 'building' GROUP BY ALL) SELECT chunk_set_id AS id, s.tenant_id, s.knowledge_base_id, doc AS document_id, CASE WHEN f.id = chunk_set_id THEN 'active' WHEN f.id IS NOT NULL AND status = 'active' THEN 'retired' ELSE status END AS status FROM s LEFT JOIN f USING (tenant_id, knowledge_base_id, doc)",
         "active_uniqueness": f"{VECTORS} SELECT tenant_id, knowledge_base_id, doc AS document_id, 'parent_child' AS strategy_name, count(*) AS n FROM ({shared}) WHERE status = 'active' GROUP BY ALL HAVING count(*) > 1",
         "profile_config_conflict": "SELECT 'parent_child' AS strategy_name, 'profile-' || (vec_id % 7) AS profile_name, 'v' || (vec_id % 3) AS profile_version, count(DISTINCT CASE WHEN vec_id % 42 = 5 THEN 1000 ELSE 2000 END) AS configs FROM embeddings GROUP BY ALL HAVING configs > 1",
@@ -363,6 +470,16 @@ def oracle_sql() -> dict[str, str]:
         "model_keys": "SELECT vec_id, 'model-' || (vec_id % 5) || ':' || sha256('model-' || (vec_id % 5) || chr(0) || (vec_id % 3 + 64) || chr(0) || 'cosine' || chr(0) || 'v' || vec_id) AS model_key FROM embeddings",
         "rule_vectors": f"{VECTORS} SELECT chunk_set_id, chunk_id FROM i WHERE v % 17 = 0 OR v % 19 = 0 OR v % 23 = 0",
         "rule_early_visible": f"{VECTORS} SELECT chunk_set_id, chunk_id FROM i WHERE status = 'building' AND searchable",
+        "rule_identifiers": f"SELECT 'set-' || vec_id AS id FROM embeddings WHERE vec_id % 8 < 7 AND (vec_id // 8) % {len(IDENTIFIERS)} IN (2, 3, 4, 5)",
+        "rule_content_hash": f"SELECT 'set-' || vec_id AS id FROM embeddings WHERE vec_id % {len(HASHES)} >= 2",
+        "rule_config_snapshots": f"SELECT 'set-' || vec_id AS id FROM embeddings WHERE vec_id % {len(SNAPSHOTS)} >= 2",
+        "rule_profiles": "SELECT 'set-' || vec_id AS id FROM embeddings WHERE vec_id % 10 < 3",
+        "rule_other_documents": f"{_NUMBERED} vec_id % 9 IN (2, 3)",
+        "rule_other_sets": f"{_NUMBERED} vec_id % 4 = 3",
+        "rule_semantic_paths": f"{_NUMBERED} vec_id % 5 <> 0 AND vec_id % {len(PATHS)} >= 5",
+        "rule_metadata_objects": f"{_NUMBERED} vec_id % {len(METADATA)} >= 3",
+        "rule_embedding_records": "SELECT CASE WHEN v % 20 = 1 THEN 'no uuid' ELSE substr(h,1,8) || '-' || substr(h,9,4) || '-' || substr(h,13,4) || '-' || substr(h,17,4) || '-' || substr(h,21,12) END AS chunk_set_id, CASE WHEN v % 20 = 2 THEN ' padded' ELSE 'chunk-' || v END AS chunk_id FROM (SELECT vec_id AS v, md5('set:' || vec_id) AS h FROM embeddings) WHERE v % 20 BETWEEN 1 AND 9",
+        "unit_metadata": "SELECT sha256(sha256(text) || ':1:' || text) AS unit_id, lang AS language, 'synthetic://documents/' || doc_id AS source_uri, 'text/plain' AS mime_type, 'document-' || substr(sha256('synthetic://documents/' || doc_id), 1, 32) AS document_id, sha256(text) AS document_version_id, 'document' AS unit_type, '1' AS unit_index FROM documents WHERE regexp_replace(text, '^\\s+|\\s+$', '', 'g') <> ''",
         "rule_source_uri": "SELECT vec_id AS id FROM embeddings WHERE vec_id % 12 IN (3, 4, 5, 6, 7, 8, 9, 10)",
         "unit_preparation": f"{CHUNKS} SELECT document_id, tenant_id, knowledge_base_id, content_sha256, unit_index::BIGINT AS unit_index, unit_id FROM u",
         "document_identity": "SELECT doc_id, 'document-' || substr(sha256('https://example.com/files/part-' || (doc_id % 50) || '.tar/Report ' || doc_id || '.md'), 1, 32) AS document_id, 'Report ' || doc_id || '.md' AS source_name, 'Report ' || doc_id AS title FROM documents",

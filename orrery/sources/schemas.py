@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+from ..errors import InvalidConfig
+
 
 def _schema(fields: str) -> T.StructType:
     kinds = {"string": T.StringType(), "int": T.IntegerType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "strings": T.ArrayType(T.StringType()), "floats": T.ArrayType(T.FloatType())}
@@ -18,6 +21,14 @@ EMBEDDINGS = _schema("chunk_set_id:string chunk_id:string model_key:string embed
 TABLES = {"chunk_sets": SETS, "chunks": CHUNKS, "chunk_embeddings": EMBEDDINGS}
 
 
+def qualified(schema: str, table: str) -> str:
+    """A table's quoted name in a catalog; a schema's name that isn't a plain identifier is refused."""
+    name = schema.strip()
+    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name, re.ASCII):
+        raise InvalidConfig("the schema's name isn't an identifier")
+    return ".".join(f"`{x.replace('`', '``')}`" for x in (name, table))
+
+
 @dataclass(frozen=True)
 class Drift:
     table: str
@@ -25,8 +36,11 @@ class Drift:
     problem: str
 
 
-def drift(found: dict[str, T.StructType]) -> list[Drift]:
-    """Differences in the order of table and column names; further columns are allowed. Parquet reads every column as nullable."""
+def drift(found: dict[str, T.StructType], nullability: bool = True) -> list[Drift]:
+    """Differences in the order of table and column names; further columns are allowed.
+
+    nullability: also where a column may be null on one side alone. Not for schemas of read Parquet files, where all may be.
+    """
     out = []
     for name, schema in sorted(TABLES.items()):
         if name not in found:
@@ -38,4 +52,6 @@ def drift(found: dict[str, T.StructType]) -> list[Drift]:
                 out.append(Drift(name, f.name, "missing column"))
             elif have.dataType.simpleString() != f.dataType.simpleString():
                 out.append(Drift(name, f.name, f"{have.dataType.simpleString()} instead of {f.dataType.simpleString()}"))
+            elif nullability and have.nullable != f.nullable:
+                out.append(Drift(name, f.name, "may be null" if have.nullable else "may not be null"))
     return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 
@@ -109,11 +110,16 @@ def parse_html(text: str) -> list[tuple[str, list[str]]]:
     return [("".join(b), ["".join(heading or [])]) for b in blocks]
 
 
+#: Media types by extension.
+MIME_TYPES = {"md": "text/markdown", "markdown": "text/markdown", "txt": "text/plain", "html": "text/html", "htm": "text/html"}
 PARSERS: dict[str, tuple[Parser, bool]] = {"md": (parse_markdown, True), "markdown": (parse_markdown, True), "txt": (parse_text, False)}
 
 
 def read_files(spark: SparkSession, path: str, parsers: dict[str, tuple[Parser, bool]] = PARSERS, most_bytes: int = 64 << 20) -> DataFrame:
-    """Units of the files under a path of any store, parsed by extension; unknown extensions and too large files are errors."""
+    """Units of the files under a path of any store, parsed by extension; unknown extensions and too large files are errors.
+
+    content_sha256 is the hash of a file's bytes: what a parser leaves out changes the version too.
+    """
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -123,13 +129,15 @@ def read_files(spark: SparkSession, path: str, parsers: dict[str, tuple[Parser,
                 if kind not in parsers:
                     raise ValueError(f"no parser for .{kind}")
                 parser, structured = parsers[kind]
-                rows += [(p, i, text, structured, path) for i, (text, path) in enumerate(parser(content.decode()))]
-            yield pd.DataFrame(rows, columns=["uri", "position", "content", "structured", "path"])
+                digest, mime = hashlib.sha256(content).hexdigest(), MIME_TYPES.get(kind, "application/octet-stream")
+                rows += [(p, i, text, structured, path, digest, mime) for i, (text, path) in enumerate(parser(content.decode()))]
+            yield pd.DataFrame(rows, columns=["uri", "position", "content", "structured", "path", "content_sha256", "mime_type"])
 
     files = spark.read.format("binaryFile").load(path)
     if files.filter(F.col("length") > most_bytes).limit(1).count():
         raise ValueError(f"a file has more than {most_bytes} bytes")
-    return files.select("path", "content").mapInPandas(work, "uri string, " + UNITS.split(", ", 1)[1]).withColumn("document_id", X.document_id(F.col("uri")))
+    found = files.select("path", "content").mapInPandas(work, "uri string, " + UNITS.split(", ", 1)[1] + ", content_sha256 string, mime_type string")
+    return found.withColumn("document_id", X.document_id(F.col("uri")))
 
 
 def synthetic_uri(doc_id: Column) -> Column:
@@ -142,6 +150,7 @@ def of_table(docs: DataFrame) -> DataFrame:
         X.document_id(synthetic_uri(F.col("doc_id"))).alias("document_id"),
         F.col("source").alias("tenant_id"),
         F.col("lang").alias("knowledge_base_id"),
+        synthetic_uri(F.col("doc_id")).alias("uri"),
         X.sha256(F.col("text")).alias("content_sha256"),
         F.lit(0).alias("position"),
         F.col("text").alias("content"),
@@ -153,3 +162,12 @@ def prepared(units: DataFrame) -> DataFrame:
     order = Window.partitionBy("document_id").orderBy("position")
     kept = units.filter(~X.blank("content")).withColumn("unit_index", F.row_number().over(order))
     return kept.withColumn("unit_id", X.unit_id(F.col("content_sha256"), F.col("unit_index"), F.col("content")))
+
+
+def stamped(units: DataFrame, source_uri: Column, mime_type: Column, unit_type: str = "document") -> DataFrame:
+    """Adds to prepared units their metadata: what a column `metadata` (a map of texts) has, under six keys of the document's own."""
+    own = F.create_map(*(x for k, v in (("source_uri", source_uri), ("mime_type", mime_type), ("document_id", F.col("document_id")), ("document_version_id", F.col("content_sha256")), ("unit_type", F.lit(unit_type)), ("unit_index", F.col("unit_index").cast("string"))) for x in (F.lit(k), v)))
+    if "metadata" not in units.columns:
+        return units.withColumn("metadata", own)
+    kept = F.map_filter(F.coalesce("metadata", F.create_map().cast("map<string,string>")), lambda k, _: ~F.array_contains(F.map_keys(own), k))
+    return units.withColumn("metadata", F.map_concat(kept, own))

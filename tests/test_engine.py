@@ -1,11 +1,15 @@
+import hashlib
+import http.server
+import json
 import threading
+import time
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from orrery.__main__ import arguments
-from orrery.errors import BuildConflict, EngineError, InvalidBuild, InvalidConfig, InvalidDependencies, InvalidEmbedding, InvalidEvidence, InvalidRequest, OversizeBlock, StoreUnavailable
+from orrery.__main__ import LOCAL_MODEL, arguments, embedding
+from orrery.errors import BuildConflict, EmbeddingUnavailable, EngineError, InvalidBuild, InvalidConfig, InvalidDependencies, InvalidEmbedding, InvalidEvidence, InvalidRequest, OversizeBlock, StoreUnavailable
 from orrery.functions import canonical, exprs
 from orrery.operators import chunking, embedder, rules, search
 from orrery.operators.mapping import BuildSpec, ModelProfile, map_build
@@ -90,6 +94,28 @@ def test_oversize_block(spark):
     assert issubclass(OversizeBlock, InvalidBuild)
 
 
+def test_headings_count_and_sections_reach_their_least(spark):
+    limits = chunking.ChunkConfig(structure_max=100, structure_min=40)
+    text = "# Heading\n\n" + "\n\n".join("word " * 5 + f"n{i}" for i in range(9)) + "\n\n## Other\n\n" + "x" * 350 + "\n"
+    found = chunking.structure_aware(as_units(spark, text), limits).orderBy("sequence").collect()
+    assert all(r.character_count <= 100 and r.character_count == len(r.content) for r in found)
+    assert {r.content.split("\n\n")[0] for r in found} == {"Heading", "Heading > Other"}
+    assert "".join(r.content.removeprefix("Heading > Other\n\n") for r in found if "Other" in r.content) == "x" * 350
+
+
+def test_last_run_of_a_section_takes_from_the_one_before():
+    texts = [(str(i), "a" * n) for i, n in enumerate((30, 30, 30, 10))]
+    assert [[len(x) for _, x in run] for run in chunking.section_chunks(texts, 94, 25)] == [[30, 30], [30, 10]]
+    assert [[len(x) for _, x in run] for run in chunking.section_chunks(texts, 94, 70)] == [[30, 30, 30], [10]]
+    assert chunking.section_chunks([], 94, 25) == []
+
+
+def test_headings_that_leave_no_room_stay_in_the_metadata():
+    limits = chunking.ChunkConfig(structure_max=100, structure_min=40)
+    assert chunking.structured([("u", "body", ["h" * 60])], limits) == [("body", ["h" * 60], ["u"])]
+    assert chunking.structured([("u", "```\n" + "x" * 88 + "\n```", ["head"])], limits) == [("```\n" + "x" * 88 + "\n```", ["head"], ["u"])]
+
+
 def test_windows_drop_blank_ones_and_link_the_rest(spark):
     found = chunking.parent_child(as_units(spark, "a" * 500 + " " * 500 + "b" * 1500, False)).orderBy("sequence").collect()
     assert [(r.kind, r.character_count) for r in found] == [("parent", 2000), ("child", 500), ("child", 500), ("child", 500), ("parent", 500), ("child", 500)]
@@ -110,7 +136,7 @@ def a_build(spark, text="one two three. " * 60, set_id=None, document="doc-1", c
 
 @pytest.mark.parametrize(("rule", "column", "value"), [
     ("R-CH5", "character_count", "1"), ("R-CH6", "source_unit_ids", "array(' ')"), ("R-CH9", "metadata", "'[]'"), ("R-KIND", "level", "3"),
-    ("R-CH3", "sequence", "1"), ("R-PC2", "parent_chunk_id", "if(kind = 'child', 'x', null)"), ("R-ADJ", "next_chunk_id", "cast(null as string)"), ("R-CH10", "previous_chunk_id", "chunk_id"),
+    ("R-CH3", "sequence", "1"), ("R-CH7", "document_id", "'other'"), ("R-CH8", "chunk_set_id", "'other'"), ("R-PC2", "parent_chunk_id", "if(kind = 'child', 'x', null)"), ("R-ADJ", "next_chunk_id", "cast(null as string)"), ("R-CH10", "previous_chunk_id", "chunk_id"),
 ])
 def test_each_rule_sees_its_mutation(spark, rule, column, value):
     build, spec = a_build(spark)
@@ -121,6 +147,112 @@ def test_each_rule_sees_its_mutation(spark, rule, column, value):
         rules.validate_build(replace(build, chunks=build.chunks.withColumn(column, F.expr(value))), spec.strategy_name)
 
 
+def test_rules_of_the_set_and_of_paths(spark):
+    from dataclasses import replace
+
+    build, spec = a_build(spark)
+    for column, value, rule in (("config", "'{\"a\":1}'", "R-CFG2"), ("strategy_name", "' parent_child'", "R-SPEC"), ("content_sha256", "'x'", "R-SHA")):
+        with pytest.raises(InvalidBuild, match=rule):
+            rules.validate_build(replace(build, sets=build.sets.withColumn(column, F.expr(value))), spec.strategy_name)
+    with pytest.raises(InvalidBuild, match="R-PROF"):
+        map_build(spec, build.chunks, ("rag-document-indexing", "v1"))
+    config_ = chunking.ChunkConfig(heading_context="metadata_only")
+    made = chunking.structure_aware(as_units(spark, "# A\n\nbody").withColumn("document_id", F.lit("doc-1")), config_)
+    spec = replace(spec, strategy_name=chunking.STRUCTURE_AWARE, config=config_)
+    build = map_build(spec, made)
+    rules.validate_build(build, spec.strategy_name)
+    assert build.inputs.first().embedding_text == "A\n\nbody"
+    with pytest.raises(InvalidBuild, match="R-PATH"):
+        rules.validate_build(map_build(spec, made.withColumn("metadata", F.lit('{"semantic_path":["A",1]}'))), spec.strategy_name)
+
+
+def test_version_is_that_of_the_bytes(spark, tmp_path):
+    hashes = []
+    for text in ("# Alpha\n\nbody", "# Beta\n\nbody"):
+        (tmp_path / "a.md").write_text(text)
+        found = units.read_files(spark, f"file://{tmp_path}/a.md").first()
+        assert found.content_sha256 == hashlib.sha256(text.encode()).hexdigest() and found.mime_type == "text/markdown" and found.content == "body"
+        hashes.append(found.content_sha256)
+    assert hashes[0] != hashes[1]
+
+
+class Service(http.server.BaseHTTPRequestHandler):
+    """An embedding service: the vector of a text is its length; some texts make it fail."""
+
+    seen: list = []
+
+    def do_POST(self):
+        body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+        text = body["input"][0]
+        self.seen.append((self.path, self.headers["Authorization"], body))
+        answer = {"data": [{"embedding": [float(len(text))] * body["dimensions"]}], "usage": {"prompt_tokens": len(text.split())}}
+        if text == "short":
+            answer["data"][0]["embedding"].pop()
+        elif text == "unmetered":
+            answer.pop("usage")
+        elif text == "two":
+            answer["data"] *= 2
+        content = b"not json" if text == "broken" else b" " * (embedder.RESPONSE_BYTES + 1) if text == "large" else json.dumps(answer).encode()
+        if text == "slow":
+            time.sleep(1.5)
+        try:
+            self.send_response(500 if text == "fail" else 200)
+            self.end_headers()
+            self.wfile.write(b"secret reason" if text == "fail" else content)
+        except OSError:
+            pass
+
+    def log_message(self, *args):
+        pass
+
+
+@pytest.fixture(scope="module")
+def service():
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}/v1"
+    server.shutdown()
+
+
+def test_embedding_client(spark, service):
+    client = embedder.HttpEmbedder(service, config.Secret("key"), "m", 4, 1.0, 3)
+    assert client.embed(["a", "b c", "déf g h"]) == [([1.0] * 4, 1), ([3.0] * 4, 2), ([7.0] * 4, 3)]
+    path, key, body = Service.seen[0]
+    assert path == "/v1/embeddings" and key == "Bearer key" and body["model"] == "m" and body["encoding_format"] == "float" and len(body["input"]) == 1
+    for text in ("short", "unmetered", "two", "broken", "large"):
+        with pytest.raises(InvalidEmbedding):
+            client.embed(["a", text])
+    for text in ("fail", "slow"):
+        with pytest.raises(EmbeddingUnavailable) as e:
+            client.embed([text])
+        assert "secret" not in str(e.value) and "key" not in repr(client)
+    for texts in ([], ["a", " "]):
+        with pytest.raises(InvalidRequest):
+            client.embed(texts)
+    before = len(Service.seen)
+    with pytest.raises(EmbeddingUnavailable):
+        client.embed(["fail"] + ["a"] * 200)
+    assert len(Service.seen) - before < 150
+    with pytest.raises(InvalidConfig):
+        embedder.HttpEmbedder(service, "", "m")
+    with pytest.raises(EmbeddingUnavailable):
+        embedder.HttpEmbedder("http://127.0.0.1:9", "k", "m", 4).embed(["a"])
+    build, _ = a_build(spark)
+    found = embedder.embed_inputs(build.inputs, client, 4).collect()
+    assert len(found) == build.inputs.count() and all(r.embedding == [float(len(r.embedding_text))] * 4 and r.embedding_token_count == len(r.embedding_text.split()) for r in found)
+
+
+def test_local_vectors_have_a_model_name_of_their_own(service):
+    env = {"INDEX_ROOT": "/x"}
+    model, made = embedding(config.load(env))
+    assert isinstance(made, embedder.HashEmbedder) and model.model == LOCAL_MODEL
+    model, made = embedding(config.load(env | {"EMBEDDING_BASE_URL": service, "EMBEDDING_KEY": "k", "EMBEDDING_TIMEOUT": "7s", "EMBEDDING_BATCH_SIZE": "4"}))
+    assert isinstance(made, embedder.HttpEmbedder) and (model.model, made.timeout_s, made.concurrency) == ("text-embedding-v4", 7.0, 4)
+    for half in ({"EMBEDDING_KEY": "k"}, {"EMBEDDING_BASE_URL": service}):
+        with pytest.raises(InvalidConfig):
+            embedding(config.load(env | half))
+
+
 def records(pending):
     return embedder.embed_inputs(pending, embedder.HashEmbedder(8), 8)
 
@@ -196,8 +328,9 @@ def test_workflows_end_to_end(spark, tmp_path):
     found = search_flow.run(Query(" q-1 ", "near vectors", "t", "k", 2))
     assert "Near vectors" in found["evidence"][0]["content"]
     assert search_flow.run(Query("q-2", "x", "t", "elsewhere"))["evidence"] == []
-    with pytest.raises(InvalidRequest):
-        search_flow.run(Query("q", "x" * 4097, "t", "k"))
+    for wrong in ("x" * 4097, "\ud800", " "):
+        with pytest.raises(InvalidRequest):
+            search_flow.run(Query("q", wrong, "t", "k"))
 
 
 def test_runner_errors(spark):
@@ -217,7 +350,8 @@ def test_runner_errors(spark):
 def test_evidence_rules():
     good = dict(chunk_set_id="s", chunk_id="c", document_id="d", source_uri="u", source_name="n", kind="child", content="x", sequence=1, token_count=0, source_unit_ids=["u"], metadata="{}", cosine_distance=0.5)
     search.validate_evidence([good], 1)
-    for wrong in ([good, good], [good | {"cosine_distance": 2.5}], [good | {"metadata": "[]"}], [good | {"sequence": 0}]):
+    odd = [{"cosine_distance": 2.5}, {"cosine_distance": float("nan")}, {"metadata": "[]"}, {"metadata": "{"}, {"metadata": None}, {"sequence": 0}, {"document_id": None}, {"source_uri": None}, {"source_unit_ids": ["u", " "]}, {"source_unit_ids": []}, {"chunk_id": " c"}, {"content": "\n"}, {"token_count": -1}]
+    for wrong in ([good, good], *([good | x] for x in odd)):
         with pytest.raises(InvalidEvidence):
             search.validate_evidence(wrong, 2)
     with pytest.raises(InvalidEvidence):
@@ -238,6 +372,19 @@ def test_schema_drift():
     assert [(d.table, d.column) for d in schemas.drift(changed)] == [("chunk_embeddings", "embedding"), ("chunks", "")]
 
 
+def test_nullability_drifts_and_names_are_identifiers():
+    from pyspark.sql import types as T
+
+    changed = dict(schemas.TABLES)
+    changed["chunks"] = T.StructType([T.StructField(f.name, f.dataType, f.nullable or f.name == "content") for f in schemas.CHUNKS.fields])
+    assert [(d.table, d.column, d.problem) for d in schemas.drift(changed)] == [("chunks", "content", "may be null")]
+    assert schemas.drift(changed, nullability=False) == []
+    assert schemas.qualified(" idx_1 ", "chunks") == "`idx_1`.`chunks`"
+    for wrong in ("", "1a", "a b", "a;drop", "a`b", "é"):
+        with pytest.raises(InvalidConfig):
+            schemas.qualified(wrong, "chunks")
+
+
 def test_settings():
     found = config.load({"INDEX_ROOT": "/x", "EMBEDDING_KEY": "abc", "EMBEDDING_BASE_URL": "https://e.com/v1//"})
     assert "abc" not in repr(found) and found.embedding_key.reveal() == "abc" and found.embedding_base_url == "https://e.com/v1" and found.batch == 10

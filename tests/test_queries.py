@@ -23,7 +23,7 @@ def test_entry_and_names():
 
 def test_page_sections_stay_under_their_limit(spark):
     found = engine.page_sections(spark, DATA).toPandas()
-    assert len(found) and found.character_count.max() <= 1800 + 200
+    assert len(found) and found.character_count.max() <= 1800
     assert (found.groupby("document_id").sequence.min() == 1).all()
 
 
