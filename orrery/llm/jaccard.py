@@ -11,7 +11,9 @@ fragment, each in its own tasks, and summed per set or per pair:
    shingle's leader, the one with the fewest rarer shingles (`stars`). Overlaps are summed over fragments (`overlaps`).
 4. Two classes that are near the same leader share |leader| - |missing| - |missing'| + (common differences) shingles. If they
    are linked and not both linked to the leader, they have a difference to it in common: so those pairs come from an index of
-   differences (`beside`). Classes far from their leader choose another one, and are compared pairwise after ROUNDS leaders.
+   differences (`beside`). Classes far from their leader choose another one, round by round, while that halves the pairs that
+   are left; then those are compared, as a rule no more than PAIRS a row. Only where a prefix's shingle is in many classes
+   that are far from each other are there more.
 """
 
 from __future__ import annotations
@@ -26,15 +28,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import in_arrow, table, written
+from .common import few, in_arrow, table, written
 
 WIDTH, PERCENT = 3, 90
 #: Shingles beyond the least prefix that step 1 looks at, as a share of the set: two linked sets share so many and one more.
 MORE = 0.05
 #: Shingles that a task counts, and that a message to it is made from.
 FRAGMENT, BATCH = 500_000, 500_000
-#: Fragments in which pairs are compared; leaders that a class is compared with before it is compared with the rest.
-PARTS, ROUNDS = 4, 2
+#: Fragments in which pairs are compared; pairs for each row of postings up to which the rest is compared pairwise; classes of a hash whose leader is broadcast.
+PARTS, PAIRS, HOT = 4, 2, 100
 #: Survivors whose ids are broadcast; beyond that they are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Jaccard distance in percent within which a class is done with a leader. By the triangle inequality what is linked to such a
@@ -152,10 +154,23 @@ def overlaps(pairs: DataFrame, cores: DataFrame) -> DataFrame:
     return partial.groupBy("x", "nx", "y", "ny").agg(F.sum("overlap").alias("overlap"))
 
 
-def stars(postings: DataFrame) -> DataFrame:
-    """hash, x, nx, px and its leader y, ny, py: of the classes that have the hash the one with the fewest rarer shingles."""
+def stars(spark: SparkSession, postings: DataFrame) -> DataFrame:
+    """hash, x, nx, px and its leader y, ny, py: of the classes that have the hash the one with the fewest rarer shingles.
+
+    Leaders of hashes that many classes have are broadcast while they are few, so that such a hash isn't gathered in a task.
+    """
     leader = postings.groupBy("hash").agg(F.min(F.struct("px", "x", "nx")).alias("leader"), F.count("*").alias("classes")).filter("classes > 1")
-    return postings.join(leader, "hash").select("hash", "x", "nx", "px", F.col("leader.x").alias("y"), F.col("leader.nx").alias("ny"), F.col("leader.px").alias("py"))
+    leader = written(spark, leader, "jaccard-leaders")
+    hot = few(leader.filter(F.col("classes") > HOT))
+    rest = postings.join(hot.select("hash"), "hash", "left_anti").join(leader.filter(F.col("classes") <= HOT), "hash")
+    found = postings.join(hot, "hash").unionByName(rest)
+    return found.select("hash", "x", "nx", "px", F.col("leader.x").alias("y"), F.col("leader.nx").alias("ny"), F.col("leader.px").alias("py"))
+
+
+def pairs_left(postings: DataFrame) -> tuple[int, int]:
+    """Rows of postings, and pairs that they make within hashes."""
+    n = F.col("count")
+    return tuple(x or 0 for x in postings.groupBy("hash").count().agg(F.sum(n), F.sum(n * (n - 1) / 2).cast("long")).first())
 
 
 def may_link(percent: int) -> Column:
@@ -167,18 +182,20 @@ def may_link(percent: int) -> Column:
 def beside(near: DataFrame, cores: DataFrame, percent: int) -> DataFrame:
     """Links (x, y) between classes near the same leader, from an index of their differences to it.
 
-    near: x, nx, y (the leader), component of classes around leaders that have some class near them but in another component.
+    near: x, nx, y (the leader), component, outside of classes around leaders that have some class near them but outside of
+    their component. Of two classes in different components one is outside: so those are joined with all.
     """
     a, b = cores.select(F.col("sig").alias("x"), F.col("shared").alias("hx")), cores.select(F.col("sig").alias("y"), F.col("shared").alias("hy"))
     full = near.join(a, "x").join(b, "y")
-    full = full.select("x", "nx", "y", "component", F.size("hy").alias("whole"), F.array_except("hy", "hx").alias("missing"), F.array_except("hx", "hy").alias("extra"))
+    full = full.select("x", "nx", "y", "component", "outside", F.size("hy").alias("whole"), F.array_except("hy", "hx").alias("missing"), F.array_except("hx", "hy").alias("extra"))
     of = lambda name, kind: F.transform(name, lambda h: F.struct(F.lit(kind).alias("kind"), h.alias("hash")))
-    rows = full.select("x", "nx", "y", "component", "whole", F.size("missing").alias("lost"), F.size("extra").alias("gained"), F.explode(F.concat(of("missing", 0), of("extra", 1))).alias("difference"))
-    other = rows.select("y", "difference", F.col("x").alias("x2"), F.col("nx").alias("nx2"), F.col("component").alias("component2"), F.col("lost").alias("lost2"), F.col("gained").alias("gained2"))
+    rows = full.select("x", "nx", "y", "component", "outside", "whole", F.size("missing").alias("lost"), F.size("extra").alias("gained"), F.explode(F.concat(of("missing", 0), of("extra", 1))).alias("difference"))
+    other = rows.select("y", "difference", F.col("x").alias("x2"), F.col("nx").alias("nx2"), F.col("component").alias("component2"), F.col("outside").alias("outside2"), F.col("lost").alias("lost2"), F.col("gained").alias("gained2"))
     n, m = F.col("nx"), F.col("nx2")
     base = F.col("whole") - F.col("lost") - F.col("lost2")
     most = F.least("lost", "lost2") + F.least("gained", "gained2")  # no two classes have more differences in common
-    pairs = rows.join(other, ["y", "difference"]).filter((F.col("x") < F.col("x2")) & (F.col("component") != F.col("component2")) & linked(F.least(base + most, n, m), n, m, percent))
+    once = ~F.col("outside2") | (F.col("x") < F.col("x2"))
+    pairs = rows.filter("outside").join(other, ["y", "difference"]).filter(once & (F.col("component") != F.col("component2")) & linked(F.least(base + most, n, m), n, m, percent))
     same = pairs.groupBy("y", "x", "nx", "x2", "nx2", "whole", "lost", "lost2").agg(F.count("*").alias("same"))
     return same.filter(linked(base + F.col("same"), n, m, percent)).select("x", F.col("x2").alias("y"))
 
@@ -205,22 +222,27 @@ def links_of(spark: SparkSession, cores: DataFrame, percent: int) -> DataFrame:
     postings = cores.select(F.col("sig").alias("x"), F.col("n").alias("nx"), F.posexplode(prefix).alias("place", "hash"), "unique").withColumn("px", F.col("place") + F.col("unique")).drop("place", "unique")
     postings = written(spark, postings, "jaccard-postings")
     links, around_percent = spark.createDataFrame([], "x binary, y binary"), percent - NEAR
-    for _ in range(ROUNDS):
-        star = written(spark, stars(postings), "jaccard-stars")
+    before = None
+    while True:
+        rows, pairs = pairs_left(postings)
+        if not rows:
+            return links
+        if pairs <= PAIRS * rows or before and 2 * pairs > before:
+            break
+        before = pairs  # each round every hash loses its leader at least, and the classes that are near it
+        star = written(spark, stars(spark, postings), "jaccard-stars")
         pairs = star.filter(F.col("x") != F.col("y")).filter((F.col("nx") * 100 >= F.col("ny") * around_percent) & (F.col("ny") * 100 >= F.col("nx") * around_percent)).select("x", "nx", "y", "ny").distinct()
         compared = written(spark, overlaps(pairs, cores), "jaccard-compared")
         links = written(spark, links.union(compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), percent)).select("x", "y")), "jaccard-links")
         where = components(spark, cores, links)
         around = compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), around_percent)).join(where.withColumnRenamed("sig", "x"), "x")
-        around = around.join(where.select(F.col("sig").alias("y"), F.col("component").alias("leads")), "y")
-        open_ = around.filter("component != leads").select("y").distinct()
-        near = around.join(open_, "y", "left_semi").select("x", "nx", "y", "component")
+        around = around.join(where.select(F.col("sig").alias("y"), F.col("component").alias("leads")), "y").withColumn("outside", F.col("component") != F.col("leads"))
+        open_ = around.filter("outside").select("y").distinct()
+        near = around.join(open_, "y", "left_semi").select("x", "nx", "y", "component", "outside")
         links = written(spark, links.union(beside(near, cores, percent)), "jaccard-links")
         done = compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), 100 - NEAR)).select("x", "y")
         rest = star.filter(F.col("x") != F.col("y")).join(done, ["x", "y"], "left_anti").select("x", "nx", "hash", "px")
         postings = written(spark, rest, "jaccard-postings")
-        if postings.isEmpty():
-            return links
     where = components(spark, cores, links)
     left = postings.join(where.withColumnRenamed("sig", "x"), "x")
     right = left.select("hash", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("px").alias("py"), F.col("component").alias("component2"))
