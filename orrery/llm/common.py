@@ -121,6 +121,14 @@ class Recent(dict):
             self.held = 0
 
 
+def unused(columns: list[str], name: str) -> str:
+    """`name`, with as many marks after it as no column has; Spark doesn't tell upper from lower case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "'"
+    return name
+
+
 def few(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """`df` marked for broadcast while it has at most `most` rows; a larger one stays as it is."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

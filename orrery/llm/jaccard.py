@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import few, in_arrow, table, written
+from .common import few, in_arrow, table, unused, written
 
 WIDTH, PERCENT = 3, 90
 #: Shingles beyond the least prefix that step 1 looks at, as a share of the set: two linked sets share so many and one more.
@@ -290,32 +290,31 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
-def keyed(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """`docs` with `row key`, a long that no two rows share: doc_id where all rows have one of their own.
+def keyed(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` with a further column, and its name: a long that no two rows share, doc_id where all rows have one of their own.
 
     Else rows are numbered in the order of doc_id (null ones last) and the digest of their text, and written with their numbers.
     """
-    doc_id = F.col("doc_id").cast("long")
+    doc_id, key = F.col("doc_id").cast("long"), unused(docs.columns, "row key")
     if docs.groupBy(doc_id.alias("id")).count().filter("id is null or count > 1").isEmpty():
-        return docs.withColumn("row key", doc_id)
+        return docs.withColumn(key, doc_id), key
     ordered = docs.orderBy(doc_id.asc_nulls_last(), F.sha2(F.coalesce("text", F.lit("")), 256))
-    return written(spark, ordered.withColumn("row key", F.monotonically_increasing_id()), "jaccard-keyed")
+    return written(spark, ordered.withColumn(key, F.monotonically_increasing_id()), "jaccard-keyed"), key
 
 
-def by_key(rows: DataFrame) -> DataFrame:
+def by_key(rows: DataFrame, key: str) -> DataFrame:
     """Keyed rows with their key for doc_id."""
-    return rows.withColumn("doc_id", F.col("row key")).drop("row key")
+    return rows.withColumn("doc_id", F.col(f"`{key}`")).drop(key)
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The keyed rows whose key isn't among the doc_ids of `gone`, less the key: a broadcast while those are at most BROADCAST_ROWS, else a shuffle."""
-    gone = gone.select(F.col("doc_id").alias("gone id")).distinct()
-    side = F.broadcast(gone) if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else gone
-    return docs.join(side, F.col("row key") == F.col("gone id"), "left_anti").drop("row key")
+def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """The keyed rows whose key isn't among the doc_ids of `gone`, less the key: a broadcast while those are few, else a shuffle."""
+    gone = gone.select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(few(gone, BROADCAST_ROWS), key, "left_anti").select(*(f"`{c}`" for c in docs.columns if c != key))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs`, with all their columns, less those whose component has a row of smaller key: one row of each component stays."""
-    docs = keyed(spark, docs)
-    found = written(spark, near_duplicates(spark, by_key(docs), width, percent), "jaccard-found")
-    return without(docs, found.filter("doc_id != component_id"))
+    docs, key = keyed(spark, docs)
+    found = written(spark, near_duplicates(spark, by_key(docs, key), width, percent), "jaccard-found")
+    return without(docs, found.filter("doc_id != component_id"), key)

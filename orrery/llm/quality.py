@@ -151,7 +151,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     picked = sample(docs, labels, "quality", fold(F.col("doc_id"), HELD_OUT) == 0, SAMPLE)
     got = in_arrow(picked, work, FEATURES).toPandas()
-    rows = [(Features(np.stack([s]), np.zeros(len(i), int), np.asarray(i), np.asarray(x)), int(y)) for y, s, i, x in zip(got.label, got.statistics, got["slot"], got["value"], strict=True)]
+    rows = [(Features(np.stack([s]), np.zeros(len(i), int), np.asarray(i, np.int64), np.asarray(x, float)), int(y)) for y, s, i, x in zip(got.label, got.statistics, got["slot"], got["value"], strict=True)]
     return fit(sorted(rows, key=lambda r: (r[1], r[0].statistics.tobytes())))
 
 

@@ -479,6 +479,24 @@ def test_quality(spark):
     assert set(quality.quality(frame, labels.limit(0)).toPandas().score) == {0.5}
 
 
+def test_samples_of_empty_texts(spark):
+    frame = spark.createDataFrame([(i, ["", None, " "][i % 3]) for i in range(12)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(12)], "doc_id long, quality int, toxic int")
+    assert quality.quality(frame, labels).filter("score between 0 and 1").count() == 12
+    assert toxicity.toxicity(frame, labels).filter("score between 0 and 1").count() == 12
+
+
+def test_held_out_accuracy(spark):
+    """Labels of the held-out folds, none of which a model has seen."""
+    docs, labels = (spark.read.parquet(f"{DATA.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
+    for found, label, least in ((toxicity.toxicity(docs, labels), "toxic", 0.85), (quality.quality(docs, labels), "quality", 0.95)):
+        rows = found.filter("held_out").join(labels, "doc_id").select("score", "predicted", label).toPandas()
+        bad, good = rows[rows[label] == 0], rows[rows[label] == 1]
+        assert len(bad) > 10 and len(good) > 5
+        pairs = (good.score.to_numpy()[:, None] > bad.score.to_numpy()) + 0.5 * (good.score.to_numpy()[:, None] == bad.score.to_numpy())
+        assert pairs.mean() > least and (rows.predicted == rows[label]).mean() > least
+
+
 def test_factorisation_identity():
     rng = np.random.default_rng(1)
     m = quality.SLOTS + quality.STATISTICS
