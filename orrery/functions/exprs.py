@@ -70,9 +70,16 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-def cosine_distance(a: Column, b: Column) -> Column:
-    """1 - cosine, in doubles from vectors of floats, within 0 and 2; null for a zero vector or unequal dimensions."""
-    raw = 1 - F.try_divide(dot(a, b), F.sqrt(dot(a, a) * dot(b, b)))
+def norm(v: Column) -> Column:
+    return F.sqrt(dot(v, v))
+
+
+def cosine_distance(a: Column, b: Column, norms: Column | None = None) -> Column:
+    """1 - cosine, in doubles from vectors of floats, within 0 and 2; null for a zero vector or unequal dimensions.
+
+    norms: the product of the vectors' norms, where many pairs share them.
+    """
+    raw = 1 - F.try_divide(dot(a, b), F.sqrt(dot(a, a) * dot(b, b)) if norms is None else norms)
     return F.when((F.size(a) == F.size(b)) & raw.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(2.0), raw)))
 
 

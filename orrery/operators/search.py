@@ -58,14 +58,15 @@ def search(sets: DataFrame, chunks: DataFrame, embeddings: DataFrame, request: S
 def search_many(queries: DataFrame, candidates: DataFrame, limit: int | None) -> DataFrame:
     """query_id, rank and distance of the nearest candidates of each query (query_id, vector) in its model space; all without a limit.
 
-    Queries are a stated set, broadcast in blocks of at most BROADCAST_QUERIES; Spark keeps `limit` rows for each query and
+    Queries are a stated set, broadcast in blocks of at most BROADCAST_QUERIES; norms are computed once a row; Spark keeps `limit` rows for each query and
     task before the shuffle (window group limit).
     """
     blocks = max(1, -(-queries.count() // BROADCAST_QUERIES))
+    candidates, queries = candidates.withColumn("norm", X.norm(F.col("embedding"))), queries.withColumn("query_norm", X.norm(F.col("vector")))
     out = None
     for k in range(blocks):
         some = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == k)
-        pairs = candidates.join(F.broadcast(some), "model_key").withColumn("cosine_distance", X.cosine_distance(F.col("embedding"), F.col("vector"))).filter("cosine_distance is not null")
+        pairs = candidates.join(F.broadcast(some), "model_key").withColumn("cosine_distance", X.cosine_distance(F.col("embedding"), F.col("vector"), F.col("norm") * F.col("query_norm"))).filter("cosine_distance is not null")
         order = Window.partitionBy("query_id").orderBy("cosine_distance", "chunk_set_id", "chunk_id")
         placed = pairs.withColumn("rank", F.row_number().over(order))
         found = (placed if limit is None else placed.filter(F.col("rank") <= limit)).select("query_id", "rank", "chunk_set_id", "chunk_id", "cosine_distance")
