@@ -5,11 +5,13 @@ import functools
 import glob
 import hashlib
 import random
+import struct
 import time
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -714,6 +716,40 @@ def test_likeness_is_near_the_similarity(spark):
     assert abs(error.mean()) < 0.02 and error.abs().max() < 0.2
 
 
+def plain_bins(hashes, bins=128, probes=8):
+    """Each bin's least hash; an empty one's is that of the first of its probes that has any, or of the filled one of least priority."""
+    least = {}
+    for x in hashes:
+        at = (x & (1 << 64) - 1) >> 57
+        least[at] = min(x, least.get(at, x))
+    orders = fingerprints.probes(bins, probes)
+
+    def priority(*numbers):
+        seed = 42
+        for x in numbers:
+            seed = xxhash.xxh64_intdigest(struct.pack("<i", x), seed)
+        return seed - (1 << 64) if seed >> 63 else seed
+
+    def value(b):
+        for at in [b, *orders[b]]:
+            if at in least:
+                return least[at]
+        return min((priority(b, at), x) for at, x in least.items())[1]
+
+    return [value(b) for b in range(bins)] if least else []
+
+
+def test_bins_equal_a_plain_version(spark):
+    texts = ["", "one", "one two", *(" ".join(f"w{i}x{j}" for j in range(n)) for i, n in enumerate((5, 6, 7, 9, 14, 40, 120, 400, 700, 1_500)))]
+    shingles = fingerprints.shingles(F.col("t"))
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", shingles.alias("h"), fingerprints.densified(shingles).alias("bins"), fingerprints.fingerprint(F.col("t")).alias("f")).collect()
+    for r in got:
+        want = plain_bins(r.h)
+        assert list(r.bins) == want and r.f == "".join(f"{x & 255:02x}" for x in want)
+        words = r.t.split()
+        assert len(r.h) == (max(1, len(words) - 4) if words else 0)
+
+
 def test_densified_bins_borrow_alike(spark):
     """Short texts fill few bins; what they borrow agrees as often as the texts are alike."""
     texts = [(" ".join(f"w{i}x{j}" for j in range(14)), " ".join([*(f"w{i}x{j}" for j in range(9)), *(f"v{i}x{j}" for j in range(5))])) for i in range(300)]
