@@ -30,6 +30,22 @@ def upserted(stored: DataFrame, new: DataFrame, keys: list[str], kept: list[str]
     return merged.unionByName(stored.join(new.select(*keys), keys, "left_anti"))
 
 
+def inserted(stored: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Stored rows, and new ones whose keys aren't stored: what is there already stays as it is."""
+    return stored.unionByName(new.select(stored.columns).join(stored.select(*keys), keys, "left_anti"))
+
+
+def hidden(embeddings: DataFrame, sets: DataFrame) -> DataFrame:
+    """Embeddings, those of the sets (id) not visible: what a build that begins again does to its own."""
+    chosen = sets.select(F.col("id").alias("chunk_set_id")).distinct().withColumn("again", F.lit(True))
+    return embeddings.join(chosen, "chunk_set_id", "left").withColumn("searchable", F.col("searchable") & F.col("again").isNull()).select(embeddings.columns)
+
+
+def cascaded(rows: DataFrame, deleted: DataFrame) -> DataFrame:
+    """Chunks or embeddings that are left once sets (id) are deleted."""
+    return rows.join(deleted.select(F.col("id").alias("chunk_set_id")), "chunk_set_id", "left_anti")
+
+
 def index_result(chunks: DataFrame, inputs: DataFrame, pending: DataFrame) -> DataFrame:
     """Counts of a build: chunks, inputs, generated (pending) and reused ones."""
     counts = [x.groupBy("chunk_set_id").agg(F.count("*").alias(n)) for x, n in ((chunks, "chunk_count"), (inputs, "embedding_count"), (pending, "generated_embedding_count"))]

@@ -131,7 +131,8 @@ class IndexStore:
         old_vectors = self._frame("chunk_embeddings", [stored and stored["embeddings"]])
         new = build.chunks.withColumn("created_at", F.lit(datetime.now(UTC)))
         kept = reconcile.upserted(old_chunks, new.select(old_chunks.columns), ["chunk_set_id", "chunk_id"], ["created_at"]).join(build.chunks.select("chunk_id"), "chunk_id", "left_semi")
-        current = old_vectors.join(build.inputs.select("chunk_set_id", "chunk_id", "model_key"), ["chunk_set_id", "chunk_id", "model_key"], "left_semi").withColumn("searchable", F.lit(False))
+        current = old_vectors.join(build.inputs.select("chunk_set_id", "chunk_id", "model_key"), ["chunk_set_id", "chunk_id", "model_key"], "left_semi")
+        current = reconcile.hidden(current, build.sets)
         chunks, vectors = self._write("chunks", spec.set_id, kept), self._write("chunk_embeddings", spec.set_id, current)
 
         def change(state: dict) -> None:

@@ -101,6 +101,35 @@ def evidence_order_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.evidence_order(moved)
 
 
+def insert_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets of a third of the numbers are stored; all come again as building ones."""
+    sets, _, _ = vector_index(spark, sf_dir)
+    sets = sets.withColumn("n", F.regexp_extract("source_name", "([0-9]+)$", 1).cast("long")).select("id", "n", "status")
+    return reconcile.inserted(sets.filter("n % 3 = 0"), sets.withColumn("status", F.lit("building")), ["id"]).select("id", "status")
+
+
+def reset_visibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors of building sets, hidden again."""
+    sets, _, vectors = vector_index(spark, sf_dir)
+    return reconcile.hidden(vectors, sets.filter("status = 'building'")).select("chunk_set_id", "chunk_id", "searchable")
+
+
+def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks and vectors that are left once the retired sets are deleted."""
+    sets, chunks, vectors = vector_index(spark, sf_dir)
+    gone = sets.filter("status = 'retired'").select("id")
+    left = [reconcile.cascaded(x, gone).select(F.lit(n).alias("kind"), "chunk_set_id", "chunk_id") for n, x in (("chunk", chunks), ("vector", vectors))]
+    return left[0].union(left[1])
+
+
+def upsert_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of even numbers are stored at time 1; those of every third number come at time 2 with new hashes, and keep the time of what they replace."""
+    v = F.col("vec_id")
+    rows = lambda time: read(spark, sf_dir, "embeddings").select("vec_id", text_of("set-", v).alias("chunk_set_id"), text_of("chunk-", v).alias("chunk_id"), F.lit("m").alias("model_key"), F.concat(F.lit(f"hash {time} "), v.cast("string")).alias("input_sha256"), F.lit(time).cast("long").alias("created_at"), F.lit(time).cast("long").alias("updated_at"))
+    stored, new = rows(1).filter(v % 2 == 0).drop("vec_id"), rows(2).filter(v % 3 == 0).drop("vec_id")
+    return reconcile.upserted(stored, new, ["chunk_set_id", "chunk_id", "model_key"], ["created_at"])
+
+
 def publish_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statuses once all building sets are published, where sets of one tenant and knowledge base share ten documents."""
     sets, _, _ = vector_index(spark, sf_dir)
@@ -430,7 +459,7 @@ def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [vector_search_topk, search_isolation, batch_search_topk, visible_candidates, evidence_order_check, publish_transition, active_uniqueness, profile_config_conflict, config_snapshots, model_keys, rule_vectors, rule_early_visible, rule_source_uri, rule_identifiers, rule_content_hash, rule_config_snapshots, rule_profiles, rule_other_documents, rule_other_sets, rule_semantic_paths, rule_metadata_objects, rule_embedding_records, unit_metadata, unit_preparation, document_identity, parent_chunks, child_chunks, chunk_links, chunk_statistics, embedding_inputs, embedding_inputs_structure, prepare_build_missing, index_result_counts, reconcile_deletes, reconcile_upserts, stale_embeddings, rule_input_targets, rule_unknown_pending, page_sections]
+    named = [vector_search_topk, search_isolation, batch_search_topk, visible_candidates, evidence_order_check, insert_sets, reset_visibility, cascade_delete, upsert_embeddings, publish_transition, active_uniqueness, profile_config_conflict, config_snapshots, model_keys, rule_vectors, rule_early_visible, rule_source_uri, rule_identifiers, rule_content_hash, rule_config_snapshots, rule_profiles, rule_other_documents, rule_other_sets, rule_semantic_paths, rule_metadata_objects, rule_embedding_records, unit_metadata, unit_preparation, document_identity, parent_chunks, child_chunks, chunk_links, chunk_statistics, embedding_inputs, embedding_inputs_structure, prepare_build_missing, index_result_counts, reconcile_deletes, reconcile_upserts, stale_embeddings, rule_input_targets, rule_unknown_pending, page_sections]
     return {f.__name__: f for f in named} | {
         "rule_duplicate_chunk_ids": of_broken(rules.duplicate_chunk_ids),
         "rule_duplicate_sequences": lambda spark, sf_dir: longs(rules.duplicate_sequences(broken(spark, sf_dir)), "sequence"),
@@ -463,6 +492,10 @@ def oracle_sql() -> dict[str, str]:
         "batch_search_topk": f"{VECTORS} SELECT query_id, rank, chunk_set_id, chunk_id, round(d, 6) AS cosine_distance FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, chunk_set_id, chunk_id) AS rank FROM (SELECT s.vec_id AS query_id, chunk_set_id, chunk_id, list_cosine_distance(vis.embedding::DOUBLE[], s.embedding::DOUBLE[]) AS d FROM vis JOIN k ON model_key = key, embeddings s WHERE s.vec_id % 20 = 0)) WHERE rank <= 5",
         "visible_candidates": f"{VECTORS} SELECT tenant_id, knowledge_base_id, model_key, count(*) AS candidates FROM vis GROUP BY ALL",
         "evidence_order_check": f"{VECTORS}, n AS (SELECT *, row_number() OVER (ORDER BY d, chunk_set_id, chunk_id) AS r FROM ({near}) JOIN k ON model_key = key), m AS (SELECT r * 10 - CASE WHEN r % 7 = 0 THEN 35 ELSE 0 END AS rank, r, chunk_set_id, chunk_id FROM n) SELECT rank, chunk_set_id, chunk_id FROM (SELECT *, lag(r) OVER (ORDER BY rank) AS b FROM m) WHERE b >= r",
+        "insert_sets": f"{VECTORS} SELECT chunk_set_id AS id, CASE WHEN v % 3 = 0 THEN status ELSE 'building' END AS status FROM i",
+        "reset_visibility": f"{VECTORS} SELECT chunk_set_id, chunk_id, searchable AND status <> 'building' AS searchable FROM i",
+        "cascade_delete": f"{VECTORS} SELECT kind, chunk_set_id, chunk_id FROM i, (VALUES ('chunk'), ('vector')) AS t(kind) WHERE status <> 'retired'",
+        "upsert_embeddings": "SELECT 'set-' || vec_id AS chunk_set_id, 'chunk-' || vec_id AS chunk_id, 'm' AS model_key, 'hash ' || t || ' ' || vec_id AS input_sha256, CASE WHEN vec_id % 2 = 0 THEN 1 ELSE 2 END::BIGINT AS created_at, t::BIGINT AS updated_at FROM (SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN 2 ELSE 1 END AS t FROM embeddings) WHERE vec_id % 2 = 0 OR vec_id % 3 = 0",
         "publish_transition": f"{VECTORS}, s AS ({shared}), f AS (SELECT tenant_id, knowledge_base_id, doc, min(chunk_set_id) AS id FROM s WHERE status = 'building' GROUP BY ALL) SELECT chunk_set_id AS id, s.tenant_id, s.knowledge_base_id, doc AS document_id, CASE WHEN f.id = chunk_set_id THEN 'active' WHEN f.id IS NOT NULL AND status = 'active' THEN 'retired' ELSE status END AS status FROM s LEFT JOIN f USING (tenant_id, knowledge_base_id, doc)",
         "active_uniqueness": f"{VECTORS} SELECT tenant_id, knowledge_base_id, doc AS document_id, 'parent_child' AS strategy_name, count(*) AS n FROM ({shared}) WHERE status = 'active' GROUP BY ALL HAVING count(*) > 1",
         "profile_config_conflict": "SELECT 'parent_child' AS strategy_name, 'profile-' || (vec_id % 7) AS profile_name, 'v' || (vec_id % 3) AS profile_version, count(DISTINCT CASE WHEN vec_id % 42 = 5 THEN 1000 ELSE 2000 END) AS configs FROM embeddings GROUP BY ALL HAVING configs > 1",
