@@ -235,9 +235,11 @@ def links_of(spark: SparkSession, cores: DataFrame, percent: int) -> DataFrame:
         compared = written(spark, overlaps(pairs, cores), "jaccard-compared")
         links = written(spark, links.union(compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), percent)).select("x", "y")), "jaccard-links")
         where = components(spark, cores, links)
+        # Very many classes can have one leader; leaders are few beside them.
+        leads = where.select(F.col("sig").alias("y"), F.col("component").alias("leads")).join(compared.select("y").distinct(), "y", "left_semi")
         around = compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), around_percent)).join(where.withColumnRenamed("sig", "x"), "x")
-        around = around.join(where.select(F.col("sig").alias("y"), F.col("component").alias("leads")), "y").withColumn("outside", F.col("component") != F.col("leads"))
-        open_ = around.filter("outside").select("y").distinct()
+        around = written(spark, around.join(few(written(spark, leads, "jaccard-leads")), "y").withColumn("outside", F.col("component") != F.col("leads")), "jaccard-around")
+        open_ = few(around.filter("outside").select("y").distinct())
         near = around.join(open_, "y", "left_semi").select("x", "nx", "y", "component", "outside")
         links = written(spark, links.union(beside(near, cores, percent)), "jaccard-links")
         done = compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), 100 - NEAR)).select("x", "y")
