@@ -1,6 +1,7 @@
 """The versioned store: immutable Parquet folders, and manifests whose exclusive creation is the commit.
 
-A manifest lists the sets of some scopes with their rows and their live folders. All versions of a document share a scope and
+A manifest lists the sets of some documents of a tenant's knowledge base, with their rows and their live folders; manifests lie
+by knowledge base, so a search reads those of its own, and a small file for each set says which manifest it is in. All versions of a document share a scope and
 so a manifest; publishing a version, retiring the one before it and exchanging their visibility is one commit. Whoever loses
 the race reads again, checks again and tries again. Readers use the manifests they have read: files in them never change.
 """
@@ -24,6 +25,8 @@ from ..operators.mapping import BuildData, BuildSpec
 from ..sources import schemas
 
 IMMUTABLE = "id tenant_id knowledge_base_id document_id source_uri source_name content_sha256 strategy_name profile_name profile_version config".split()
+#: Folders that knowledge bases are dealt over.
+AREAS = 65_536
 SCOPE = ("tenant_id", "knowledge_base_id", "document_id", "strategy_name")
 
 
@@ -33,6 +36,7 @@ def _now() -> str:
 
 class IndexStore:
     def __init__(self, spark: SparkSession, root: str, dimensions: int = 1536, buckets: int = 64):
+        """buckets: manifests of a knowledge base; publishers of different documents disturb each other the less the more there are."""
         self.spark, self.root, self.dimensions, self.buckets = spark, root.rstrip("/"), dimensions, buckets
         self._jvm = spark.sparkContext._jvm
         self._files = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -42,22 +46,33 @@ class IndexStore:
     def _path(self, text: str):
         return self._jvm.org.apache.hadoop.fs.Path(text)
 
-    def bucket(self, row: dict) -> int:
-        return X.lock_key(*(row[k] for k in SCOPE)) % self.buckets
+    @staticmethod
+    def area(tenant_id: str, knowledge_base_id: str) -> str:
+        """The folder of a knowledge base's manifests; several may share one."""
+        return f"{X.lock_key(tenant_id, knowledge_base_id, '', '') % AREAS:05d}"
+
+    def bucket(self, row: dict) -> str:
+        return f"{self.area(row['tenant_id'], row['knowledge_base_id'])}/{X.lock_key(*(row[k] for k in SCOPE)) % self.buckets:05d}"
+
+    def _text(self, path) -> str:
+        stream = self._files.open(path)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
-    def _latest(self, bucket: int) -> tuple[int, dict]:
-        folder = self._path(f"{self.root}/manifests/{bucket:05d}")
+    def _latest(self, bucket: str) -> tuple[int, dict]:
+        folder = self._path(f"{self.root}/manifests/{bucket}")
         if not self._files.exists(folder):
             return 0, {}
         numbers = [int(m[1]) for s in self._files.listStatus(folder) if (m := re.fullmatch(r"(\d+)\.json", s.getPath().getName()))]
         if not numbers:
             return 0, {}
-        rows = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(self._files.open(self._path(f"{folder.toString()}/{max(numbers):012d}.json")), "UTF-8")
-        return max(numbers), json.loads(rows)
+        return max(numbers), json.loads(self._text(self._path(f"{folder.toString()}/{max(numbers):012d}.json")))
 
-    def _commit(self, bucket: int, number: int, state: dict) -> bool:
+    def _commit(self, bucket: str, number: int, state: dict) -> bool:
         """Creates the next manifest; False if another writer has created it."""
-        folder = f"{self.root}/manifests/{bucket:05d}"
+        folder = f"{self.root}/manifests/{bucket}"
         draft = self._path(f"{folder}/.{uuid.uuid4().hex}")
         with_content = self._files.create(draft, True)
         with_content.write(bytearray(json.dumps(state, sort_keys=True).encode()))
@@ -78,7 +93,7 @@ class IndexStore:
             return False
         return True
 
-    def _update(self, bucket: int, change: Callable[[dict], None]) -> None:
+    def _update(self, bucket: str, change: Callable[[dict], None]) -> None:
         """Applies `change` to the latest state until its commit wins; the change checks its own conditions each time."""
         for _ in range(100):
             number, state = self._latest(bucket)
@@ -87,11 +102,23 @@ class IndexStore:
                 return
         raise StoreUnavailable("too many writers")
 
-    def _all(self) -> dict[str, dict]:
-        return {k: v for b in range(self.buckets) for k, v in self._latest(b)[1].items()}
+    def _all(self, area: str = "*") -> dict[str, dict]:
+        """The rows of all sets, or of those of one area."""
+        folders = self._files.globStatus(self._path(f"{self.root}/manifests/{area}/*")) or []
+        names = ["/".join(f.getPath().toString().rsplit("/", 2)[1:]) for f in folders]
+        return {k: v for b in sorted(names) for k, v in self._latest(b)[1].items()}
+
+    def _place(self, set_id: str) -> str | None:
+        """The manifest that a set is in, or was: the file that says so stays, and is the same whenever it is written."""
+        path = self._path(f"{self.root}/places/{set_id}")
+        return self._text(path) if self._files.exists(path) else None
+
+    def _found(self, set_id: str) -> dict | None:
+        place = self._place(set_id)
+        return self._latest(place)[1].get(set_id) if place else None
 
     def _find(self, set_id: str) -> dict:
-        found = self._all().get(set_id)
+        found = self._found(set_id)
         if found is None:
             raise BuildConflict(f"there is no set {set_id}")
         return found
@@ -108,9 +135,11 @@ class IndexStore:
         df.select([F.col(f.name).cast(f.dataType) for f in schemas.TABLES[name].fields]).write.parquet(folder)
         return folder
 
-    def frames(self, keep: Callable[[dict], bool] = lambda row: True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    def frames(self, keep: Callable[[dict], bool] = lambda row: True, area: str = "*") -> tuple[DataFrame, DataFrame, DataFrame]:
         """Sets, chunks and embeddings of a snapshot, of the sets that `keep` chooses by their rows."""
-        rows = [r for r in self._all().values() if keep(r)]
+        return self._frames([r for r in self._all(area).values() if keep(r)])
+
+    def _frames(self, rows: list[dict]) -> tuple[DataFrame, DataFrame, DataFrame]:
         names = [f.name for f in schemas.SETS.fields]
         stamp = lambda v: datetime.fromisoformat(v) if v else None
         sets = self.spark.createDataFrame([tuple(stamp(r[n]) if n.endswith("_at") else r[n] for n in names) for r in rows], schemas.SETS)
@@ -125,7 +154,7 @@ class IndexStore:
         rules.validate_build(build, spec.strategy_name)
         row = build.sets.first().asDict()
         bucket = self.bucket(row)
-        stored = self._latest(bucket)[1].get(spec.set_id) or next((r for r in self._all().values() if r["id"] == spec.set_id), None)
+        stored = self._found(spec.set_id)
         self._same_building(stored, row)
         old_chunks = self._frame("chunks", [stored and stored["chunks"]])
         old_vectors = self._frame("chunk_embeddings", [stored and stored["embeddings"]])
@@ -140,6 +169,10 @@ class IndexStore:
             created = state.get(spec.set_id, {}).get("created_at") or _now()
             state[spec.set_id] = {k: row[k] for k in IMMUTABLE} | {"status": "building", "created_at": created, "activated_at": None, "chunks": chunks, "embeddings": vectors}
 
+        if self._place(spec.set_id) != bucket:  # before the commit: a reader that finds no set there says so
+            place = self._files.create(self._path(f"{self.root}/places/{spec.set_id}"), True)
+            place.write(bytearray(bucket.encode()))
+            place.close()
         self._update(bucket, change)
         return reconcile.missing_inputs(build.inputs, self._frame("chunk_embeddings", [vectors]))
 
@@ -172,7 +205,7 @@ class IndexStore:
     def validate(self, set_id: str) -> int:
         """Checks a building set as it is stored; returns the number of its vectors."""
         row = self._building(self._find(set_id), set_id)
-        sets, chunks, vectors = self.frames(lambda r: r["id"] == set_id)
+        sets, chunks, vectors = self._frames([row])
         same = [r for r in self._all().values() if all(r[k] == row[k] for k in ("strategy_name", "profile_name", "profile_version")) and r["config"] != row["config"]]
         if same:
             raise BuildConflict("R-PUB2: the profile has another configuration elsewhere")
@@ -227,7 +260,7 @@ class IndexStore:
     def search(self, request: search.SearchRequest) -> DataFrame:
         """Top-K over the active sets of the scope: the manifest prunes all other sets' files."""
         try:
-            sets, chunks, vectors = self.frames(lambda r: r["status"] == "active" and r["tenant_id"] == request.tenant_id and r["knowledge_base_id"] == request.knowledge_base_id)
+            sets, chunks, vectors = self.frames(lambda r: r["status"] == "active" and r["tenant_id"] == request.tenant_id and r["knowledge_base_id"] == request.knowledge_base_id, self.area(request.tenant_id, request.knowledge_base_id))
             return search.search(sets, chunks, vectors, request)
         except PySparkException as cause:
             raise StoreUnavailable("the search failed") from cause
