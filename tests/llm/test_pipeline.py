@@ -46,7 +46,7 @@ def test_stages(spark):
     exact = {d for d, t in kept[3].items() if any(i in decontamination.normalised(t) for i in items)}
     assert not exact & set(kept[4]) and len(kept[4]) >= len(kept[3]) - 2 * len(exact) - 2
     last = corpus_pipeline.STAGES[-1][1](spark, docs, DATA).collect()
-    e = pieces.Encoder(PIECES)
+    e = pieces.encoder(PIECES)
     assert {r.doc_id for r in last} == set(kept[4]) and all(r.round_trip and list(r.ids) == e.encode(kept[4][r.doc_id]).tolist() for r in last)
 
 
