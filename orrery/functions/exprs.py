@@ -96,10 +96,13 @@ def embedding_text_parent_child(heading: Column, content: Column) -> Column:
     return F.when(blank(heading), content).otherwise(F.concat(trim(heading), F.lit("\n\n"), content))
 
 
-def embedding_text_structure(context: Column, path: Column, content: Column) -> Column:
-    """prepend: the content has its headings already; metadata_only: headings joined by " > ", a blank line, the content."""
+def embedding_text_structure(context: Column, path: Column, content: Column, apart: Column | None = None) -> Column:
+    """prepend: the content has its headings already, unless they are `apart`; metadata_only, or apart: headings joined by " > ", a blank line, the content."""
     joined = F.array_join(F.transform(path, trim), " > ")
-    return F.when(trim(context) == "prepend", content).when(F.coalesce(F.size(path), F.lit(0)) > 0, F.concat(joined, F.lit("\n\n"), content)).otherwise(content)
+    there = trim(context) == "prepend"
+    if apart is not None:
+        there &= ~F.coalesce(apart, F.lit(False))
+    return F.when(there, content).when(F.coalesce(F.size(path), F.lit(0)) > 0, F.concat(joined, F.lit("\n\n"), content)).otherwise(content)
 
 
 def config_parent_child(parent: Column, child: Column) -> Column:

@@ -106,12 +106,13 @@ def section_chunks(texts: list[tuple[str, str]], most: int, least: int) -> list[
     return out
 
 
-def structured(units: list[tuple[str, str, list[str]]], config: ChunkConfig) -> list[tuple[str, list[str], list[str]]]:
-    """(content, path, units) of each chunk of a document's units (id, content, path).
+def structured(units: list[tuple[str, str, list[str]]], config: ChunkConfig) -> list[tuple[str, list[str], list[str], bool]]:
+    """(content, path, units, apart) of each chunk of a document's units (id, content, path).
 
     A chunk holds units of one heading section; a fenced block is a chunk by itself. With `prepend` the headings and a blank
-    line go before the content and count; headings that would take more than half of a chunk, or no room beside a fenced
-    block, stay in the metadata alone. A text that is too long by itself is cut; a fenced block is an error.
+    line go before the content and count. Headings that would take more than half of a chunk, or no room beside a fenced
+    block, stay `apart`: the content is without them, and they go into the text that is embedded. A text that is too long by
+    itself is cut; a fenced block is an error.
     """
     most, least, out = config.structure_max, config.structure_min, []
     at = 0
@@ -121,11 +122,12 @@ def structured(units: list[tuple[str, str, list[str]]], config: ChunkConfig) ->
         while end < len(units) and units[end][2] == path:
             end += 1
         head = " > ".join(path) + "\n\n" if config.heading_context == "prepend" and path else ""
-        head = "" if len(head) > most // 2 else head
+        long = len(head) > most // 2
+        head = "" if long else head
         room, run = most - len(head), []
 
-        def close(run: list = run, head: str = head, path: list[str] = path, room: int = room) -> None:
-            out.extend((head + "\n\n".join(x for _, x in some), path, [u for u, _ in some]) for some in section_chunks(run, room, min(least, room)))
+        def close(run: list = run, head: str = head, path: list[str] = path, room: int = room, long: bool = long) -> None:
+            out.extend((head + "\n\n".join(x for _, x in some), path, [u for u, _ in some], long) for some in section_chunks(run, room, min(least, room)))
             run.clear()
 
         for unit, content, _ in units[at:end]:
@@ -133,7 +135,8 @@ def structured(units: list[tuple[str, str, list[str]]], config: ChunkConfig) ->
                 if len(content) > most:
                     raise OversizeBlock(f"a block of {len(content)} characters; a chunk has at most {most}")
                 close()
-                out.append(((head if len(content) <= room else "") + content, path, [unit]))
+                fits = len(content) <= room
+                out.append(((head if fits else "") + content, path, [unit], long or not fits))
             else:
                 run += [(unit, content[i : i + room]) for i in range(0, len(content), room)]
         close()
@@ -144,22 +147,23 @@ def structured(units: list[tuple[str, str, list[str]]], config: ChunkConfig) ->
 def structure_aware(units: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
     """Units (document_id, unit_id, unit_index, content, path) as chunks of heading sections (`structured`).
 
-    Documents are grouped, so one document's units are in one task; a null path is an empty one.
+    Documents are grouped, so one document's units are in one task; a null path is an empty one. The metadata of a chunk whose
+    headings stay apart from its content say so (`headings_apart`).
     """
-    schema = "document_id string, content string, at int, path array<string>, units array<string>"
+    schema = "document_id string, content string, at int, path array<string>, units array<string>, apart boolean"
 
     def work(t: pd.DataFrame) -> pd.DataFrame:
         rows = t.sort_values("unit_index")[["unit_id", "content", "path"]].itertuples(index=False)
         made = structured([(u, c, [] if p is None else list(p)) for u, c, p in rows], config)
         doc = t["document_id"].iloc[0]
-        return pd.DataFrame([(doc, c, i, p, us) for i, (c, p, us) in enumerate(made)], columns=["document_id", "content", "at", "path", "units"])
+        return pd.DataFrame([(doc, c, i, p, us, a) for i, (c, p, us, a) in enumerate(made)], columns=["document_id", "content", "at", "path", "units", "apart"])
 
     rows = _sequenced(units.select("document_id", "unit_id", "unit_index", "content", "path").groupBy("document_id").applyInPandas(work, schema), ["at"])
     none = F.lit(None).cast("string")
     before, after = F.lag("chunk_id"), F.lead("chunk_id")
     rows = rows.withColumn("chunk_id", F.sha2(F.concat_ws(":", "document_id", F.lit("structure"), "sequence", "content"), 256))
     order = Window.partitionBy("document_id").orderBy("sequence")
-    rows = rows.withColumns({"previous_chunk_id": before.over(order), "next_chunk_id": after.over(order), "parent_chunk_id": none, "kind": F.lit("structure"), "level": F.lit(0), "metadata": F.to_json(F.struct(F.col("path").alias("semantic_path")))})
+    rows = rows.withColumns({"previous_chunk_id": before.over(order), "next_chunk_id": after.over(order), "parent_chunk_id": none, "kind": F.lit("structure"), "level": F.lit(0), "metadata": F.to_json(F.struct(F.col("path").alias("semantic_path"), F.when(F.col("apart"), True).alias("headings_apart")))})
     return _finished(rows, F.array_distinct("units"))
 
 

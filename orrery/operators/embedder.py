@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import http.client
 import json
 import math
-import urllib.error
-import urllib.request
-from collections.abc import Iterator
+import socket
+import threading
+from collections.abc import Callable, Iterator
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from typing import Protocol
+from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -50,8 +52,9 @@ class HttpEmbedder:
     """A client of an embedding service with the widespread JSON interface (POST {base_url}/embeddings).
 
     Each text is a request of its own, so the service's count of tokens is that of the text. At most `concurrency` requests
-    are under way; the first error ends the call and cancels those that haven't begun. Errors never show the service's text
-    or the key. The client can be sent to executors.
+    are under way; the first error ends the call and cancels those that haven't begun. `timeout_s` is the time of a whole
+    request, from connecting to the answer's last byte. Redirects are errors, so the key goes to the given host alone (nor
+    are proxies used). Errors never show the service's text or the key. The client can be sent to executors.
     """
 
     base_url: str
@@ -72,24 +75,14 @@ class HttpEmbedder:
         if not texts or any(not t.strip() for t in texts):
             raise InvalidRequest("there is no text, or a blank one, to embed")
         with ThreadPoolExecutor(min(self.concurrency, len(texts))) as pool:
-            asked = [pool.submit(self.one, t) for t in texts]
-            done, waiting = wait(asked, return_when=FIRST_EXCEPTION)
-            for f in waiting:
-                f.cancel()
-            if failed := next((f for f in done if f.exception()), None):
-                failed.result()
-        return [f.result() for f in asked]
+            return all_or_first_error(pool, self.one, texts)
 
     def one(self, text: str) -> tuple[list[float], int]:
         body = json.dumps({"model": self.model, "input": [text], "dimensions": self.dimensions, "encoding_format": "float"}).encode()
         key = self.key.reveal() if hasattr(self.key, "reveal") else self.key
-        request = urllib.request.Request(f"{self.base_url.rstrip('/')}/embeddings", body, {"Authorization": f"Bearer {key}", "Content-Type": "application/json"})
-        try:
-            with urllib.request.urlopen(request, timeout=self.timeout_s) as response:  # noqa: S310
-                content = response.read(RESPONSE_BYTES + 1)
-        except (OSError, ValueError) as cause:
-            status = f" with status {cause.code}" if isinstance(cause, urllib.error.HTTPError) else ""
-            raise EmbeddingUnavailable(f"the embedding request failed{status}") from None
+        status, content = post(f"{self.base_url.rstrip('/')}/embeddings", body, {"Authorization": f"Bearer {key}", "Content-Type": "application/json"}, self.timeout_s)
+        if not 200 <= status < 300:
+            raise EmbeddingUnavailable(f"the embedding request failed with status {status}")
         try:
             if len(content) > RESPONSE_BYTES:
                 raise ValueError
@@ -101,6 +94,51 @@ class HttpEmbedder:
         return checked([(vector, tokens)], 1, self.dimensions)[0]
 
 
+def post(url: str, body: bytes, headers: dict[str, str], timeout_s: float) -> tuple[int, bytes]:
+    """The status and at most RESPONSE_BYTES + 1 bytes of one answer of this very host, all within `timeout_s`."""
+    u = urlsplit(url)
+    kind = http.client.HTTPSConnection if u.scheme == "https" else http.client.HTTPConnection
+    connection = None
+    late = threading.Event()
+
+    def end() -> None:
+        late.set()
+        if connection is not None and (s := connection.sock) is not None:
+            try:
+                s.shutdown(socket.SHUT_RDWR)
+            except OSError:
+                pass
+
+    timer = threading.Timer(timeout_s, end)
+    timer.daemon = True
+    timer.start()
+    try:
+        connection = kind(u.hostname or "", u.port, timeout=timeout_s)
+        connection.request("POST", u.path or "/", body, headers)
+        answer = connection.getresponse()
+        content = answer.read(RESPONSE_BYTES + 1)
+        if late.is_set():
+            raise TimeoutError
+        return answer.status, content
+    except (OSError, http.client.HTTPException, ValueError):
+        raise EmbeddingUnavailable("the embedding request failed") from None
+    finally:
+        timer.cancel()
+        if connection is not None:
+            connection.close()
+
+
+def all_or_first_error[A, B](pool: ThreadPoolExecutor, work: Callable[[A], B], items: list[A]) -> list[B]:
+    """Results in order; the first error cancels what hasn't begun and is raised."""
+    asked = [pool.submit(work, x) for x in items]
+    done, waiting = wait(asked, return_when=FIRST_EXCEPTION)
+    for f in waiting:
+        f.cancel()
+    if failed := next((f for f in done if f.exception()), None):
+        failed.result()
+    return [f.result() for f in asked]
+
+
 def checked(results: list[tuple[list[float], int]], count: int, dimensions: int) -> list[tuple[list[float], int]]:
     """What an embedder returned: as many results as texts, each with a token, the dimensions and finite 32-bit numbers."""
     right = len(results) == count and all(n >= 1 and len(v) == dimensions and all(abs(x) <= 3.4028234663852886e38 for x in v) for v, n in results)
@@ -109,16 +147,28 @@ def checked(results: list[tuple[list[float], int]], count: int, dimensions: int)
     return results
 
 
-def embed_inputs(inputs: DataFrame, embedder: Embedder, dimensions: int, batch: int = 10, threads: int = 4) -> DataFrame:
-    """Adds embedding_token_count and embedding; batches of a partition go out on a few threads, the first error ends the job."""
+def embed_inputs(inputs: DataFrame, embedder: Embedder, dimensions: int, tasks: int = 2, batch: int = 64) -> DataFrame:
+    """Adds embedding_token_count and embedding.
+
+    An embedder with a `concurrency` is the client of a service, and that is how many requests a run has under way at most:
+    the inputs are dealt to at most `tasks` tasks, which share the slots. A task has one pool; each text is a call of its own
+    and begins when a slot is free; the first error cancels what hasn't begun and ends the job. (A task that Spark runs twice
+    at once, by speculation, has its slots twice.) Other embedders get batches, in as many tasks as the inputs have.
+    """
     schema = "chunk_set_id string, chunk_id string, model_key string, embedding_text string, input_sha256 string, embedding_token_count int, embedding array<double>"
+    limit = getattr(embedder, "concurrency", None)
+    dealt = min(tasks, limit) if limit else 0
+
+    def found(pool: ThreadPoolExecutor, texts: list[str]) -> list[tuple[list[float], int]]:
+        parts = [[t] for t in texts] if limit else [texts[i : i + batch] for i in range(0, len(texts), batch)]
+        made = all_or_first_error(pool, lambda p: checked(embedder.embed(p), len(p), dimensions), parts)
+        return [x for part in made for x in part]
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with ThreadPoolExecutor(threads) as pool:
+        with ThreadPoolExecutor(limit // dealt if limit else 1) as pool:
             for b in frames:
-                texts = b["embedding_text"].tolist()
-                parts = [texts[i : i + batch] for i in range(0, len(texts), batch)]
-                found = [x for p, r in zip(parts, pool.map(embedder.embed, parts), strict=True) for x in checked(r, len(p), dimensions)]
-                yield b.assign(embedding_token_count=[n for _, n in found], embedding=[v for v, _ in found])
+                made = found(pool, b["embedding_text"].tolist())
+                yield b.assign(embedding_token_count=[n for _, n in made], embedding=[v for v, _ in made])
 
-    return inputs.select("chunk_set_id", "chunk_id", "model_key", "embedding_text", "input_sha256").mapInPandas(work, schema)
+    rows = inputs.select("chunk_set_id", "chunk_id", "model_key", "embedding_text", "input_sha256")
+    return (rows.repartition(dealt) if limit else rows).mapInPandas(work, schema)

@@ -92,6 +92,6 @@ def map_build(spec: BuildSpec, chunks: DataFrame, profile: tuple[str, str] | Non
     if spec.strategy_name == PARENT_CHILD:
         text = X.embedding_text_parent_child(F.lit(spec.title), F.col("content"))
     else:
-        text = X.embedding_text_structure(F.lit(spec.config.heading_context), semantic_path(F.col("metadata")), F.col("content"))
+        text = X.embedding_text_structure(F.lit(spec.config.heading_context), semantic_path(F.col("metadata")), F.col("content"), F.get_json_object("metadata", "$.headings_apart") == "true")
     inputs = rows.filter(embeddable(spec.strategy_name)).select("chunk_set_id", "chunk_id", spec.model.key().alias("model_key"), text.alias("embedding_text"))
     return BuildData(sets, rows, inputs.withColumn("input_sha256", X.sha256("embedding_text")))

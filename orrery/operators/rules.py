@@ -13,6 +13,7 @@ from ..functions import canonical as J
 from ..functions import exprs as X
 from .chunking import PARENT_CHILD, STRUCTURE_AWARE
 from .mapping import BuildData, embeddable
+from .ordering import numbered
 
 SET, CHUNK = "chunk_set_id", ["chunk_set_id", "chunk_id"]
 
@@ -170,13 +171,22 @@ def unknown_pending(pending: DataFrame, inputs: DataFrame) -> DataFrame:
     return pending.join(inputs, [*CHUNK, "model_key", "embedding_text", "input_sha256"], "left_anti").select(*CHUNK)
 
 
+def bad_vector(dimensions: int) -> Column:
+    return _any([F.size("embedding") != dimensions, ~X.finite(F.col("embedding"))])
+
+
 def vectors(embeddings: DataFrame, dimensions: int) -> DataFrame:
-    return embeddings.filter(_any([F.size("embedding") != dimensions, ~X.finite(F.col("embedding"))])).select(*CHUNK)
+    return embeddings.filter(bad_vector(dimensions)).select(*CHUNK)
 
 
-def embedding_records(embeddings: DataFrame, dimensions: int) -> DataFrame:
+def bad_record(dimensions: int) -> Column:
+    """What is wrong with one record by itself."""
     wrong = [~F.col(SET).rlike(X.UUID), X.padded("chunk_id"), X.padded("model_key"), X.blank("embedding_text"), ~F.col("input_sha256").rlike(X.HEX64), F.col("embedding_token_count") < 1]
-    return embeddings.filter(_any(wrong)).select(*CHUNK).union(vectors(embeddings, dimensions)).union(duplicate_inputs(embeddings).select(*CHUNK)).distinct()
+    return _any(wrong) | bad_vector(dimensions)
+
+
+def embedding_records(embeddings: DataFrame, dimensions: int) -> DataFrame:
+    return embeddings.filter(bad_record(dimensions)).select(*CHUNK).union(duplicate_inputs(embeddings).select(*CHUNK)).distinct()
 
 
 def profile_configs(sets: DataFrame) -> DataFrame:
@@ -193,11 +203,13 @@ def early_visible(sets: DataFrame, embeddings: DataFrame) -> DataFrame:
 
 
 def evidence_order(evidence: DataFrame) -> DataFrame:
-    """Ranked rows (rank, cosine_distance, chunk_set_id, chunk_id) that stand before their place or repeat a candidate."""
-    from pyspark.sql import Window
+    """Ranked rows (rank, cosine_distance, chunk_set_id, chunk_id) that stand before their place or repeat a candidate.
 
-    key = F.struct("cosine_distance", *CHUNK)
-    return evidence.withColumn("before", F.lag(key).over(Window.orderBy("rank"))).filter(F.col("before") >= key).select("rank", *CHUNK)
+    The rows are numbered over range partitions, and each one meets the one before it by its number: no task has all rows.
+    """
+    rows = numbered(evidence.select("rank", "cosine_distance", *CHUNK), ["rank", "cosine_distance", *CHUNK]).withColumn("key", F.struct("cosine_distance", *CHUNK))
+    before = rows.select((F.col("number") + 1).alias("number"), F.col("key").alias("before"))
+    return rows.join(before, "number").filter(F.col("before") >= F.col("key")).select("rank", *CHUNK)
 
 
 def checks(build: BuildData, strategy: str) -> dict[str, Callable[[], DataFrame]]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..errors import InvalidEvidence, InvalidRequest
 from ..functions import exprs as X
 from ..functions.canonical import parse_object
+from .ordering import numbered
 
 MOST, QUERY_RUNES = 20, 4096
 #: Rows of query vectors that are broadcast to the candidates.
@@ -55,6 +56,13 @@ def search(sets: DataFrame, chunks: DataFrame, embeddings: DataFrame, request: S
     return rows.join(F.broadcast(top), ["chunk_set_id", "chunk_id"]).select(*EVIDENCE).orderBy("cosine_distance", "chunk_set_id", "chunk_id")
 
 
+def ranked_all(candidates: DataFrame, vector: list[float]) -> DataFrame:
+    """rank, chunk_set_id, chunk_id and distance of all candidates of one query, the nearest first, numbered over range partitions."""
+    query = X.narrow(F.lit([float(x) for x in vector]))
+    near = candidates.select("chunk_set_id", "chunk_id", X.cosine_distance(F.col("embedding"), query).alias("cosine_distance")).filter("cosine_distance is not null")
+    return numbered(near, ["cosine_distance", "chunk_set_id", "chunk_id"]).withColumnRenamed("number", "rank")
+
+
 def search_many(queries: DataFrame, candidates: DataFrame, limit: int | None) -> DataFrame:
     """query_id, rank and distance of the nearest candidates of each query (query_id, vector) in its model space; all without a limit.
 

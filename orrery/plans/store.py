@@ -15,7 +15,7 @@ from collections.abc import Callable
 from datetime import UTC, datetime
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import BuildConflict, InvalidBuild, SchemaDrift, StoreUnavailable
@@ -130,10 +130,15 @@ class IndexStore:
         schema = schemas.TABLES[name]
         return self.spark.read.schema(schema).parquet(*live) if live else self.spark.createDataFrame([], schema)
 
-    def _write(self, name: str, set_id: str, df: DataFrame) -> str:
+    def _write(self, name: str, set_id: str, df: DataFrame, **counted: Column) -> tuple[str, dict[str, int]]:
+        """Writes a folder; what is counted is observed while its rows are written, by the same job."""
         folder = f"{self.root}/{name}/{set_id}/{uuid.uuid4().hex}"
-        df.select([F.col(f.name).cast(f.dataType) for f in schemas.TABLES[name].fields]).write.parquet(folder)
-        return folder
+        rows = df.select([F.col(f.name).cast(f.dataType) for f in schemas.TABLES[name].fields])
+        seen = Observation()
+        if counted:
+            rows = rows.observe(seen, *(F.count_if(c).alias(k) for k, c in counted.items()))
+        rows.write.parquet(folder)
+        return folder, dict(seen.get) if counted else {}
 
     def frames(self, keep: Callable[[dict], bool] = lambda row: True, area: str = "*") -> tuple[DataFrame, DataFrame, DataFrame]:
         """Sets, chunks and embeddings of a snapshot, of the sets that `keep` chooses by their rows."""
@@ -162,7 +167,7 @@ class IndexStore:
         kept = reconcile.upserted(old_chunks, new.select(old_chunks.columns), ["chunk_set_id", "chunk_id"], ["created_at"]).join(build.chunks.select("chunk_id"), "chunk_id", "left_semi")
         current = old_vectors.join(build.inputs.select("chunk_set_id", "chunk_id", "model_key"), ["chunk_set_id", "chunk_id", "model_key"], "left_semi")
         current = reconcile.hidden(current, build.sets)
-        chunks, vectors = self._write("chunks", spec.set_id, kept), self._write("chunk_embeddings", spec.set_id, current)
+        (chunks, _), (vectors, _) = self._write("chunks", spec.set_id, kept), self._write("chunk_embeddings", spec.set_id, current)
 
         def change(state: dict) -> None:
             self._same_building(state.get(spec.set_id), row)
@@ -188,12 +193,16 @@ class IndexStore:
 
     def save_embeddings(self, set_id: str, records: DataFrame) -> None:
         row = self._building(self._find(set_id), set_id)
-        if records.isEmpty() or not rules.embedding_records(records, self.dimensions).isEmpty() or not records.filter(F.col("chunk_set_id") != set_id).isEmpty():
-            raise InvalidBuild("R-EMB2: the records aren't whole")
+        if not rules.duplicate_inputs(records).isEmpty():
+            raise InvalidBuild("R-EMB2: a record is there twice")
         now = F.lit(datetime.now(UTC))
         new = records.withColumns({"embedding": X.narrow(F.col("embedding")), "searchable": F.lit(False), "created_at": now, "updated_at": now})
         stored = self._frame("chunk_embeddings", [row["embeddings"]])
-        folder = self._write("chunk_embeddings", set_id, reconcile.upserted(stored, new.select(stored.columns), ["chunk_set_id", "chunk_id", "model_key"], ["created_at"]))
+        both = reconcile.upserted(stored, new.select(stored.columns), ["chunk_set_id", "chunk_id", "model_key"], ["created_at"])
+        wrong = rules.bad_record(self.dimensions) | (F.col("chunk_set_id") != set_id)
+        folder, seen = self._write("chunk_embeddings", set_id, both, wrong=wrong, new=F.col("updated_at") == now)
+        if seen["wrong"] or not seen["new"]:
+            raise InvalidBuild("R-EMB2: the records aren't whole")
 
         def change(state: dict) -> None:
             if self._building(state.get(set_id), set_id)["embeddings"] != row["embeddings"]:
@@ -210,24 +219,25 @@ class IndexStore:
         if same:
             raise BuildConflict("R-PUB2: the profile has another configuration elsewhere")
         rules.validate_build(BuildData(sets, chunks.withColumn("document_id", F.lit(row["document_id"])), vectors), row["strategy_name"])
-        if not rules.vectors(vectors, self.dimensions).isEmpty() or not vectors.filter("searchable").isEmpty():
+        seen = vectors.agg(F.count("*").alias("n"), F.count_if(rules.bad_vector(self.dimensions)).alias("bad"), F.count_if("searchable").alias("shown")).first()
+        if seen.bad or seen.shown:
             raise InvalidBuild("R-PUB3, R-PUB4: a vector is visible or isn't finite")
-        return vectors.count()
+        return seen.n
 
     def publish(self, set_id: str) -> None:
         """Makes a set the active one of its scope; the active one before it retires in the same commit."""
         row = self._find(set_id)
         scope = [row[k] for k in SCOPE]
-        self.validate(set_id)
-        checked = self._frame("chunk_embeddings", [row["embeddings"]]).count()
+        checked = self.validate(set_id)
         switched: dict[tuple[str, bool], str] = {}
 
         def visible(r: dict, shown: bool) -> str:
             key = (r["embeddings"], shown)
             if key not in switched:
-                switched[key] = self._write("chunk_embeddings", r["id"], self._frame("chunk_embeddings", [r["embeddings"]]).withColumn("searchable", F.lit(shown)))
-                if shown and (n := self._frame("chunk_embeddings", [switched[key]]).filter("searchable").count()) != checked:
-                    raise BuildConflict(f"{n} vectors became visible, {checked} were checked")
+                rows = self._frame("chunk_embeddings", [r["embeddings"]]).withColumn("searchable", F.lit(shown))
+                switched[key], seen = self._write("chunk_embeddings", r["id"], rows, shown=F.col("searchable"), bad=rules.bad_vector(self.dimensions))
+                if shown and (seen["shown"] != checked or seen["bad"]):
+                    raise BuildConflict(f"{seen['shown']} vectors became visible, {checked} were checked")
             return switched[key]
 
         def change(state: dict) -> None:

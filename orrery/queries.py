@@ -96,7 +96,7 @@ def visible_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evidence_order_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All visible candidates of a query, ranked, in which every seventh row stands three places too early."""
     sets, _, vectors = vector_index(spark, sf_dir)
-    ranks = search.search_many(read(spark, sf_dir, "embeddings").filter(F.col("vec_id") == QUERY_ID).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"), MODEL.key().alias("model_key")), search.visible(sets, vectors), None)
+    ranks = search.ranked_all(search.visible(sets, vectors).filter(F.col("model_key") == MODEL.key()), query_vector(spark, sf_dir))
     moved = ranks.withColumn("rank", (F.col("rank") * 10 - F.when(F.col("rank") % 7 == 0, 35).otherwise(0)).cast("long"))
     return rules.evidence_order(moved)
 

@@ -112,8 +112,8 @@ def test_last_run_of_a_section_takes_from_the_one_before():
 
 def test_headings_that_leave_no_room_stay_in_the_metadata():
     limits = chunking.ChunkConfig(structure_max=100, structure_min=40)
-    assert chunking.structured([("u", "body", ["h" * 60])], limits) == [("body", ["h" * 60], ["u"])]
-    assert chunking.structured([("u", "```\n" + "x" * 88 + "\n```", ["head"])], limits) == [("```\n" + "x" * 88 + "\n```", ["head"], ["u"])]
+    assert chunking.structured([("u", "body", ["h" * 60])], limits) == [("body", ["h" * 60], ["u"], True)]
+    assert chunking.structured([("u", "```\n" + "x" * 88 + "\n```", ["head"])], limits) == [("```\n" + "x" * 88 + "\n```", ["head"], ["u"], True)]
 
 
 def test_windows_drop_blank_ones_and_link_the_rest(spark):
