@@ -29,6 +29,10 @@ class EmbeddingUnavailable(EngineError):
     """The embedding service failed or answered with an error; its text isn't shown."""
 
 
+class SourceUnavailable(EngineError):
+    """A source couldn't be read: trying again may help."""
+
+
 class InvalidEvidence(EngineError):
     pass
 

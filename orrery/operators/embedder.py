@@ -6,18 +6,16 @@ import hashlib
 import http.client
 import json
 import math
-import socket
-import threading
 from collections.abc import Callable, Iterator
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from typing import Protocol
-from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
 from ..errors import EmbeddingUnavailable, InvalidConfig, InvalidEmbedding, InvalidRequest
+from ..sources.web import exchange
 
 #: Requests that a client has under way at once, and bytes of a response, at most.
 CONCURRENCY, RESPONSE_BYTES = 10, 8 << 20
@@ -80,7 +78,11 @@ class HttpEmbedder:
     def one(self, text: str) -> tuple[list[float], int]:
         body = json.dumps({"model": self.model, "input": [text], "dimensions": self.dimensions, "encoding_format": "float"}).encode()
         key = self.key.reveal() if hasattr(self.key, "reveal") else self.key
-        status, content = post(f"{self.base_url.rstrip('/')}/embeddings", body, {"Authorization": f"Bearer {key}", "Content-Type": "application/json"}, self.timeout_s)
+        headers = {"Authorization": f"Bearer {key}", "Content-Type": "application/json"}
+        try:
+            status, _, content = exchange("POST", f"{self.base_url.rstrip('/')}/embeddings", body, headers, self.timeout_s, RESPONSE_BYTES)
+        except (OSError, http.client.HTTPException, ValueError):
+            raise EmbeddingUnavailable("the embedding request failed") from None
         if not 200 <= status < 300:
             raise EmbeddingUnavailable(f"the embedding request failed with status {status}")
         try:
@@ -94,40 +96,6 @@ class HttpEmbedder:
         return checked([(vector, tokens)], 1, self.dimensions)[0]
 
 
-def post(url: str, body: bytes, headers: dict[str, str], timeout_s: float) -> tuple[int, bytes]:
-    """The status and at most RESPONSE_BYTES + 1 bytes of one answer of this very host, all within `timeout_s`."""
-    u = urlsplit(url)
-    kind = http.client.HTTPSConnection if u.scheme == "https" else http.client.HTTPConnection
-    connection = None
-    late = threading.Event()
-
-    def end() -> None:
-        late.set()
-        if connection is not None and (s := connection.sock) is not None:
-            try:
-                s.shutdown(socket.SHUT_RDWR)
-            except OSError:
-                pass
-
-    timer = threading.Timer(timeout_s, end)
-    timer.daemon = True
-    timer.start()
-    try:
-        connection = kind(u.hostname or "", u.port, timeout=timeout_s)
-        connection.request("POST", u.path or "/", body, headers)
-        answer = connection.getresponse()
-        content = answer.read(RESPONSE_BYTES + 1)
-        if late.is_set():
-            raise TimeoutError
-        return answer.status, content
-    except (OSError, http.client.HTTPException, ValueError):
-        raise EmbeddingUnavailable("the embedding request failed") from None
-    finally:
-        timer.cancel()
-        if connection is not None:
-            connection.close()
-
-
 def all_or_first_error[A, B](pool: ThreadPoolExecutor, work: Callable[[A], B], items: list[A]) -> list[B]:
     """Results in order; the first error cancels what hasn't begun and is raised."""
     asked = [pool.submit(work, x) for x in items]

@@ -66,7 +66,7 @@ class IndexingWorkflow:
         return self.runner.run(request.run_id, IndexState(request)).counts
 
     def ingest_document(self, s: IndexState) -> IndexState:
-        found = U.read_files(self.spark, s.request.source_uri).withColumn("document_id", F.lit(s.request.document_id))
+        found = U.read_source(self.spark, s.request.source_uri).withColumn("document_id", F.lit(s.request.document_id))
         units = U.stamped(U.prepared(found), F.lit(s.request.canonical_uri), F.col("mime_type")).cache()
         kinds = units.select("structured", "content_sha256").distinct().limit(2).collect()
         if not kinds:

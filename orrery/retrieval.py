@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import ann, blocks, context, keyword, search
-from .queries import CHUNKS, MODEL, VECTORS, chunks_of, longs, read, units, vector_index
+from .plans.layout import Layout
+from .queries import CHUNKS, KNOWLEDGE_BASE, MODEL, TENANT, VECTORS, chunks_of, inputs_of, longs, query_vector, read, units, vector_index
+from .queries import oracle_sql as engine_sql
 from .sources.shared import scratch, written
 
 #: Languages that each keyword query is asked in; results of a ranking; tokens of a context.
@@ -145,8 +148,32 @@ def assembled_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return longs(context.within_budget(near, chunks, BUDGET), "place", "rank", "hop", "token_count", "tokens")
 
 
+# ---- tables
+
+
+def stored(spark: SparkSession, name: str) -> Layout:
+    return Layout(spark, "orrery_" + uuid.uuid4().hex, scratch(spark, name), 8)
+
+
+def ordered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks in the order of their sets, each with the one before it, from tables by scope and set."""
+    chunks = chunks_of(spark, sf_dir)
+    layout = stored(spark, "ordered-scan")
+    layout.save(document_sets(spark, sf_dir), chunks, inputs_of(chunks))
+    return longs(layout.ordered(), "place").select("chunk_set_id", "chunk_id", "place", "before")
+
+
+def scoped_search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship search from tables by scope and set."""
+    layout = stored(spark, "scoped-search")
+    layout.save(*vector_index(spark, sf_dir))
+    key = spark.range(1).select(MODEL.key()).first()[0]
+    found = layout.search(search.SearchRequest(TENANT, KNOWLEDGE_BASE, key, query_vector(spark, sf_dir), search.MOST, MODEL.dimensions))
+    return found.withColumn("cosine_distance", F.round("cosine_distance", 6)).withColumn("source_unit_ids", F.to_json("source_unit_ids"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [block_search_topk, index_search_exact, index_search_topk, index_search_recall, keyword_postings, keyword_search_topk, hybrid_search_topk, hybrid_parents, assembled_context]
+    named = [block_search_topk, index_search_exact, index_search_topk, index_search_recall, keyword_postings, keyword_search_topk, hybrid_search_topk, hybrid_parents, assembled_context, ordered_scan, scoped_search_topk]
     return {f.__name__: f for f in named}
 
 
@@ -193,6 +220,8 @@ def oracle_sql() -> dict[str, str]:
         "keyword_postings": f"{POSTINGS} SELECT * FROM po",
         "keyword_search_topk": f"{KEYWORDS} SELECT * FROM kr",
         "hybrid_search_topk": f"{HYBRID} SELECT * FROM fr",
+        "ordered_scan": f"{CHUNKS} SELECT chunk_set_id, chunk_id, row_number() OVER w AS place, lag(chunk_id) OVER w AS before FROM c WINDOW w AS (PARTITION BY chunk_set_id ORDER BY sequence, chunk_id)",
+        "scoped_search_topk": engine_sql()["vector_search_topk"],
         "hybrid_parents": _PARENTS,
         "assembled_context": _CONTEXT,
     }

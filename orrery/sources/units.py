@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Callable, Iterator
 
@@ -11,10 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from . import web
+from .office import parse_docx, parse_xlsx
 
 UNITS = "document_id string, position int, content string, structured boolean, path array<string>"
 #: What a parser makes of a document: (content, heading path) for each unit; structured parsers give heading paths.
-Parser = Callable[[str], list[tuple[str, list[str]]]]
+Parser = Callable[..., list[tuple[str, list[str]]]]
 
 
 def parse_text(text: str) -> list[tuple[str, list[str]]]:
@@ -111,12 +114,20 @@ def parse_html(text: str) -> list[tuple[str, list[str]]]:
 
 
 #: Media types by extension.
-MIME_TYPES = {"md": "text/markdown", "markdown": "text/markdown", "txt": "text/plain", "html": "text/html", "htm": "text/html"}
-PARSERS: dict[str, tuple[Parser, bool]] = {"md": (parse_markdown, True), "markdown": (parse_markdown, True), "txt": (parse_text, False)}
+MIME_TYPES = {
+    "md": "text/markdown", "markdown": "text/markdown", "txt": "text/plain", "html": "text/html", "htm": "text/html",
+    "docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document", "xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
+}
+PARSERS: dict[str, tuple[Parser, bool]] = {
+    "md": (parse_markdown, True), "markdown": (parse_markdown, True), "txt": (parse_text, False), "html": (parse_html, True), "htm": (parse_html, True),
+    "docx": (parse_docx, True), "xlsx": (parse_xlsx, True),
+}
+#: Kinds whose parsers take bytes; the others take UTF-8 text.
+BINARY = frozenset(("docx", "xlsx"))
 
 
-def read_files(spark: SparkSession, path: str, parsers: dict[str, tuple[Parser, bool]] = PARSERS, most_bytes: int = 64 << 20) -> DataFrame:
-    """Units of the files under a path of any store, parsed by extension; unknown extensions and too large files are errors.
+def parsed(files: DataFrame, parsers: dict[str, tuple[Parser, bool]] = PARSERS) -> DataFrame:
+    """Units of files (uri, kind, content): each parsed by its kind, an unknown kind is an error.
 
     content_sha256 is the hash of a file's bytes: what a parser leaves out changes the version too.
     """
@@ -124,20 +135,47 @@ def read_files(spark: SparkSession, path: str, parsers: dict[str, tuple[Parser,
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for p, content in zip(b.path, b.content, strict=True):
-                kind = p.rsplit(".", 1)[-1].lower()
+            for uri, kind, content in zip(b.uri, b.kind, b.content, strict=True):
                 if kind not in parsers:
                     raise ValueError(f"no parser for .{kind}")
                 parser, structured = parsers[kind]
                 digest, mime = hashlib.sha256(content).hexdigest(), MIME_TYPES.get(kind, "application/octet-stream")
-                rows += [(p, i, text, structured, path, digest, mime) for i, (text, path) in enumerate(parser(content.decode()))]
+                rows += [(uri, i, text, structured, path, digest, mime) for i, (text, path) in enumerate(parser(bytes(content) if kind in BINARY else content.decode()))]
             yield pd.DataFrame(rows, columns=["uri", "position", "content", "structured", "path", "content_sha256", "mime_type"])
 
+    found = files.select("uri", "kind", "content").mapInPandas(work, "uri string, " + UNITS.split(", ", 1)[1] + ", content_sha256 string, mime_type string")
+    return found.withColumn("document_id", X.document_id(F.col("uri")))
+
+
+def extension(path: Column) -> Column:
+    return F.lower(F.regexp_extract(path, r"\.([^./\\]+)$", 1))
+
+
+def read_files(spark: SparkSession, path: str, parsers: dict[str, tuple[Parser, bool]] = PARSERS, most_bytes: int = 64 << 20) -> DataFrame:
+    """Units of the files under a path of any store, parsed by extension; too large files are errors."""
     files = spark.read.format("binaryFile").load(path)
     if files.filter(F.col("length") > most_bytes).limit(1).count():
         raise ValueError(f"a file has more than {most_bytes} bytes")
-    found = files.select("path", "content").mapInPandas(work, "uri string, " + UNITS.split(", ", 1)[1] + ", content_sha256 string, mime_type string")
-    return found.withColumn("document_id", X.document_id(F.col("uri")))
+    return parsed(files.select(F.col("path").alias("uri"), extension(F.col("path")).alias("kind"), "content"), parsers)
+
+
+def read_web(spark: SparkSession, addresses: list[str], parsers: dict[str, tuple[Parser, bool]] = PARSERS, **options: object) -> DataFrame:
+    """Units of the documents at http(s) addresses, parsed by the extension of the address that answered, or else by its media type.
+
+    options: those of the data source `web_documents`. The units' `uri` is the address that was asked for.
+    """
+    spark.dataSource.register(web.WebDocuments)
+    reader = spark.read.format("web_documents").option("addresses", json.dumps(addresses))
+    for name, value in options.items():
+        reader = reader.option(name, str(value))
+    kinds = F.create_map(*(F.lit(x) for k, m in reversed(MIME_TYPES.items()) for x in (m, k) if m not in ("text/markdown", "text/html") or k in ("md", "html")))
+    own = extension(F.col("final_uri"))
+    return parsed(reader.load().withColumn("kind", F.when(own.isin(*parsers), own).otherwise(F.coalesce(kinds[F.col("mime_type")], own))), parsers)
+
+
+def read_source(spark: SparkSession, address: str) -> DataFrame:
+    """Units of one source: by HTTP(S), or from a store of Spark's."""
+    return read_web(spark, [address]) if re.match("(?i)https?:", address) else read_files(spark, address)
 
 
 def synthetic_uri(doc_id: Column) -> Column:
