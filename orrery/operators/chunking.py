@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -158,12 +159,44 @@ def structure_aware(units: DataFrame, config: ChunkConfig = ChunkConfig()) -> Da
         doc = t["document_id"].iloc[0]
         return pd.DataFrame([(doc, c, i, p, us, a) for i, (c, p, us, a) in enumerate(made)], columns=["document_id", "content", "at", "path", "units", "apart"])
 
-    rows = _sequenced(units.select("document_id", "unit_id", "unit_index", "content", "path").groupBy("document_id").applyInPandas(work, schema), ["at"])
+    made = units.select("document_id", "unit_id", "unit_index", "content", "path").groupBy("document_id").applyInPandas(work, schema)
     none = F.lit(None).cast("string")
     before, after = F.lag("chunk_id"), F.lead("chunk_id")
-    rows = rows.withColumn("chunk_id", F.sha2(F.concat_ws(":", "document_id", F.lit("structure"), "sequence", "content"), 256))
+    rows = _sequenced(made, ["at"]).withColumn("chunk_id", structure_id(F.col("sequence"), F.col("content")))
     order = Window.partitionBy("document_id").orderBy("sequence")
-    rows = rows.withColumns({"previous_chunk_id": before.over(order), "next_chunk_id": after.over(order), "parent_chunk_id": none, "kind": F.lit("structure"), "level": F.lit(0), "metadata": F.to_json(F.struct(F.col("path").alias("semantic_path"), F.when(F.col("apart"), True).alias("headings_apart")))})
+    rows = rows.withColumns({"previous_chunk_id": before.over(order), "next_chunk_id": after.over(order), "parent_chunk_id": none, "kind": F.lit("structure"), "level": F.lit(0), "metadata": structure_metadata(F.col("path"), F.col("apart"))})
+    return _finished(rows, F.array_distinct("units"))
+
+
+def structure_id(sequence: Column, content: Column) -> Column:
+    return F.sha2(F.concat_ws(":", "document_id", F.lit("structure"), sequence, content), 256)
+
+
+def structure_metadata(path: Column, apart: Column) -> Column:
+    return F.to_json(F.struct(path.alias("semantic_path"), F.when(apart, True).alias("headings_apart")))
+
+
+def structure_aware_rows(documents: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
+    """The same chunks for documents that are a row each: document_id and `units`, an array of (unit_id, content, path) in order.
+
+    Nothing is shuffled: a document's chunks are made, numbered and linked in its own row.
+    """
+    chunk = pa.struct([("content", pa.string()), ("path", pa.list_(pa.string())), ("units", pa.list_(pa.string())), ("apart", pa.bool_())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [structured([(u["unit_id"], u["content"], u["path"] or []) for u in units or []], config) for units in b["units"].to_pylist()]
+            rows = [[dict(zip(("content", "path", "units", "apart"), c, strict=True)) for c in made] for made in found]
+            yield pa.RecordBatch.from_arrays([b["document_id"], pa.array(rows, pa.list_(chunk))], ["document_id", "chunks"])
+
+    made = documents.select("document_id", "units").mapInArrow(work, "document_id string, chunks array<struct<content: string, path: array<string>, units: array<string>, apart: boolean>>")
+    made = made.withColumn("ids", F.transform("chunks", lambda c, i: structure_id(i + 1, c["content"])))
+    rows = made.select("document_id", "ids", F.posexplode("chunks").alias("at", "c"))
+    rows = rows.select(
+        "document_id", F.get("ids", F.col("at")).alias("chunk_id"), F.lit("structure").alias("kind"), F.lit(0).alias("level"), F.lit(None).cast("string").alias("parent_chunk_id"),
+        F.when(F.col("at") > 0, F.get("ids", F.col("at") - 1)).alias("previous_chunk_id"), F.get("ids", F.col("at") + 1).alias("next_chunk_id"),
+        (F.col("at") + 1).alias("sequence"), F.col("c.content").alias("content"), F.col("c.units").alias("units"), structure_metadata(F.col("c.path"), F.col("c.apart")).alias("metadata"),
+    )
     return _finished(rows, F.array_distinct("units"))
 
 

@@ -448,13 +448,17 @@ def rule_unknown_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.unknown_pending(broken_inputs(spark, sf_dir), inputs_of(chunks_of(spark, sf_dir)))
 
 
+def page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with their blocks of text as units (unit_id, content, path): a page is a row, and stays one."""
+    pages = read(spark, sf_dir, "pages").select(text_of("page-", "page_id").alias("document_id"), F.coalesce("html", F.lit("")).alias("html"))
+    blocks = F.udf(U.parse_html, "array<struct<content string, path array<string>>>", useArrow=True)(F.col("html"))
+    units = F.transform("blocks", lambda b, i: F.struct(X.unit_id(F.col("version"), i + 1, b["content"]).alias("unit_id"), b["content"].alias("content"), b["path"].alias("path")))
+    return pages.select("document_id", X.sha256("html").alias("version"), blocks.alias("blocks")).select("document_id", units.alias("units"))
+
+
 def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Structure-aware chunks of pages: the heading and its paragraphs as units (tags dropped, entities kept)."""
-    pages = read(spark, sf_dir, "pages")
-    blocks = F.udf(U.parse_html, "array<struct<content string, path array<string>>>", useArrow=True)(F.coalesce("html", F.lit("")))
-    made = pages.select(text_of("page-", "page_id").alias("document_id"), F.posexplode(blocks).alias("position", "block"), F.sha2("html", 256).alias("content_sha256"))
-    made = made.select("document_id", "block.path", "position", "block.content", "content_sha256")
-    found = chunking.structure_aware(U.prepared(made), CONFIG)
+    """Structure-aware chunks of the whole texts of pages, under their headings of all levels."""
+    found = chunking.structure_aware_rows(page_blocks(spark, sf_dir), CONFIG)
     return found.select("document_id", "chunk_id", F.col("sequence").cast("long").alias("sequence"), F.col("character_count").cast("long").alias("character_count"), F.size("source_unit_ids").cast("long").alias("units"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import html
 import json
 import re
 from collections.abc import Callable, Iterator
@@ -56,61 +57,51 @@ def parse_markdown(text: str) -> list[tuple[str, list[str]]]:
     return out
 
 
-_html = re.compile(r"""(?is)<!--.*?(?:-->|\Z)|<(?P<raw>script|style)\b.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-z][a-z0-9-]*)(?:[^>"']|"[^"]*"|'[^']*')*>|<[!?/][^>]*>|[^<]+|<""")
-#: Elements that end an open paragraph where they begin or end.
-CONTAINERS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html main menu nav ol pre search section summary table tbody td tfoot th thead tr ul".split())
-LISTS = frozenset(("ul", "ol", "menu", "dir"))
+_html = re.compile(r"""(?is)<!--.*?(?:-->|\Z)|<(?P<raw>script|style|title)\b.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-z][a-z0-9-]*)(?:[^>"']|"[^"]*"|'[^']*')*>|<[!?/][^>]*>|[^<]+|<""")
+#: Elements that begin and end blocks of text; those of them that are headings; cells of a row.
+BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody textarea tfoot thead tr ul".split())
+HEADINGS = {f"h{i}": i for i in range(1, 7)}
+CELLS = frozenset(("td", "th"))
 
 
 def parse_html(text: str) -> list[tuple[str, list[str]]]:
-    """The texts of a page's p and li elements under its first h1; tags, comments, scripts and styles dropped, entities kept.
+    """All text of a page in blocks, each under the headings above it; comments, scripts, styles and the title are dropped.
 
-    A block ends at its end tag, at the next block where the tag is left out, or with the element around it. Text of a block
-    inside another one belongs to the inner one alone. A line break or a block between two pieces of text is a new line.
+    A block is the text between two tags of elements that begin or end one; tags within it are dropped, a line break is a new
+    line, a table's cells are between tabs, entities are what they stand for. A heading ends with the next block of any kind,
+    and isn't a block itself. Blank blocks are left out.
     """
-    blocks: list[list[str]] = []
-    opened: list[tuple[str, list[str] | None]] = []
-    heading: list[str] | None = None
-    broken: set[int] = set()
-
-    def close(tag: str, within: frozenset[str] = frozenset()) -> None:
-        for i in range(len(opened) - 1, -1, -1):
-            if opened[i][0] == tag:
-                del opened[i:]
-                return
-            if opened[i][0] in within:
-                return
-
-    def pieces() -> list[str] | None:
-        return next((b for _, b in reversed(opened) if b is not None), None)
+    out: list[tuple[str, list[str]]] = []
+    path: list[tuple[int, str]] = []
+    pieces: list[str] = []
+    level = 0
+
+    def close() -> None:
+        block = html.unescape("".join(pieces)).strip()
+        pieces.clear()
+        if not block:
+            return
+        if level:
+            path[:] = [p for p in path if p[0] < level]
+            path.append((level, " ".join(block.split())))
+        else:
+            out.append((block, [t for _, t in path]))
 
     for m in _html.finditer(text):
-        tag, end = (m["tag"] or "").lower(), m["end"]
+        tag = (m["tag"] or "").lower()
         if not tag:
-            into = pieces()
-            if into is not None and (m[0] == "<" or m[0][0] != "<"):
-                if into and id(into) in broken:
-                    into.append("\n")
-                broken.discard(id(into))
-                into.append(m[0])
-        elif tag in ("br", "hr", "p", "li") or tag in CONTAINERS:
-            if tag != "br" and opened and opened[-1][0] == "p":
-                opened.pop()
-            if (into := pieces()) is not None:
-                broken.add(id(into))
-            if end:
-                close(tag, LISTS if tag == "li" else frozenset())
-            elif tag in ("p", "li"):
-                if tag == "li":
-                    close("li", LISTS)
-                blocks.append([])
-                opened.append((tag, blocks[-1]))
-            elif tag == "h1" and heading is None:
-                heading = []
-                opened.append((tag, heading))
-            elif tag in CONTAINERS:
-                opened.append((tag, [] if tag == "h1" else None))
-    return [("".join(b), ["".join(heading or [])]) for b in blocks]
+            if m[0] == "<" or m[0][0] != "<":
+                pieces.append(m[0])
+        elif tag == "br":
+            pieces.append("\n")
+        elif tag in CELLS:
+            if not m["end"] and pieces:
+                pieces.append("\t")
+        elif tag in BLOCKS:
+            close()
+            level = 0 if m["end"] else HEADINGS.get(tag, 0)
+    close()
+    return out
 
 
 #: Media types by extension.

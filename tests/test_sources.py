@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orrery.errors import BuildConflict, EmbeddingUnavailable, EngineError, InvalidBuild, InvalidRequest, SourceUnavailable
+from orrery.functions import canonical
 from orrery.functions import exprs as X
 from orrery.operators import chunking, embedder, rules, search
 from orrery.plans.layout import Layout
@@ -257,6 +258,18 @@ def test_evidence_order_without_a_single_task(spark):
     assert rules.evidence_order(df.filter("false")).collect() == []
 
 
+TEXTS = ["{}", '{"a":1}', ' {"a":1} ', '{"a":1}x', '{"a":1} {"b":2}', '{"a":1},{"b":2}', '{"a":NaN}', '{"a":1,"a":2}', '{"a":{"b":1,"b":2}}', "[1]", "[{}]", "null", "7", '"x"', "", " ", '{"a":Infinity}', "{a:1}", "{'a':1}", '{"a":1,}', '{"a":01}', '{"a":"b\nc"}', '/*x*/{"a":1}', "{}]", "],[", "{}],[{}", '{},0]x', '{},"x"]', "{}:", '{"a":[1,{"b":null}]}', None]
+
+
+def test_objects_are_told_in_the_jvm(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "i int, t string")
+    got = df.select("i", canonical.is_object(F.col("t")).alias("is")).orderBy("i")
+    assert [(TEXTS[r.i], r["is"]) for r in got.collect()] == [(t, canonical.parse_object(t) is not None) for t in TEXTS]
+    chunks = df.select(F.lit("s").alias("chunk_set_id"), F.col("i").cast("string").alias("chunk_id"), F.col("t").alias("metadata"))
+    for found in (rules.metadata_objects(chunks), rules.config_snapshots(df.select(F.lit("s").alias("id"), F.lit("parent_child").alias("strategy_name"), F.col("t").alias("config")))):
+        assert "Python" not in plan(found) and "Arrow" not in plan(found)
+
+
 # ---- the layout
 
 SETS = "id string, tenant_id string, knowledge_base_id string, document_id string, source_uri string, source_name string, status string"
