@@ -169,7 +169,7 @@ def write_atomically(folder: str, name: str, content: bytes) -> str:
     """Writes a file under a name of this attempt and renames it, so that a retried or doubled task leaves one whole file."""
     from pyarrow import fs
 
-    store, path = fs.FileSystem.from_uri(folder)
+    store, path = fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", folder))  # Hadoop's names of one kind of store
     store.create_dir(path, recursive=True)
     attempt = f"{path}/.{name}.{uuid.uuid4().hex}"
     with store.open_output_stream(attempt) as out:

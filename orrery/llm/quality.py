@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tokens
-from .common import in_arrow, table
+from .common import in_arrow, table, written
 from .labelled import fold, sample
 
 #: Slots for hashed words, rank of the interactions, and the bound of labelled rows that the model is fitted on.
 SLOTS, RANK, SAMPLE = 1 << 14, 4, 3_000
 EPOCHS, BATCH, RATE, DECAY = 12, 64, 0.05, 1e-5
+#: Hashed words of all sampled texts together, at most: what the driver holds of them.
+SAMPLE_SLOTS = 6_000_000
 HELD_OUT, THRESHOLD = 5, 0.3
 
 _KINDS = np.zeros(256, np.int64)  # 0: other marks
@@ -138,7 +140,11 @@ FEATURES = "label int, statistics array<double>, slot array<int>, value array<do
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Features are made on the executors from whole texts; only those of the bounded sample come to the driver."""
+    """Features are made on the executors from whole texts; only those of the bounded sample come to the driver.
+
+    Where the sample's texts have more than SAMPLE_SLOTS different hashed words together, as many of them as fit are taken, in
+    an order by hash that has nothing to do with their labels or lengths.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("label", pa.int32()), ("statistics", pa.list_(pa.float64())), ("slot", pa.list_(pa.int32())), ("value", pa.list_(pa.float64()))])
@@ -150,7 +156,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                 yield pa.RecordBatch.from_arrays([b.column("label").slice(part.rows.start, part.docs), pa.array(list(f.statistics), schema[1].type), pa.array([x.astype(np.int32) for x, _ in each], schema[2].type), pa.array([x for _, x in each], schema[3].type)], schema=schema)
 
     picked = sample(docs, labels, "quality", fold(F.col("doc_id"), HELD_OUT) == 0, SAMPLE)
-    got = in_arrow(picked, work, FEATURES).toPandas()
+    made = written(docs.sparkSession, in_arrow(picked, work, FEATURES).withColumn("order", F.xxhash64("slot", "value")), "quality-features")
+    sizes = made.select("order", F.size("slot").alias("n")).toPandas().sort_values("order")
+    fits = sizes.n.cumsum() <= SAMPLE_SLOTS
+    got = (made if fits.all() else made.filter(F.col("order").isin(sizes.order[fits].tolist()))).drop("order").toPandas()
     rows = [(Features(np.stack([s]), np.zeros(len(i), int), np.asarray(i, np.int64), np.asarray(x, float)), int(y)) for y, s, i, x in zip(got.label, got.statistics, got["slot"], got["value"], strict=True)]
     return fit(sorted(rows, key=lambda r: (r[1], r[0].statistics.tobytes())))
 

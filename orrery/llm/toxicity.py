@@ -104,7 +104,14 @@ class Lexicon:
                 spans.append((begin, last + 1))
             elif weight > best.get(begin, (0, 0.0))[1]:
                 best[begin] = (last + 1, weight)
-        return [(b, e, w) for b, (e, w) in best.items() if not any(x <= b and e <= y for x, y in spans)]
+        out, spans, at, reach = [], sorted(spans), 0, 0
+        for begin in sorted(best):
+            end, weight = best[begin]
+            while at < len(spans) and spans[at][0] <= begin:
+                reach, at = max(reach, spans[at][1]), at + 1
+            if end > reach:
+                out.append((begin, end, weight))
+        return out
 
     def measures(self, text: str, automaton) -> tuple[float, float]:
         """Weight per word, and weight by the root of words: a text's evidence at either scale of length."""
