@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import search
 from ..operators.search import SearchRequest
+from ..sources import schemas
 from ..sources.schemas import qualified
 
 SCOPE = ["tenant_id", "knowledge_base_id"]
@@ -60,6 +61,12 @@ class Layout:
         for name in ("chunk_sets", "chunks", "chunk_embeddings"):
             self.spark.sql(f"DROP TABLE IF EXISTS {self._name(name)}")
 
+    def drift(self) -> list[schemas.Drift]:
+        """Where the tables differ from their schemas: missing or other columns, and nulls where there may be none."""
+        named = {name: self.table(name) for name in schemas.TABLES}
+        named["chunk_sets"] = named["chunk_sets"].withColumnRenamed("chunk_set_id", "id")
+        return schemas.drift({n: df.schema for n, df in named.items()}, nullability=False) or [d for n, df in named.items() for d in schemas.nulls(n, df)]
+
     def ordered(self) -> DataFrame:
         """The chunks with `place` in their set, from 1, and the id of the one before: a scan in each bucket's own task."""
         order = Window.partitionBy("chunk_set_id").orderBy("sequence", "chunk_id")

@@ -276,10 +276,13 @@ class IndexStore:
             raise StoreUnavailable("the search failed") from cause
 
     def validate_schema(self) -> None:
-        """Compares one stored folder of each table with its schema."""
+        """Compares one stored folder of each table with its schema, and looks for nulls in all live rows where there may be none."""
         found = {"chunk_sets": schemas.SETS}
         for name, key in (("chunks", "chunks"), ("chunk_embeddings", "embeddings")):
             folders = [r[key] for r in self._all().values() if r[key]]
             found[name] = self.spark.read.parquet(folders[0]).schema if folders else schemas.TABLES[name]
-        if problems := schemas.drift(found, nullability=False):
+        problems = schemas.drift(found, nullability=False)
+        if not problems:
+            problems = [d for name, df in zip(("chunk_sets", "chunks", "chunk_embeddings"), self.frames(), strict=True) for d in schemas.nulls(name, df)]
+        if problems:
             raise SchemaDrift("; ".join(f"{d.table}.{d.column}: {d.problem}" for d in problems))

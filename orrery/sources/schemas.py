@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import InvalidConfig
@@ -55,3 +57,10 @@ def drift(found: dict[str, T.StructType], nullability: bool = True) -> list[Drif
             elif nullability and have.nullable != f.nullable:
                 out.append(Drift(name, f.name, "may be null" if have.nullable else "may not be null"))
     return out
+
+
+def nulls(name: str, df: DataFrame) -> list[Drift]:
+    """Columns of a table that have a null where its schema allows none, counted in one pass: stored Parquet can't say so by itself."""
+    needed = sorted(f.name for f in TABLES[name].fields if not f.nullable and f.name in df.columns)
+    found = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in needed)).first()
+    return [Drift(name, c, f"{found[c]} nulls") for c in needed if found[c]]

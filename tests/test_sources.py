@@ -16,7 +16,7 @@ from orrery.functions import canonical
 from orrery.functions import exprs as X
 from orrery.operators import chunking, embedder, rules, search
 from orrery.plans.layout import Layout
-from orrery.sources import office, units, web
+from orrery.sources import office, schemas, units, web
 from orrery.sources.shared import scratch
 
 # ---- a server
@@ -321,6 +321,15 @@ def test_scopes_are_folders_and_sets_are_not(spark, layout, tmp_path):
     assert "dynamicpruning" in plan(layout.visible().filter("document_id = 'ds00007'")).lower()
 
 
+def test_nulls_are_drift(spark, layout):
+    df = spark.createDataFrame([], schemas.CHUNKS)
+    assert schemas.nulls("chunks", df) == []
+    loose = schemas.T.StructType([schemas.T.StructField(f.name, f.dataType, True) for f in schemas.CHUNKS.fields])
+    row = {f.name: None for f in loose.fields} | {"chunk_set_id": "s", "chunk_id": "c", "level": 0, "sequence": 1, "token_count": 1, "character_count": 1, "source_unit_ids": ["u"], "metadata": "{}", "kind": "child"}
+    assert [(d.column, d.problem) for d in schemas.nulls("chunks", spark.createDataFrame([row], loose))] == [("content", "1 nulls"), ("created_at", "1 nulls")]
+    assert {d.problem for d in layout.drift()} == {"missing column"}
+
+
 def test_errors_are_the_engines(spark):
     for kind in (SourceUnavailable, BuildConflict, InvalidBuild):
         assert issubclass(kind, EngineError)
