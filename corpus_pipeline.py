@@ -41,7 +41,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document left: a row for each row, a null doc_id stays, a null text has no ids."""
-    return pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True, remembered=96 << 20, kept=4 << 20)
+    return pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True, remembered=48 << 20, kept=4 << 20)
 
 
 STAGES = [
