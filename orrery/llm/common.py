@@ -19,6 +19,8 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Rows of a side that may be broadcast; beyond that it is joined by a shuffle.
 BROADCAST_ROWS = 200_000
+#: A key is hot that more rows have than HOT_ROWS and than one in HOT_KEYS of all; so there are fewer hot keys than HOT_KEYS.
+HOT_ROWS, HOT_KEYS = 100, 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -134,6 +136,23 @@ def few(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def join_dealt(rows: DataFrame, facts: DataFrame, on: list[str], total: int, how: str = "inner", by: Column | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """`rows.join(facts, on, how)`, an inner or left join, where very many rows may have one key and facts have each key once.
+
+    The rows of a hot key are dealt by `by` (by default a hash of the row) over copies of its fact, one for as many rows as make
+    a key hot. `total` is the number of rows; `counts` has those of each key as `count`, where they are known. Only the hot
+    keys are broadcast, fewer than HOT_KEYS at any size; copies are no more than total / HOT_ROWS, and one a key. Rows of a null key match nothing.
+    """
+    most = max(HOT_ROWS, total // HOT_KEYS)
+    copies, copy = (unused([*rows.columns, *facts.columns], name) for name in ("copies", "copy"))
+    counts = rows.groupBy(*on).count() if counts is None else counts
+    hot = F.broadcast(counts.filter(F.col("count") > most).select(*on, F.ceil(F.col("count") / most).alias(copies)))
+    number = F.coalesce(F.col(copies), F.lit(1))
+    left = rows.withColumn(copy, by if by is not None else F.xxhash64(*rows.columns)).join(hot, on, "left").withColumn(copy, F.pmod(F.col(copy), number)).drop(copies)
+    right = facts.join(hot, on, "left").withColumn(copy, F.explode(F.sequence(F.lit(0).cast("long"), number - 1))).drop(copies)
+    return left.join(right, [*on, copy], how).drop(copy)
+
+
 def numbered(spark: SparkSession, df: DataFrame, order: list[str | Column], name: str, within: str | None = None) -> DataFrame:
     """`df` with `number`, gapless from 0 (in each value of the column `within`) in the given order; nothing is gathered in one task.
 

@@ -28,15 +28,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import few, in_arrow, table, unused, written
+from .common import few, in_arrow, join_dealt, table, unused, written
 
 WIDTH, PERCENT = 3, 90
 #: Shingles beyond the least prefix that step 1 looks at, as a share of the set: two linked sets share so many and one more.
 MORE = 0.05
 #: Shingles that a task counts, and that a message to it is made from.
 FRAGMENT, BATCH = 500_000, 500_000
-#: Fragments in which pairs are compared; pairs for each row of postings up to which the rest is compared pairwise; classes of a hash whose leader is broadcast.
-PARTS, PAIRS, HOT = 4, 2, 100
+#: Fragments in which pairs are compared; pairs for each row of postings up to which the rest is compared pairwise.
+PARTS, PAIRS = 4, 2
 #: Survivors whose ids are broadcast; beyond that they are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Jaccard distance in percent within which a class is done with a leader. By the triangle inequality what is linked to such a
@@ -145,25 +145,23 @@ def linked(overlap: Column, n: Column, m: Column, percent: int) -> Column:
     return overlap * 100 >= (n + m - overlap) * percent
 
 
-def overlaps(pairs: DataFrame, cores: DataFrame) -> DataFrame:
-    """Adds overlap to pairs (x, nx, y, ny): counted in each part of the order, summed per pair."""
+def overlaps(spark: SparkSession, pairs: DataFrame, cores: DataFrame) -> DataFrame:
+    """Adds overlap to pairs (x, nx, y, ny): counted in each part of the order, summed per pair. Pairs of one y are dealt."""
+    pairs = written(spark, pairs, "jaccard-pairs")
     part = lambda k: F.filter("shared", lambda h: F.pmod(h, F.lit(PARTS)) == k)
     cut = cores.select("sig", F.posexplode(F.array(*[part(k) for k in range(PARTS)])).alias("part", "hashes"))
-    found = pairs.join(cut.withColumnsRenamed({"sig": "x", "hashes": "hx"}), "x").join(cut.withColumnsRenamed({"sig": "y", "hashes": "hy"}), ["y", "part"])
+    each = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    found = join_dealt(each, cut.withColumnsRenamed({"sig": "y", "hashes": "hy"}), ["y", "part"], PARTS * pairs.count(), by=F.xxhash64("x"))
+    found = found.join(cut.withColumnsRenamed({"sig": "x", "hashes": "hx"}), ["x", "part"])
     partial = found.select("x", "nx", "y", "ny", F.size(F.array_intersect("hx", "hy")).cast("long").alias("overlap"))
     return partial.groupBy("x", "nx", "y", "ny").agg(F.sum("overlap").alias("overlap"))
 
 
-def stars(spark: SparkSession, postings: DataFrame) -> DataFrame:
-    """hash, x, nx, px and its leader y, ny, py: of the classes that have the hash the one with the fewest rarer shingles.
-
-    Leaders of hashes that many classes have are broadcast while they are few, so that such a hash isn't gathered in a task.
-    """
-    leader = postings.groupBy("hash").agg(F.min(F.struct("px", "x", "nx")).alias("leader"), F.count("*").alias("classes")).filter("classes > 1")
+def stars(spark: SparkSession, postings: DataFrame, rows: int) -> DataFrame:
+    """hash, x, nx, px and its leader y, ny, py: of the classes that have the hash the one with the fewest rarer shingles. Postings of one hash are dealt."""
+    leader = postings.groupBy("hash").agg(F.min(F.struct("px", "x", "nx")).alias("leader"), F.count("*").alias("count")).filter("count > 1")
     leader = written(spark, leader, "jaccard-leaders")
-    hot = few(leader.filter(F.col("classes") > HOT))
-    rest = postings.join(hot.select("hash"), "hash", "left_anti").join(leader.filter(F.col("classes") <= HOT), "hash")
-    found = postings.join(hot, "hash").unionByName(rest)
+    found = join_dealt(postings, leader.drop("count"), ["hash"], rows, by=F.xxhash64("x"), counts=leader)
     return found.select("hash", "x", "nx", "px", F.col("leader.x").alias("y"), F.col("leader.nx").alias("ny"), F.col("leader.px").alias("py"))
 
 
@@ -186,7 +184,7 @@ def beside(near: DataFrame, cores: DataFrame, percent: int) -> DataFrame:
     their component. Of two classes in different components one is outside: so those are joined with all.
     """
     a, b = cores.select(F.col("sig").alias("x"), F.col("shared").alias("hx")), cores.select(F.col("sig").alias("y"), F.col("shared").alias("hy"))
-    full = near.join(a, "x").join(b, "y")
+    full = join_dealt(near, b, ["y"], near.count(), by=F.xxhash64("x")).join(a, "x")
     full = full.select("x", "nx", "y", "component", "outside", F.size("hy").alias("whole"), F.array_except("hy", "hx").alias("missing"), F.array_except("hx", "hy").alias("extra"))
     of = lambda name, kind: F.transform(name, lambda h: F.struct(F.lit(kind).alias("kind"), h.alias("hash")))
     rows = full.select("x", "nx", "y", "component", "outside", "whole", F.size("missing").alias("lost"), F.size("extra").alias("gained"), F.explode(F.concat(of("missing", 0), of("extra", 1))).alias("difference"))
@@ -201,14 +199,20 @@ def beside(near: DataFrame, cores: DataFrame, percent: int) -> DataFrame:
 
 
 def components(spark: SparkSession, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """sig and component (the least sig that links reach) of every node: least labels of neighbours, and labels' labels, until none changes."""
+    """sig and component (the least sig that links reach) of every node: least labels of neighbours, and labels' labels, until none changes.
+
+    Edges of a node with very many, and nodes of a label that very many have, are dealt.
+    """
     edges = written(spark, links.select("x", "y").union(links.select("y", "x")).distinct(), "jaccard-edges")
     labels = written(spark, nodes.select("sig", F.col("sig").alias("component")), "jaccard-labels")
+    many_edges, many = edges.count(), labels.count()
+    degrees = written(spark, edges.groupBy("y").count(), "jaccard-degrees")
     while True:
-        heard = edges.join(labels, edges["y"] == labels["sig"]).groupBy("x").agg(F.min("component").alias("heard"))
+        heard = join_dealt(edges, labels.withColumnRenamed("sig", "y"), ["y"], many_edges, by=F.xxhash64("x"), counts=degrees).groupBy("x").agg(F.min("component").alias("heard"))
         nearer = labels.join(heard, labels["sig"] == heard["x"], "left").select("sig", "component", F.least("component", F.coalesce("heard", "component")).alias("next"))
+        nearer = written(spark, nearer, "jaccard-nearer")
         jump = nearer.select(F.col("sig").alias("next"), F.col("next").alias("after"))
-        new = nearer.join(jump, "next", "left").select("sig", "component", F.least("next", F.coalesce("after", "next")).alias("next"))
+        new = join_dealt(nearer, jump, ["next"], many, by=F.xxhash64("sig")).select("sig", "component", F.least("next", "after").alias("next"))
         new = written(spark, new, "jaccard-labels")
         labels = new.select("sig", F.col("next").alias("component"))
         if new.filter("component != next").isEmpty():
@@ -230,17 +234,20 @@ def links_of(spark: SparkSession, cores: DataFrame, percent: int) -> DataFrame:
         if pairs <= PAIRS * rows or before and 2 * pairs > before:
             break
         before = pairs  # each round every hash loses its leader at least, and the classes that are near it
-        star = written(spark, stars(spark, postings), "jaccard-stars")
+        star = written(spark, stars(spark, postings, rows), "jaccard-stars")
         pairs = star.filter(F.col("x") != F.col("y")).filter((F.col("nx") * 100 >= F.col("ny") * around_percent) & (F.col("ny") * 100 >= F.col("nx") * around_percent)).select("x", "nx", "y", "ny").distinct()
-        compared = written(spark, overlaps(pairs, cores), "jaccard-compared")
+        compared = written(spark, overlaps(spark, pairs, cores), "jaccard-compared")
         links = written(spark, links.union(compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), percent)).select("x", "y")), "jaccard-links")
         where = components(spark, cores, links)
-        # Very many classes can have one leader; leaders are few beside them.
+        # Very many classes can have one leader.
+        many = compared.count()
         leads = where.select(F.col("sig").alias("y"), F.col("component").alias("leads")).join(compared.select("y").distinct(), "y", "left_semi")
-        around = compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), around_percent)).join(where.withColumnRenamed("sig", "x"), "x")
-        around = written(spark, around.join(few(written(spark, leads, "jaccard-leads")), "y").withColumn("outside", F.col("component") != F.col("leads")), "jaccard-around")
-        open_ = few(around.filter("outside").select("y").distinct())
-        near = around.join(open_, "y", "left_semi").select("x", "nx", "y", "component", "outside")
+        around = compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), around_percent))
+        around = join_dealt(around, leads, ["y"], many, by=F.xxhash64("x")).join(where.withColumnRenamed("sig", "x"), "x")
+        around = written(spark, around.withColumn("outside", F.col("component") != F.col("leads")), "jaccard-around")
+        open_ = around.filter("outside").select("y").distinct()
+        near = join_dealt(around, open_, ["y"], many, by=F.xxhash64("x")).select("x", "nx", "y", "component", "outside")
+        near = written(spark, near, "jaccard-near")
         links = written(spark, links.union(beside(near, cores, percent)), "jaccard-links")
         done = compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), 100 - NEAR)).select("x", "y")
         rest = star.filter(F.col("x") != F.col("y")).join(done, ["x", "y"], "left_anti").select("x", "nx", "hash", "px")
@@ -249,7 +256,7 @@ def links_of(spark: SparkSession, cores: DataFrame, percent: int) -> DataFrame:
     left = postings.join(where.withColumnRenamed("sig", "x"), "x")
     right = left.select("hash", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("px").alias("py"), F.col("component").alias("component2"))
     pairs = left.join(right, "hash").filter((F.col("x") < F.col("y")) & (F.col("component") != F.col("component2")) & may_link(percent)).select("x", "nx", "y", "ny").distinct()
-    compared = overlaps(pairs, cores).filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), percent))
+    compared = overlaps(spark, pairs, cores).filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), percent))
     return links.union(compared.select("x", "y"))
 
 
@@ -279,11 +286,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH, pe
     cores = census(whole.select("sig", "n", "hashes"), max(8, -(-(total or 0) // FRAGMENT)), percent, whole=True).filter("shared is not null").dropDuplicates(["sig"])
     cores = written(spark, cores, "jaccard-cores")
     where = components(spark, cores, links_of(spark, cores, percent))
-    named = where.join(classes.select("sig", "first"), "sig")
+    named = written(spark, where.join(classes.select("sig", "first"), "sig"), "jaccard-named")
     first = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_core = named.join(first, "component").select("sig", "component_id")
+    of_core = join_dealt(named, first, ["component"], many, by=F.xxhash64("sig")).select("sig", "component_id")
     of_class = written(spark, classes.select("sig", "first").join(of_core, "sig", "left").select("sig", F.coalesce("component_id", "first").alias("component_id")), "jaccard-components")
-    out = rows.select("doc_id", "n", "sig").join(of_class, "sig", "left")
+    # Rows of no words are left out of the join, those of one set are dealt.
+    some, none = rows.filter("n > 0").select("doc_id", "n", "sig"), rows.filter("n = 0").select("doc_id", "n")
+    out = join_dealt(some, of_class, ["sig"], rows.count(), by=F.xxhash64("doc_id")).unionByName(none, allowMissingColumns=True)
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 

@@ -16,7 +16,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from orrery.llm import decontamination, fingerprints, jaccard, languages, pieces, quality, shards, token_files, toxicity, warc
+from orrery.llm import common, decontamination, fingerprints, jaccard, languages, pieces, quality, shards, token_files, toxicity, warc
 from orrery.llm.common import scratch
 
 from ..conftest import DATA
@@ -185,6 +185,18 @@ def test_shards(spark, docs):
     assert got["text_crc32"].tolist() == [zlib.crc32(texts[d].encode()) for d in got.doc_id]
 
 
+def test_shards_and_archives_where_all_keys_are_hot(spark, docs, monkeypatch):
+    many = docs.unionByName(docs.filter("text = 'one two'").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(40)))).withColumn("doc_id", F.col("n") + 100).drop("n"))
+    pages = many.select(F.col("doc_id").alias("page_id"), F.lit("http://a.example/").alias("url"), F.col("text").alias("html"))
+    found = []
+    for hot in (1_000, 2):
+        monkeypatch.setattr(common, "HOT_ROWS", hot)
+        folder = scratch(spark, "warc")
+        read = warc.read_archives(spark, folder, warc.write_archives(spark, pages, folder))
+        found.append([sorted(map(repr, x.collect())) for x in (shards.shard_documents(spark, many), read)])
+    assert found[0] == found[1] and len(found[0][0]) == many.count() == len(found[0][1])
+
+
 def test_shards_of_nothing(spark, none):
     assert shards.shard_documents(spark, none).count() == 0
 
@@ -512,6 +524,18 @@ def test_factorisation_identity():
 # ---- 7
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_dealt_rows_join_as_others(spark, monkeypatch, how):
+    monkeypatch.setattr(common, "HOT_ROWS", 7)
+    rows = spark.createDataFrame([(k, i, f"{i}") for k in range(9) for i in range(k * k)] + [(None, i, "n") for i in range(20)] + [(8, 1, "1")] * 30, "k long, i long, copy string")
+    facts = spark.createDataFrame([(k, f"fact {k}") for k in range(3, 12)] + [(None, "none")], "k long, copies string")
+    got, want = common.join_dealt(rows, facts, ["k"], rows.count(), how), rows.join(facts, "k", how)
+    assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    known = common.join_dealt(rows, facts, ["k"], rows.count(), how, by=F.col("i"), counts=rows.groupBy("k").count())
+    assert sorted(map(repr, known.collect())) == sorted(map(repr, want.collect()))
+    assert common.join_dealt(rows.limit(0), facts, ["k"], 0, how).count() == 0
+
+
 def brute(texts, width=3, percent=90):
     import re
 
@@ -534,8 +558,9 @@ def brute(texts, width=3, percent=90):
     return [(len(s), find(i)) for i, s in enumerate(sets)]
 
 
-@pytest.mark.parametrize(("width", "percent"), [(3, 90), (5, 80)])
-def test_components(spark, width, percent):
+@pytest.mark.parametrize(("width", "percent", "hot"), [(3, 90, 100), (3, 90, 3), (5, 80, 100), (5, 80, 3)])
+def test_components(spark, monkeypatch, width, percent, hot):
+    monkeypatch.setattr(common, "HOT_ROWS", hot)
     rng, texts = random.Random(3), list(TEXTS)
     for family in range(4):
         base = [f"w{rng.randrange(5000)}" for _ in range(120)]
