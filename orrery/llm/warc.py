@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_arrow, scratch, table, write_atomically, written
+from .common import in_arrow, join_dealt, scratch, table, write_atomically, written
 
 #: Bytes of a record's block after which it goes on in a continuation record; of an archive after which the next begins; of a chunk.
 SEGMENT_BYTES, ARCHIVE_BYTES, CHUNK_BYTES = 16_384, 16 << 20, 4_096
@@ -140,9 +140,9 @@ def write_archives(spark: SparkSession, pages: DataFrame, folder: str, segment_b
     that repeat one page_id and payload, the first in its task.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload(F.col("html")).alias("payload")).withColumn("sha1", F.sha1("payload"))
-    pairs = pages.groupBy("page_id", "sha1").agg(F.count("*").alias("times"))
+    pairs = written(spark, pages.groupBy("page_id", "sha1").agg(F.count("*").alias("times")), "warc-pairs")
     shared = pairs.groupBy("sha1").agg(F.max("page_id").alias("kept"), F.sum("times").alias("times")).filter("times > 1").select("sha1", "kept")
-    decided = pairs.join(shared, "sha1").select(F.col("page_id").alias("page"), F.col("sha1").alias("digest"), "kept")
+    decided = join_dealt(pairs, shared, ["sha1"], pairs.count(), by=F.xxhash64("page_id")).select(F.col("page_id").alias("page"), F.col("sha1").alias("digest"), "kept")
     same = F.col("page_id").eqNullSafe(F.col("page")) & (F.col("sha1") == F.col("digest"))
     dealt = pages.join(decided.hint("merge"), same, "left").select("page_id", "url", "payload", "sha1", "kept").sortWithinPartitions("page_id", "sha1", "url")
     run = uuid.uuid4().hex
@@ -256,7 +256,7 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
     responses = written(spark, whole.unionByName(reassembled(records.filter("segment is not null"))), "warc-responses")
     revisits = records.filter("kind = 'revisit'").select("page_id", "digest", F.col("refers").alias("record"))
     named = responses.groupBy("record", "digest").agg(F.max("page_id").alias("refers_to"), F.max("bytes").alias("bytes"))
-    revisits = revisits.join(named, ["record", "digest"], "left").withColumn("record_type", F.lit("revisit"))
+    revisits = join_dealt(revisits, named, ["record", "digest"], revisits.count(), "left", by=F.monotonically_increasing_id()).withColumn("record_type", F.lit("revisit"))
     both = responses.withColumns({"record_type": F.lit("response"), "refers_to": F.lit(None).cast("long")}).unionByName(revisits.select("page_id", "record", "digest", "bytes", "record_type", "refers_to"))
     return both.select("page_id", F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
 
