@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import numbered, table, written
+from .common import join_dealt, numbered, table, written
 
 SHARDS = 24
 
@@ -76,8 +76,8 @@ def assign(spark: SparkSession, found: DataFrame, shards: int) -> DataFrame:
     frame["first"] = frame.groupby("bytes")["n"].cumsum() - frame["n"] if len(frame) else 0
     ranges = spark.createDataFrame(frame.astype("int64"), "bytes long, shard long, n long, first long").groupBy("bytes").agg(F.array_sort(F.collect_list(F.struct("first", "shard"))).alias("ranges"))
     at = F.filter("ranges", lambda r: r["first"] <= F.col("number"))
-    placed = groups.join(ranges, "bytes").select("digest", F.element_at(at, -1)["shard"].cast("int").alias("shard"))
-    return found.join(placed, "digest")
+    placed = join_dealt(groups, ranges, ["bytes"], groups.count(), by=F.col("number")).select("digest", F.element_at(at, -1)["shard"].cast("int").alias("shard"))
+    return join_dealt(found, placed, ["digest"], found.count(), by=F.col("row"))
 
 
 def shard_documents(spark: SparkSession, docs: DataFrame, shards: int = SHARDS) -> DataFrame:
