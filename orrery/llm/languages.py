@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import in_arrow, table, written
+from .common import few, in_arrow, table, written
 
 #: Slots for hashed runs of three bytes; the bound of labelled rows for the text model; the weight of a long text in runs.
 SLOTS, SAMPLE, RUNS = 1 << 15, 4_000, 60
@@ -186,7 +186,7 @@ def identify(rows: DataFrame, labelled: DataFrame, keys: list[str]) -> DataFrame
         all_ = found.agg(F.count("*"), *(F.sum(f"n{i}") for i in n)).first()
         return found.select(column, *(F.log((F.col(f"n{i}") + PSEUDO) / ((all_[i + 1] or 0) + PSEUDO * (all_[0] + 1))).alias(f"{column}_{i}") for i in n))
 
-    joined = placed.join(given("declared"), "declared", "left").join(given("suffix"), "suffix", "left")
+    joined = placed.join(few(given("declared")), "declared", "left").join(few(given("suffix")), "suffix", "left")
     # The domain's and the host's sums without this row's own share.
     domain_rows = sum((F.col(f"d{i}") for i in n), F.lit(0.0)) - 1
     host_rows = sum((F.col(f"n{i}") for i in n), F.lit(0.0)) - 1
