@@ -75,11 +75,18 @@ def shingle_sets(docs: DataFrame, width: int, percent: int, whole: bool) -> Data
 MESSAGE = "fragment int, batch string, hashes binary, times binary, inverse binary, sizes binary, sigs binary, n binary"
 
 
+def cut_up(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """`values` as binary values that end where `ends` says, each from the end of the one before."""
+    offsets = np.concatenate([[0], ends]) * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.astype("<i4")), pa.py_buffer(values)])
+
+
 def census(sets: DataFrame, fragments: int, percent: int, whole: bool) -> DataFrame:
     """sig, n, unique (shingles that no other set has) and, if whole, shared: the others by frequency, then hash;
     shared is null where too many shingles are unique for any link. A batch of sets sends each of its distinct hashes once, with its count, to the fragment of the hash; what only concerns
     the batch (which set has which hashes) goes by the batch's name. Fragments answer each batch with the hashes' frequencies.
-    So a shingle that very many sets share costs its fragment one number a batch.
+    So a shingle that very many sets share costs its fragment one number a batch. A message has a hash at least: there are never
+    more of them than hashes, and as a batch grows no further, that is what they come to where batches and fragments are very many.
     """
     step = (1 << 64) // fragments + 1
 
@@ -99,26 +106,27 @@ def census(sets: DataFrame, fragments: int, percent: int, whole: bool) -> DataFr
             name = hashlib.blake2b(joined, digest_size=12).hexdigest()
             hashes, inverse, times = np.unique(np.frombuffer(b"".join(parts), "<u8"), return_inverse=True, return_counts=True)
             at = np.searchsorted(hashes // np.uint64(step), np.arange(fragments + 1, dtype=np.uint64))
-            out = [(f, name, hashes[a:z].tobytes(), times[a:z].astype("<u4").tobytes(), None, None, None, None) for f, (a, z) in enumerate(zip(at, at[1:], strict=False)) if z > a]
-            out.append((fragments + int(name[:8], 16) % fragments, name, hashes.tobytes() if whole else None, None, inverse.astype("<u4").tobytes(), np.array([len(p) // 8 for p in parts], "<u4").tobytes(), joined, np.array(rows.column("n").to_pylist(), "<u4").tobytes()))
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in out], schema)
+            to = np.flatnonzero(np.diff(at))
+            nothing = pa.nulls(len(to), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.repeat(name, len(to)), cut_up(hashes, at[to + 1]), cut_up(times.astype("<u4"), at[to + 1]), *[nothing] * 4], schema=schema)
+            own = (fragments + int(name[:8], 16) % fragments, name, hashes.tobytes() if whole else None, None, inverse.astype("<u4").tobytes(), np.array([len(p) // 8 for p in parts], "<u4").tobytes(), joined, np.array(rows.column("n").to_pylist(), "<u4").tobytes())
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, own, strict=True))], schema)
 
     def count(t: pa.Table) -> pa.Table:
         if t.column("times").null_count:  # batches' own rows pass
             return t
-        each = [np.frombuffer(x.as_py(), "<u8") for x in t.column("hashes")]
-        hashes, inverse = np.unique(np.concatenate(each), return_inverse=True)
-        total = np.bincount(inverse, np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in t.column("times")]), len(hashes))[inverse].astype("<u4")
-        cuts = np.cumsum([len(x) for x in each])[:-1]
-        answers = [x.tobytes() for x in np.split(total, cuts)]
+        hashes, inverse = np.unique(np.frombuffer(b"".join(t.column("hashes").to_pylist()), "<u8"), return_inverse=True)
+        times = np.frombuffer(b"".join(t.column("times").to_pylist()), "<u4")
+        total = np.bincount(inverse, times, len(hashes))[inverse].astype("<u4")
+        answers = cut_up(total, np.cumsum(pc.binary_length(t.column("hashes")).to_numpy() // 8))
         nothing = pa.nulls(t.num_rows, pa.binary())
-        return pa.table([t.column("fragment"), t.column("batch"), nothing, pa.array(answers, pa.binary()), nothing, nothing, nothing, nothing], names=t.column_names)
+        return pa.table([t.column("fragment"), t.column("batch"), nothing, answers, nothing, nothing, nothing, nothing], names=t.column_names)
 
     def gather(t: pa.Table) -> pa.Table:
-        rows = sorted(t.to_pylist(), key=lambda r: r["fragment"])
-        own = next(r for r in rows if r["inverse"] is not None)
-        answers = {r["fragment"]: r["times"] for r in rows if r["inverse"] is None}
-        times = np.frombuffer(b"".join(answers[f] for f in sorted(answers)), "<u4")
+        answers = pc.is_null(t.column("inverse"))
+        own = t.filter(pc.invert(answers)).to_pylist()[0]
+        said = t.filter(answers).select(["fragment", "times"]).sort_by("fragment")
+        times = np.frombuffer(b"".join(said.column("times").to_pylist()), "<u4")
         inverse, sizes = np.frombuffer(own["inverse"], "<u4"), np.frombuffer(own["sizes"], "<u4").astype(np.int64)
         frequency = times[inverse]
         ends = np.cumsum(sizes)

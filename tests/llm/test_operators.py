@@ -594,6 +594,24 @@ def test_components_of_odd_rows(spark, docs, none):
 # ---- 9
 
 
+@pytest.mark.parametrize("fragments", [2, 7, 5_000])
+@pytest.mark.parametrize("whole", [False, True])
+def test_census_counts_alike_in_few_and_in_many_fragments(spark, monkeypatch, fragments, whole):
+    """Held against plain counts; with 5,000 fragments most messages have one hash, and batches of 50 hashes make many of them."""
+    monkeypatch.setattr(jaccard, "BATCH", 50)
+    draw = random.Random(5)
+    sets = [sorted(draw.sample([(k * 0x9E3779B97F4A7C15) % (1 << 64) for k in range(1, 90)], draw.randint(1, 30))) for _ in range(40)]
+    rows = [(hashlib.blake2b(bytes([k]), digest_size=16).digest(), len(s), np.array(s, "<u8").tobytes()) for k, s in enumerate(sets)]
+    found = jaccard.census(spark.createDataFrame(rows, "sig binary, n long, hashes binary"), fragments, 90, whole).collect()
+    times = {h: sum(h in s for s in sets) for s in sets for h in s}
+    wanted = {}
+    for (sig, n, _), s in zip(rows, sets, strict=True):
+        unique = sum(times[h] == 1 for h in s)
+        shared = [h - (1 << 64) * (h >> 63) for h in sorted((h for h in s if times[h] > 1), key=lambda h: (times[h], h))]
+        wanted[sig] = (n, unique, shared if whole and unique <= n - -(-n * 90 // 100) else None)
+    assert {bytes(r.sig): (r.n, r.unique, r.shared) for r in found} == wanted
+
+
 def best_score(v, text):
     best = [0.0] + [None] * len(text)
     for end in range(1, len(text) + 1):
