@@ -18,7 +18,7 @@ def trim(c: Column | str) -> Column:
 
 
 def blank(c: Column | str) -> Column:
-    return F.coalesce(trim(c) == "", F.lit(True))
+    return ~F.coalesce(F.rlike(c, F.lit(r"(?U)\S")), F.lit(False))
 
 
 def padded(c: Column | str) -> Column:

@@ -70,7 +70,7 @@ def _sequenced(rows: DataFrame, order: list[str]) -> DataFrame:
 
 def _finished(rows: DataFrame, sources: Column) -> DataFrame:
     """token_count is this engine's own measure: words between white space."""
-    return rows.withColumns({"character_count": F.length("content"), "token_count": F.size(F.array_remove(F.split(X.trim("content"), r"(?U)\s+"), "")), "source_unit_ids": sources}).select(
+    return rows.withColumns({"character_count": F.length("content"), "token_count": F.regexp_count("content", F.lit(r"(?U)\S+")), "source_unit_ids": sources}).select(
         "document_id", "chunk_id", "kind", "level", "parent_chunk_id", "previous_chunk_id", "next_chunk_id", "sequence", "content", "character_count", "token_count", "source_unit_ids", "metadata"
     )
 
@@ -84,6 +84,22 @@ def parent_child(units: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataF
     return _finished(rows.withColumn("metadata", F.lit("{}")), F.array("unit_id"))
 
 
+def parent_child_rows(units: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
+    """`parent_child`'s chunks for documents that have one unit each, a row: they are cut, numbered and linked there, nothing is shuffled."""
+    top = units.withColumn("windows", windows(F.col("content"), config.parent_max))
+    parent_id = lambda w: F.sha2(F.concat_ws(":", "document_id", F.lit("parent"), "unit_index", w["at"], w["content"]), 256)
+    top = top.withColumn("parents", F.transform("windows", lambda w: F.struct(parent_id(w).alias("id"), w["content"].alias("content"), windows(w["content"], config.child_max).alias("windows"))))
+    child_id = lambda p, w: F.sha2(F.concat_ws(":", p["id"], F.lit("child"), w["at"], w["content"]), 256)
+    top = top.withColumn("parents", F.transform("parents", lambda p: p.withField("ids", F.transform(p["windows"], lambda w: child_id(p, w)))))
+    none = F.lit(None).cast("string")
+    fields = lambda *values: F.struct(*(v.alias(n) for n, v in zip(("content", "chunk_id", "parent_chunk_id", "previous_chunk_id", "next_chunk_id", "kind", "level"), values, strict=True)))
+    upper = lambda p: fields(p["content"], p["id"], none, none, none, F.lit("parent"), F.lit(0))
+    lower = lambda p: F.transform(p["windows"], lambda w, i: fields(w["content"], F.get(p["ids"], i), p["id"], F.when(i > 0, F.get(p["ids"], i - 1)), F.get(p["ids"], i + 1), F.lit("child"), F.lit(1)))
+    found = F.flatten(F.transform("parents", lambda p: F.concat(F.array(upper(p)), lower(p))))
+    rows = top.select("document_id", "unit_id", F.posexplode(found).alias("at", "c")).select("document_id", "unit_id", "c.*", (F.col("at") + 1).alias("sequence"))
+    return _finished(rows.withColumn("metadata", F.lit("{}")), F.array("unit_id"))
+
+
 def _size(texts: list[tuple[str, str]]) -> int:
     return sum(len(x) for _, x in texts) + 2 * max(0, len(texts) - 1)
 

@@ -281,12 +281,24 @@ def rule_embedding_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- documents as chunks
 
 
+def of_one_row(docs: DataFrame) -> bool:
+    """Whether every document is a row; else those of one id are numbered together. Ids alone are shuffled."""
+    return docs.groupBy("doc_id").count().filter("count > 1").isEmpty()
+
+
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return U.prepared(U.of_table(read(spark, sf_dir, "documents")))
+    docs = read(spark, sf_dir, "documents")
+    return (U.prepared_rows if of_one_row(docs) else U.prepared)(U.of_table(docs))
 
 
-def chunks_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.parent_child(units(spark, sf_dir), CONFIG).withColumn("chunk_set_id", F.col("document_id"))
+def chunks_of(spark: SparkSession, sf_dir: str, sets: DataFrame | None = None) -> DataFrame:
+    """Chunks of all documents, or of the few whose ids are among `sets` (chunk_set_id)."""
+    docs = read(spark, sf_dir, "documents")
+    prepare, cut = (U.prepared_rows, chunking.parent_child_rows) if of_one_row(docs) else (U.prepared, chunking.parent_child)
+    given = U.of_table(docs)
+    if sets is not None:
+        given = given.join(F.broadcast(sets.select(F.col("chunk_set_id").alias("document_id")).distinct()), "document_id", "left_semi")
+    return cut(prepare(given), CONFIG).withColumn("chunk_set_id", F.col("document_id"))
 
 
 CHUNKS = """WITH d AS (SELECT 'document-' || substr(sha256('synthetic://documents/' || doc_id), 1, 32) AS document_id, source AS tenant_id, lang AS knowledge_base_id, sha256(text) AS content_sha256, text AS content FROM documents WHERE regexp_replace(text, '^\\s+|\\s+$', '', 'g') <> ''),
@@ -363,6 +375,12 @@ def first(n: str) -> Column:
     return F.substring("chunk_id", 1, 2) == n
 
 
+def twice(rows: DataFrame, n: str) -> DataFrame:
+    """All rows, those whose id begins with `n` two times: in one pass over what they are made from."""
+    times = F.when(first(n), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.withColumn("time", F.explode(times)).drop("time")
+
+
 def prepare_build_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inputs to embed where some are stored, some with another hash and some in another model space."""
     inputs = inputs_of(chunks_of(spark, sf_dir))
@@ -404,7 +422,7 @@ def broken(spark: SparkSession, sf_dir: str) -> DataFrame:
         "parent_chunk_id": F.when(first("0d") & (F.col("kind") == "child"), F.lit("nowhere")).otherwise(F.col("parent_chunk_id")), "next_chunk_id": put("0e", "next_chunk_id", F.col("previous_chunk_id")), "sequence": put("0f", "sequence", F.lit(1)),
         "previous_chunk_id": put("1c", "previous_chunk_id", F.col("chunk_id")), "content": put("1d", "content", F.lit(" ")),
     })
-    return out.union(out.filter(first("1e")))
+    return twice(out, "1e")
 
 
 BROKEN = CHUNKS + """, b0 AS (SELECT * REPLACE (
@@ -423,7 +441,7 @@ b AS (SELECT * FROM b0 UNION ALL SELECT * FROM b0 WHERE substr(chunk_id,1,2) = '
 def broken_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = inputs_of(chunks_of(spark, sf_dir))
     out = i.filter(~first("2a")).withColumns({"input_sha256": F.when(first("2c"), X.sha256("chunk_id")).when(first("2d"), F.upper("input_sha256")).otherwise(F.col("input_sha256")), "model_key": F.when(first("2e"), F.lit("other")).otherwise(F.col("model_key")), "chunk_id": F.when(first("2f"), F.lit("nowhere")).otherwise(F.col("chunk_id"))})
-    return out.union(out.filter(first("3a")))
+    return twice(out, "3a")
 
 
 BROKEN_INPUTS = CHUNKS + """, j0 AS (SELECT chunk_set_id, CASE WHEN substr(chunk_id,1,2) = '2f' THEN 'nowhere' ELSE chunk_id END AS chunk_id, CASE WHEN substr(chunk_id,1,2) = '2e' THEN 'other' ELSE 'm' END AS model_key, embedding_text,

@@ -3,13 +3,34 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: Bytes of rows that a Python worker gets at once, and the setting that says so.
+BATCH_BYTES, BATCH_SETTING = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """`df.mapInArrow`, for batches of at most BATCH_BYTES (or one row), whose workers give their memory back at a task's end."""
+    conf = df.sparkSession.conf
+    m = re.fullmatch(r"(?i)(\d+)([kmg]?)b?", conf.get(BATCH_SETTING, None) or "")
+    if not m or not 0 < int(m[1]) << {"k": 10, "m": 20, "g": 30}.get(m[2].lower(), 0) <= BATCH_BYTES:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return df.mapInArrow(released, schema)
 
 
 def folder(spark: SparkSession) -> str:

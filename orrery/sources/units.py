@@ -193,6 +193,12 @@ def prepared(units: DataFrame) -> DataFrame:
     return kept.withColumn("unit_id", X.unit_id(F.col("content_sha256"), F.col("unit_index"), F.col("content")))
 
 
+def prepared_rows(units: DataFrame) -> DataFrame:
+    """`prepared` for documents that have one unit each: its number is 1, nothing is shuffled."""
+    kept = units.filter(~X.blank("content")).withColumn("unit_index", F.lit(1))
+    return kept.withColumn("unit_id", X.unit_id(F.col("content_sha256"), F.col("unit_index"), F.col("content")))
+
+
 def stamped(units: DataFrame, source_uri: Column, mime_type: Column, unit_type: str = "document") -> DataFrame:
     """Adds to prepared units their metadata: what a column `metadata` (a map of texts) has, under six keys of the document's own."""
     own = F.create_map(*(x for k, v in (("source_uri", source_uri), ("mime_type", mime_type), ("document_id", F.col("document_id")), ("document_version_id", F.col("content_sha256")), ("unit_type", F.lit(unit_type)), ("unit_index", F.col("unit_index").cast("string"))) for x in (F.lit(k), v)))
