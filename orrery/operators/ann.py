@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import InvalidConfig
@@ -177,26 +177,15 @@ class VectorIndex:
     def search_many(self, queries: DataFrame, sets: DataFrame, limit: int, probes: int) -> DataFrame:
         """query_id, rank, chunk_set_id, chunk_id, cosine_distance for queries (query_id, model_key, vector), a stated set.
 
-        Each query is sent to its nearest lists, and only folders of lists that a query is sent to are read. Queries with the
-        same list meet its vectors in the vectors' own partitions: the queries are broadcast while they are few in bytes, or
-        else shuffled.
+        Each query is sent to its nearest lists, and only folders of lists that a query is sent to are read. Queries go to the
+        tasks in blocks; there those with the same list meet its vectors in products of matrices.
         """
-        if "tenant_id" in queries.columns:
-            keys = ["list", "model_key", "tenant_id", "knowledge_base_id"]
-        else:
-            keys = ["list", "model_key"]
-        sent = probed(queries.withColumn("query_norm", X.norm(F.col("vector"))), self.centroids, probes)
+        columns = ("model_key", "tenant_id", "knowledge_base_id") if "tenant_id" in queries.columns else ("model_key",)
+        sent = probed(queries.select("vector"), self.centroids, probes)
         met = [r[0] for r in sent.select("list").distinct().collect()]
-        seen = search.visible(sets, self.vectors.filter(F.col("list").isin(met))).withColumn("norm", X.norm(F.col("embedding")))
-        pairs = seen.join(small(sent, queries, probes, self.centroids.shape[1]), keys)
-        pairs = pairs.withColumn("cosine_distance", X.cosine_distance(F.col("embedding"), F.col("vector"), F.col("norm") * F.col("query_norm"))).filter("cosine_distance is not null")
-        order = Window.partitionBy("query_id").orderBy("cosine_distance", "chunk_set_id", "chunk_id")
-        return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= limit).select("query_id", "rank", "chunk_set_id", "chunk_id", "cosine_distance")
-
-
-def small(sent: DataFrame, queries: DataFrame, probes: int, dimensions: int) -> DataFrame:
-    """Marked for broadcast while it has no more bytes than a block of queries may have."""
-    return F.broadcast(sent) if queries.count() * probes * dimensions * 8 <= blocks.BLOCK_BYTES else sent
+        seen = search.visible(sets, self.vectors.filter(F.col("list").isin(met)))
+        centroids = self.centroids
+        return blocks.nearest(queries, seen, limit, centroids.shape[1], None if probes >= self.lists else lambda vectors: nearest_lists(vectors, centroids, probes), columns)
 
 
 def probed(queries: DataFrame, centroids: np.ndarray, probes: int) -> DataFrame:

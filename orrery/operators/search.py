@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ..errors import InvalidEvidence, InvalidRequest
 from ..functions import exprs as X
 from ..functions.canonical import parse_object
+from .blocks import search_blocks
 from .ordering import numbered
 
 MOST, QUERY_RUNES = 20, 4096
@@ -66,9 +68,12 @@ def ranked_all(candidates: DataFrame, vector: list[float]) -> DataFrame:
 def search_many(queries: DataFrame, candidates: DataFrame, limit: int | None) -> DataFrame:
     """query_id, rank and distance of the nearest candidates of each query (query_id, vector) in its model space; all without a limit.
 
-    Queries are a stated set, broadcast in blocks of at most BROADCAST_QUERIES; norms are computed once a row; Spark keeps `limit` rows for each query and
-    task before the shuffle (window group limit).
+    Queries are a stated set. With a limit they are searched in blocks (`blocks.search_blocks`), those of each number of dimensions
+    by themselves; vectors with NaN are never found. Without one, they are broadcast in blocks of at most BROADCAST_QUERIES, and norms are computed once a row.
     """
+    if limit is not None:
+        sizes = sorted(r[0] for r in queries.filter("vector is not null").select(F.size("vector")).distinct().collect()) or [1]
+        return reduce(DataFrame.union, [search_blocks(queries, candidates, limit, n) for n in sizes if n] or [search_blocks(queries.filter("false"), candidates, limit, 1)])
     blocks = max(1, -(-queries.count() // BROADCAST_QUERIES))
     candidates, queries = candidates.withColumn("norm", X.norm(F.col("embedding"))), queries.withColumn("query_norm", X.norm(F.col("vector")))
     out = None
@@ -76,8 +81,7 @@ def search_many(queries: DataFrame, candidates: DataFrame, limit: int | None) ->
         some = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == k)
         pairs = candidates.join(F.broadcast(some), "model_key").withColumn("cosine_distance", X.cosine_distance(F.col("embedding"), F.col("vector"), F.col("norm") * F.col("query_norm"))).filter("cosine_distance is not null")
         order = Window.partitionBy("query_id").orderBy("cosine_distance", "chunk_set_id", "chunk_id")
-        placed = pairs.withColumn("rank", F.row_number().over(order))
-        found = (placed if limit is None else placed.filter(F.col("rank") <= limit)).select("query_id", "rank", "chunk_set_id", "chunk_id", "cosine_distance")
+        found = pairs.withColumn("rank", F.row_number().over(order)).select("query_id", "rank", "chunk_set_id", "chunk_id", "cosine_distance")
         out = found if out is None else out.union(found)
     return out
 

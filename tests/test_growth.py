@@ -1,11 +1,13 @@
 """What keeps the disk, memory and time of queries in proportion to their input."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from orrery import queries, retrieval
 from orrery.functions import exprs as X
-from orrery.operators import chunking, keyword
+from orrery.operators import ann, blocks, chunking, keyword, search
 from orrery.sources import units as U
+from orrery.sources.shared import scratch
 
 from .conftest import DATA
 
@@ -60,3 +62,39 @@ def test_searches_store_no_postings(spark):
     assert set(seen.columns) == {"chunk_set_id", "chunk_id", "length", "found", "tenant_id", "knowledge_base_id"}
     asked = {r.term for r in keyword.query_terms(retrieval.keyword_queries(spark, DATA)).collect()}
     assert {r.term for r in seen.select(F.explode("found.term").alias("term")).distinct().collect()} <= asked
+
+
+def vectors_of(spark, n, seed):
+    rng = np.random.default_rng(seed)
+    made = [rng.integers(-2, 3, 4).astype("float32").tolist() for _ in range(n)]  # few values: copies, ties and zero vectors
+    made += [[float("nan")] * 4, [float("inf")] + [1.0] * 3, [1.0] * 3, None, [None, 1.0, 1.0, 1.0]]
+    rows = [(f"s{i % 7}", f"c{i:05}", ("m", "o", None)[min(2, i % 11)] if i % 11 < 3 else "m", v) for i, v in enumerate(made)]
+    return spark.createDataFrame(rows, "chunk_set_id string, chunk_id string, model_key string, embedding array<float>")
+
+
+def test_many_queries_by_products(spark, monkeypatch):
+    """Batch and index searches rank as the functions do, by products of matrices: no join makes a row for each pair."""
+    rows = vectors_of(spark, 900, 1)
+    asked = vectors_of(spark, 60, 2).filter("not exists(embedding, x -> isnan(x) or abs(x) > 9)").select(F.col("chunk_id").alias("query_id"), F.coalesce("model_key", F.lit("m")).alias("model_key"), F.col("embedding").alias("vector"))
+    finite = rows.filter("not coalesce(exists(embedding, x -> isnan(x) or abs(x) > 9), false)")
+    expected = sorted(search.search_many(asked, finite, None).filter("rank <= 6").collect())
+    for size in (blocks.PRODUCT_BYTES, 3_000):
+        monkeypatch.setattr(blocks, "PRODUCT_BYTES", size)
+        found = search.search_many(asked, rows.repartition(3), 6)
+        assert sorted(found.collect()) == expected
+    assert "Join" not in plan_of(found)
+    index = ann.VectorIndex.build(rows.withColumn("searchable", F.lit(True)), scratch(spark, "test-products"), ann.IndexConfig(4, lists=5))
+    sets = spark.createDataFrame([(f"s{i}", "t", "kb", "d", "u", "n", "active") for i in range(7)], "id string, tenant_id string, knowledge_base_id string, document_id string, source_uri string, source_name string, status string")
+    four = asked.filter("size(vector) = 4")
+    expected = sorted(search.search_many(four, finite.filter("size(embedding) = 4"), None).filter("rank <= 6").collect())
+    assert sorted(index.search_many(four, sets, 6, index.lists).collect()) == expected
+    near = {(r.query_id, r.list) for r in ann.probed(four, index.centroids, 2).collect()}
+    pairs = search.search_many(four, index.vectors, None).join(index.vectors.select("chunk_set_id", "chunk_id", "list"), ["chunk_set_id", "chunk_id"])
+    by_query = {}
+    for r in sorted(pairs.collect(), key=lambda r: (r.query_id, r["rank"])):
+        if (r.query_id, r.list) in near:
+            by_query.setdefault(r.query_id, []).append((r.chunk_set_id, r.chunk_id))
+    got = {}
+    for r in index.search_many(four, sets, 6, 2).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.chunk_set_id, r.chunk_id))
+    assert got == {q: found[:6] for q, found in by_query.items()}
