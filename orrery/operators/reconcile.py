@@ -25,9 +25,11 @@ def stale_embeddings(stored: DataFrame, inputs: DataFrame) -> DataFrame:
 
 def upserted(stored: DataFrame, new: DataFrame, keys: list[str], kept: list[str]) -> DataFrame:
     """New rows with the stored values of the columns `kept`, and stored rows that aren't replaced."""
-    old = stored.select(*keys, *(F.col(c).alias(f"stored {c}") for c in kept))
-    merged = new.join(old, keys, "left").select(*keys, *(F.coalesce(F.col(f"stored {c}"), F.col(c)).alias(c) if c in kept else F.col(c) for c in stored.columns if c not in keys))
-    return merged.unionByName(stored.join(new.select(*keys), keys, "left_anti"))
+    rest = [c for c in stored.columns if c not in keys]
+    old = stored.select(*keys, F.struct(*rest).alias("stored"))
+    met = new.select(*keys, F.struct(*rest).alias("new")).join(old, keys, "full")  # one pass over either side
+    value = lambda c: F.coalesce(F.col("stored")[c], F.col("new")[c]) if c in kept else F.when(F.col("new").isNull(), F.col("stored")[c]).otherwise(F.col("new")[c])
+    return met.select(*keys, *(value(c).alias(c) for c in rest))
 
 
 def inserted(stored: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
