@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..errors import InvalidConfig, OversizeBlock
 from ..functions import exprs as X
+from ..sources.shared import in_batches
 
 PARENT_CHILD, STRUCTURE_AWARE = "parent_child", "structure_aware"
 
@@ -205,7 +206,7 @@ def structure_aware_rows(documents: DataFrame, config: ChunkConfig = ChunkConfig
             rows = [[dict(zip(("content", "path", "units", "apart"), c, strict=True)) for c in made] for made in found]
             yield pa.RecordBatch.from_arrays([b["document_id"], pa.array(rows, pa.list_(chunk))], ["document_id", "chunks"])
 
-    made = documents.select("document_id", "units").mapInArrow(work, "document_id string, chunks array<struct<content: string, path: array<string>, units: array<string>, apart: boolean>>")
+    made = in_batches(documents.select("document_id", "units"), work, "document_id string, chunks array<struct<content: string, path: array<string>, units: array<string>, apart: boolean>>")
     made = made.withColumn("ids", F.transform("chunks", lambda c, i: structure_id(i + 1, c["content"])))
     rows = made.select("document_id", "ids", F.posexplode("chunks").alias("at", "c"))
     rows = rows.select(

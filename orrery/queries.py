@@ -6,8 +6,9 @@ follow from its number, so that every filter has rows that only it excludes. `do
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from .operators import chunking, reconcile, rules, search
 from .operators.chunking import PARENT_CHILD, ChunkConfig
 from .operators.mapping import ModelProfile
 from .sources import units as U
+from .sources.shared import in_batches
 
 CONFIG = ChunkConfig()
 QUERY_ID, TENANT, KNOWLEDGE_BASE, TOP = 17, "tenant-2", "kb-1", 20
@@ -469,9 +471,17 @@ def rule_unknown_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with their blocks of text as units (unit_id, content, path): a page is a row, and stays one."""
     pages = read(spark, sf_dir, "pages").select(text_of("page-", "page_id").alias("document_id"), F.coalesce("html", F.lit("")).alias("html"))
-    blocks = F.udf(U.parse_html, "array<struct<content string, path array<string>>>", useArrow=True)(F.col("html"))
+    block = pa.struct([("content", pa.string()), ("path", pa.list_(pa.string()))])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [[{"content": c, "path": p} for c, p in U.parse_html(h)] for h in b["html"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["document_id"], b["version"], pa.array(found, pa.list_(block))], ["document_id", "version", "blocks"])
+
+    rows = pages.select("document_id", X.sha256("html").alias("version"), "html")
+    made = in_batches(rows, work, "document_id string, version string, blocks array<struct<content: string, path: array<string>>>")
     units = F.transform("blocks", lambda b, i: F.struct(X.unit_id(F.col("version"), i + 1, b["content"]).alias("unit_id"), b["content"].alias("content"), b["path"].alias("path")))
-    return pages.select("document_id", X.sha256("html").alias("version"), blocks.alias("blocks")).select("document_id", units.alias("units"))
+    return made.select("document_id", units.alias("units"))
 
 
 def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from orrery import queries, retrieval
 from orrery.functions import exprs as X
-from orrery.operators import ann, blocks, chunking, keyword, search
-from orrery.sources import units as U
+from orrery.operators import ann, blocks, chunking, keyword, reconcile, search
+from orrery.sources import shared, units as U
 from orrery.sources.shared import scratch
 
 from .conftest import DATA
@@ -98,3 +98,24 @@ def test_many_queries_by_products(spark, monkeypatch):
     for r in index.search_many(four, sets, 6, 2).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.chunk_set_id, r.chunk_id))
     assert got == {q: found[:6] for q, found in by_query.items()}
+
+
+def test_pages_come_in_bounded_batches(spark):
+    """A worker gets at most BATCH_BYTES of pages at once, whatever the session's setting was; results are whole."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "256m")
+    found = queries.page_sections(spark, DATA)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(shared.BATCH_BYTES)
+    assert "ArrowEvalPython" not in plan_of(found)
+    pages = queries.read(spark, DATA, "pages").collect()
+    assert found.select("document_id").distinct().count() == sum(bool(U.parse_html(p.html or "")) for p in pages)
+
+
+def test_upserts_read_either_side_once(spark):
+    """Stored rows and new ones meet in one full join; rows of null keys, and repeated ones, stay."""
+    rows = lambda *found: spark.createDataFrame(found, "k string, x string, created long")
+    stored = rows(("a", "old", 1), ("b", None, None), (None, "n", 1), ("d", "d", 1), ("d", "d", 2))
+    new = rows(("a", None, 2), ("b", "B", 2), ("c", "C", 2), (None, "N", 2), ("d", "D", 3))
+    found = reconcile.upserted(stored, new, ["k"], ["created"])
+    expected = [("a", None, 1), ("b", "B", 2), ("c", "C", 2), (None, "N", 2), (None, "n", 1), ("d", "D", 1), ("d", "D", 2)]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
