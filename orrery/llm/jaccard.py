@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import few, in_arrow, join_dealt, table, unused, written
+from .common import few, in_arrow, join_dealt, remove, scratch, table, unused, written
 
 WIDTH, PERCENT = 3, 90
 #: Shingles beyond the least prefix that step 1 looks at, as a share of the set: two linked sets share so many and one more.
@@ -72,7 +72,7 @@ def shingle_sets(docs: DataFrame, width: int, percent: int, whole: bool) -> Data
     return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, "doc_id long, sig binary, n long, hashes binary")
 
 
-MESSAGE = "fragment int, batch string, hashes binary, times binary, inverse binary, sizes binary, sigs binary, n binary"
+MESSAGE = "fragment int, batch string, hashes binary, kinds binary, times binary, inverse binary, sizes binary, sigs binary, n binary"
 
 
 def cut_up(values: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -81,14 +81,37 @@ def cut_up(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.astype("<i4")), pa.py_buffer(values)])
 
 
-def census(sets: DataFrame, fragments: int, percent: int, whole: bool) -> DataFrame:
+def size_kinds(n: np.ndarray, percent: int) -> np.ndarray:
+    """Kinds of set sizes, 1 to 254: sets that can be linked are of one kind or of neighbouring ones."""
+    width = max(np.log(100 / max(percent, 1)) * (1 + 1e-6), 0.1)
+    return np.minimum(1 + np.floor(np.log(np.maximum(n, 1)) / width), 254).astype(np.uint8)
+
+
+def distinct(hashes: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of hash and kind in order, how often each comes, and the place of every given pair among them."""
+    order = np.lexsort((kinds, hashes))
+    h, k = hashes[order], kinds[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (k[1:] != k[:-1])
+    inverse = np.empty(len(h), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    at = np.flatnonzero(new)
+    return h[at], k[at], np.diff(np.append(at, len(h))).astype("<u4"), inverse
+
+
+def census(sets: DataFrame, fragments: int, percent: int, whole: bool, sized: bool = False) -> DataFrame:
     """sig, n, unique (shingles that no other set has) and, if whole, shared: the others by frequency, then hash;
-    shared is null where too many shingles are unique for any link. A batch of sets sends each of its distinct hashes once, with its count, to the fragment of the hash; what only concerns
-    the batch (which set has which hashes) goes by the batch's name. Fragments answer each batch with the hashes' frequencies.
-    So a shingle that very many sets share costs its fragment one number a batch. A message has a hash at least: there are never
+    shared is null where too many shingles are unique for any link. If `sized`, a shingle is unique as well when only sets have it
+    whose sizes rule out a link: linked sets still share all that they have in common, and any two sets share no more.
+
+    A batch of sets sends each of its distinct hashes once for each kind of size, with its count, to the fragment of the hash,
+    as its first 32 bits there (a rare clash makes two shingles shared, which costs a comparison and changes no link); what only
+    concerns the batch (which set has which hashes) goes by the batch's name. Fragments answer each batch with the hashes' frequencies.
+    So a shingle that very many sets share costs its fragment a number for each batch and kind. A message has a hash at least: there are never
     more of them than hashes, and as a batch grows no further, that is what they come to where batches and fragments are very many.
     """
     step = (1 << 64) // fragments + 1
+    spare = max(0, (step - 1).bit_length() - 32)
 
     def batches_of(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ends = np.cumsum(pc.binary_length(rows.column("hashes")).to_numpy(zero_copy_only=False) // 8)
@@ -98,44 +121,55 @@ def census(sets: DataFrame, fragments: int, percent: int, whole: bool) -> DataFr
             yield rows.slice(at, end - at)
             at = end
 
+    def told_apart(hashes: np.ndarray, n: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        kinds = size_kinds(n, percent) if sized else np.ones(len(n), np.uint8)
+        return distinct(hashes, np.repeat(kinds, sizes))
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("fragment", pa.int32()), ("batch", pa.string()), *((c, pa.binary()) for c in ("hashes", "times", "inverse", "sizes", "sigs", "n"))])
+        schema = pa.schema([("fragment", pa.int32()), ("batch", pa.string()), *((c, pa.binary()) for c in ("hashes", "kinds", "times", "inverse", "sizes", "sigs", "n"))])
         for rows in (x for b in batches for x in batches_of(b)):
             sigs, parts = rows.column("sig").to_pylist(), rows.column("hashes").to_pylist()
             joined = b"".join(sigs)
             name = hashlib.blake2b(joined, digest_size=12).hexdigest()
-            hashes, inverse, times = np.unique(np.frombuffer(b"".join(parts), "<u8"), return_inverse=True, return_counts=True)
+            given, n, sizes = np.frombuffer(b"".join(parts), "<u8"), np.array(rows.column("n").to_pylist(), "<u4"), np.array([len(p) // 8 for p in parts], "<u4")
+            hashes, kinds, times, inverse = told_apart(given, n, sizes)
             at = np.searchsorted(hashes // np.uint64(step), np.arange(fragments + 1, dtype=np.uint64))
             to = np.flatnonzero(np.diff(at))
+            short = (hashes % np.uint64(step) >> np.uint64(spare)).astype("<u4")
             nothing = pa.nulls(len(to), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.repeat(name, len(to)), cut_up(hashes, at[to + 1]), cut_up(times.astype("<u4"), at[to + 1]), *[nothing] * 4], schema=schema)
-            own = (fragments + int(name[:8], 16) % fragments, name, hashes.tobytes() if whole else None, None, inverse.astype("<u4").tobytes(), np.array([len(p) // 8 for p in parts], "<u4").tobytes(), joined, np.array(rows.column("n").to_pylist(), "<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.repeat(name, len(to)), *(cut_up(v, at[to + 1]) for v in (short, kinds, times)), *[nothing] * 4], schema=schema)
+            own = (fragments + int(name[:8], 16) % fragments, name, given.tobytes() if whole else None, None, None, None if whole else inverse.astype("<u4").tobytes(), sizes.tobytes(), joined, n.tobytes())
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, own, strict=True))], schema)
 
     def count(t: pa.Table) -> pa.Table:
         if t.column("times").null_count:  # batches' own rows pass
             return t
-        hashes, inverse = np.unique(np.frombuffer(b"".join(t.column("hashes").to_pylist()), "<u8"), return_inverse=True)
-        times = np.frombuffer(b"".join(t.column("times").to_pylist()), "<u4")
-        total = np.bincount(inverse, times, len(hashes))[inverse].astype("<u4")
-        answers = cut_up(total, np.cumsum(pc.binary_length(t.column("hashes")).to_numpy() // 8))
+        hashes, kinds, times = (np.frombuffer(b"".join(t.column(c).to_pylist()), kind) for c, kind in (("hashes", "<u4"), ("kinds", "u1"), ("times", "<u4")))
+        keys, inverse = np.unique(hashes.astype(np.uint64) << np.uint64(8) | kinds, return_inverse=True)
+        each = np.bincount(inverse, times, len(keys))
+        near = each.copy()
+        beside = np.flatnonzero(np.diff(keys) == 1)  # the same hash with neighbouring kinds, as no kind is 0
+        near[beside] += each[beside + 1]
+        near[beside + 1] += each[beside]
+        of_hash = np.cumsum(np.diff(keys >> np.uint64(8), prepend=keys[:1] >> np.uint64(8)) != 0)
+        total = np.bincount(of_hash, each)[of_hash]
+        answers = cut_up(np.where(near == 1, 1, total)[inverse].astype("<u4"), np.cumsum(pc.binary_length(t.column("kinds")).to_numpy()))
         nothing = pa.nulls(t.num_rows, pa.binary())
-        return pa.table([t.column("fragment"), t.column("batch"), nothing, answers, nothing, nothing, nothing, nothing], names=t.column_names)
+        return pa.table([t.column("fragment"), t.column("batch"), nothing, nothing, answers, *[nothing] * 4], names=t.column_names)
 
     def gather(t: pa.Table) -> pa.Table:
-        answers = pc.is_null(t.column("inverse"))
+        answers = pc.is_null(t.column("sizes"))
         own = t.filter(pc.invert(answers)).to_pylist()[0]
         said = t.filter(answers).select(["fragment", "times"]).sort_by("fragment")
         times = np.frombuffer(b"".join(said.column("times").to_pylist()), "<u4")
-        inverse, sizes = np.frombuffer(own["inverse"], "<u4"), np.frombuffer(own["sizes"], "<u4").astype(np.int64)
-        frequency = times[inverse]
+        sizes, n = np.frombuffer(own["sizes"], "<u4").astype(np.int64), np.frombuffer(own["n"], "<u4").astype(np.int64)
+        values = np.frombuffer(own["hashes"], "<u8") if whole else None
+        frequency = times[told_apart(values, n, sizes)[3] if whole else np.frombuffer(own["inverse"], "<u4")]
         ends = np.cumsum(sizes)
         doc = np.repeat(np.arange(len(sizes)), sizes)
         unique = np.bincount(doc, frequency == 1, minlength=len(sizes)).astype(np.int64)
         shared = [None] * len(sizes)
-        n = np.frombuffer(own["n"], "<u4").astype(np.int64)
         if whole:
-            values = np.frombuffer(own["hashes"], "<u8")[inverse]
             for i in np.flatnonzero(unique <= n - least(n, percent)):
                 here = slice(ends[i] - sizes[i], ends[i])
                 f, v = frequency[here], values[here]
@@ -153,11 +187,16 @@ def linked(overlap: Column, n: Column, m: Column, percent: int) -> Column:
     return overlap * 100 >= (n + m - overlap) * percent
 
 
+def among(cores: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of `cores` whose sig is among `ids`: what isn't asked for is left where it is."""
+    return cores.join(few(ids.toDF("sig").distinct(), BROADCAST_ROWS), "sig", "left_semi")
+
+
 def overlaps(spark: SparkSession, pairs: DataFrame, cores: DataFrame) -> DataFrame:
     """Adds overlap to pairs (x, nx, y, ny): counted in each part of the order, summed per pair. Pairs of one y are dealt."""
     pairs = written(spark, pairs, "jaccard-pairs")
     part = lambda k: F.filter("shared", lambda h: F.pmod(h, F.lit(PARTS)) == k)
-    cut = cores.select("sig", F.posexplode(F.array(*[part(k) for k in range(PARTS)])).alias("part", "hashes"))
+    cut = among(cores, pairs.select("x").union(pairs.select("y"))).select("sig", F.posexplode(F.array(*[part(k) for k in range(PARTS)])).alias("part", "hashes"))
     each = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
     found = join_dealt(each, cut.withColumnsRenamed({"sig": "y", "hashes": "hy"}), ["y", "part"], PARTS * pairs.count(), by=F.xxhash64("x"))
     found = found.join(cut.withColumnsRenamed({"sig": "x", "hashes": "hx"}), ["x", "part"])
@@ -191,7 +230,7 @@ def beside(near: DataFrame, cores: DataFrame, percent: int) -> DataFrame:
     near: x, nx, y (the leader), component, outside of classes around leaders that have some class near them but outside of
     their component. Of two classes in different components one is outside: so those are joined with all.
     """
-    a, b = cores.select(F.col("sig").alias("x"), F.col("shared").alias("hx")), cores.select(F.col("sig").alias("y"), F.col("shared").alias("hy"))
+    a, b = (among(cores, near.select(c)).select(F.col("sig").alias(c), F.col("shared").alias(f"h{c}")) for c in ("x", "y"))
     full = join_dealt(near, b, ["y"], near.count(), by=F.xxhash64("x")).join(a, "x")
     full = full.select("x", "nx", "y", "component", "outside", F.size("hy").alias("whole"), F.array_except("hy", "hx").alias("missing"), F.array_except("hx", "hy").alias("extra"))
     of = lambda name, kind: F.transform(name, lambda h: F.struct(F.lit(kind).alias("kind"), h.alias("hash")))
@@ -276,28 +315,34 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH, pe
     component_id is the least doc_id of the component, ignoring null ones; it is null where all are. Other columns are
     ignored; an empty table gives no rows.
     """
-    rows = written(spark, shingle_sets(docs, width, percent, whole=False), "jaccard-sets")
-    classes = rows.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("hashes").alias("hashes"))
-    classes = written(spark, classes, "jaccard-classes")
+    sets_at, classes_at = scratch(spark, "jaccard-sets"), scratch(spark, "jaccard-classes")
+    shingle_sets(docs, width, percent, whole=False).write.parquet(sets_at)
+    sets = spark.read.parquet(sets_at)
+    rows = written(spark, sets.drop("hashes"), "jaccard-rows")
+    sets.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("hashes").alias("hashes")).write.parquet(classes_at)
+    remove(spark, sets_at)
+    classes = spark.read.parquet(classes_at)
+    firsts = written(spark, classes.drop("hashes"), "jaccard-firsts")
     total = classes.agg(F.sum(F.octet_length("hashes"))).first()[0] or 0
-    counts = census(classes.select("sig", "n", "hashes"), max(8, -(-total // 8 // FRAGMENT)), percent, whole=False)
+    counts = census(classes.select("sig", "n", "hashes"), max(8, -(-total // 8 // FRAGMENT)), percent, whole=False, sized=True)
     n = F.col("n")
     more = lambda c: F.floor(c * MORE).cast("long")
     seen = F.least(n, n - F.ceil(n * percent / 100) + 1 + more(n))
     survivors = counts.filter(seen - F.col("unique") >= 1 + more(F.ceil(n * percent / 100))).select("sig")
-    survivors = written(spark, survivors.join(classes.select("sig", "first", "n"), "sig"), "jaccard-survivors")
+    survivors = written(spark, survivors.join(firsts, "sig"), "jaccard-survivors")
+    remove(spark, classes_at)
     many, total = survivors.agg(F.count("*"), F.sum("n")).first()
     few = (lambda x: F.broadcast(x)) if many <= BROADCAST_ROWS else (lambda x: x)
     ids = survivors.select(F.col("first").alias("id")).distinct()
     again = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(few(ids), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     whole = shingle_sets(again, width, percent, whole=True).join(few(survivors.select("sig")), "sig", "left_semi")
-    cores = census(whole.select("sig", "n", "hashes"), max(8, -(-(total or 0) // FRAGMENT)), percent, whole=True).filter("shared is not null").dropDuplicates(["sig"])
+    cores = census(whole.select("sig", "n", "hashes"), max(8, -(-(total or 0) // FRAGMENT)), percent, whole=True, sized=True).filter("shared is not null").dropDuplicates(["sig"])
     cores = written(spark, cores, "jaccard-cores")
     where = components(spark, cores, links_of(spark, cores, percent))
-    named = written(spark, where.join(classes.select("sig", "first"), "sig"), "jaccard-named")
+    named = written(spark, where.join(firsts.select("sig", "first"), "sig"), "jaccard-named")
     first = named.groupBy("component").agg(F.min("first").alias("component_id"))
     of_core = join_dealt(named, first, ["component"], many, by=F.xxhash64("sig")).select("sig", "component_id")
-    of_class = written(spark, classes.select("sig", "first").join(of_core, "sig", "left").select("sig", F.coalesce("component_id", "first").alias("component_id")), "jaccard-components")
+    of_class = written(spark, firsts.select("sig", "first").join(of_core, "sig", "left").select("sig", F.coalesce("component_id", "first").alias("component_id")), "jaccard-components")
     # Rows of no words are left out of the join, those of one set are dealt.
     some, none = rows.filter("n > 0").select("doc_id", "n", "sig"), rows.filter("n = 0").select("doc_id", "n")
     out = join_dealt(some, of_class, ["sig"], rows.count(), by=F.xxhash64("doc_id")).unionByName(none, allowMissingColumns=True)
