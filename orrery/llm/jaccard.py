@@ -245,47 +245,66 @@ def beside(near: DataFrame, cores: DataFrame, percent: int) -> DataFrame:
     return same.filter(linked(base + F.col("same"), n, m, percent)).select("x", F.col("x2").alias("y"))
 
 
-def components(spark: SparkSession, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """sig and component (the least sig that links reach) of every node: least labels of neighbours, and labels' labels, until none changes.
+def both_ways(pairs: DataFrame) -> DataFrame:
+    return pairs.filter("x != y").select("x", "y").union(pairs.filter("x != y").select("y", "x")).distinct()
 
-    Edges of a node with very many, and nodes of a label that very many have, are dealt.
+
+def renamed(pairs: DataFrame, labels: DataFrame, total: int) -> DataFrame:
+    """Pairs (x, y) of the components that `labels` (sig, component) has for them. Pairs of one x, or one y, are dealt."""
+    for end, other in (("x", "y"), ("y", "x")):
+        found = labels.select(F.col("sig").alias(end), F.col("component").alias("renamed"))
+        pairs = join_dealt(pairs, found, [end], total, by=F.xxhash64(other)).select(F.col("renamed").alias(end), other)
+    return pairs
+
+
+def components(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFrame:
+    """`labels` (sig and component, the least sig of those joined so far) once `links` (x, y) join them.
+
+    Links become edges between components, so what is joined already costs nothing. Each component with edges goes to the least of its
+    neighbours, and with that one to its own least, until that is none's neighbour's; then edges are between what is left, and
+    those inside one component are dropped. So an edge is read until its ends have met, not in all rounds.
     """
-    edges = written(spark, links.select("x", "y").union(links.select("y", "x")).distinct(), "jaccard-edges")
-    labels = written(spark, nodes.select("sig", F.col("sig").alias("component")), "jaccard-labels")
-    many_edges, many = edges.count(), labels.count()
-    degrees = written(spark, edges.groupBy("y").count(), "jaccard-degrees")
-    while True:
-        heard = join_dealt(edges, labels.withColumnRenamed("sig", "y"), ["y"], many_edges, by=F.xxhash64("x"), counts=degrees).groupBy("x").agg(F.min("component").alias("heard"))
-        nearer = labels.join(heard, labels["sig"] == heard["x"], "left").select("sig", "component", F.least("component", F.coalesce("heard", "component")).alias("next"))
-        nearer = written(spark, nearer, "jaccard-nearer")
-        jump = nearer.select(F.col("sig").alias("next"), F.col("next").alias("after"))
-        new = join_dealt(nearer, jump, ["next"], many, by=F.xxhash64("sig")).select("sig", "component", F.least("next", "after").alias("next"))
-        new = written(spark, new, "jaccard-labels")
-        labels = new.select("sig", F.col("next").alias("component"))
-        if new.filter("component != next").isEmpty():
-            return labels
-
-
-def links_of(spark: SparkSession, cores: DataFrame, percent: int) -> DataFrame:
-    """Links between classes that connect all that any links connect: every link is among them or inside a component of them."""
+    links = written(spark, links.select("x", "y"), "jaccard-new-links")
+    edges = written(spark, both_ways(renamed(links, labels, links.count())), "jaccard-edges")
+    steps = []
+    while many := edges.count():
+        to = edges.groupBy(F.col("x").alias("sig")).agg(F.min("y").alias("y")).select("sig", F.least("sig", "y").alias("component"))
+        to = written(spark, to, "jaccard-least")
+        nodes, done = to.count(), False
+        while not done:
+            after = to.select(F.col("sig").alias("component"), F.col("component").alias("after"))
+            jumped = written(spark, join_dealt(to, after, ["component"], nodes, by=F.xxhash64("sig")), "jaccard-jumped")
+            done = jumped.filter("component != after").isEmpty()
+            to = jumped.select("sig", F.col("after").alias("component"))
+        steps.append((to, nodes))
+        edges = written(spark, both_ways(renamed(edges.filter("x < y"), to, many)), "jaccard-edges")
+    for known, total in [*reversed(steps[:-1]), (labels, labels.count())] if steps else []:
+        after = to.select(F.col("sig").alias("component"), F.col("component").alias("after"))
+        to = join_dealt(known, after, ["component"], total, how="left", by=F.xxhash64("sig")).select("sig", F.coalesce("after", "component").alias("component"))
+    return written(spark, to, "jaccard-labels") if steps else labels
+
+
+def connected(spark: SparkSession, cores: DataFrame, percent: int) -> DataFrame:
+    """sig and component of each class: classes are joined by links that connect all that any links connect, as every link is among
+    them or inside a component of them."""
     least_n = F.ceil(F.col("n") * percent / 100)
     prefix = F.slice("shared", 1, (F.col("n") - least_n + 1 - F.col("unique")).cast("int"))
     postings = cores.select(F.col("sig").alias("x"), F.col("n").alias("nx"), F.posexplode(prefix).alias("place", "hash"), "unique").withColumn("px", F.col("place") + F.col("unique")).drop("place", "unique")
     postings = written(spark, postings, "jaccard-postings")
+    where = written(spark, cores.select("sig", F.col("sig").alias("component")), "jaccard-labels")
     links, around_percent = spark.createDataFrame([], "x binary, y binary"), percent - NEAR
     before = None
     while True:
         rows, pairs = pairs_left(postings)
         if not rows:
-            return links
+            return components(spark, where, links)
         if pairs <= PAIRS * rows or before and 2 * pairs > before:
             break
         before = pairs  # each round every hash loses its leader at least, and the classes that are near it
         star = written(spark, stars(spark, postings, rows), "jaccard-stars")
         pairs = star.filter(F.col("x") != F.col("y")).filter((F.col("nx") * 100 >= F.col("ny") * around_percent) & (F.col("ny") * 100 >= F.col("nx") * around_percent)).select("x", "nx", "y", "ny").distinct()
         compared = written(spark, overlaps(spark, pairs, cores), "jaccard-compared")
-        links = written(spark, links.union(compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), percent)).select("x", "y")), "jaccard-links")
-        where = components(spark, cores, links)
+        where = components(spark, where, links.union(compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), percent)).select("x", "y")))
         # Very many classes can have one leader.
         many = compared.count()
         leads = where.select(F.col("sig").alias("y"), F.col("component").alias("leads")).join(compared.select("y").distinct(), "y", "left_semi")
@@ -295,16 +314,16 @@ def links_of(spark: SparkSession, cores: DataFrame, percent: int) -> DataFrame:
         open_ = around.filter("outside").select("y").distinct()
         near = join_dealt(around, open_, ["y"], many, by=F.xxhash64("x")).select("x", "nx", "y", "component", "outside")
         near = written(spark, near, "jaccard-near")
-        links = written(spark, links.union(beside(near, cores, percent)), "jaccard-links")
+        links = written(spark, beside(near, cores, percent), "jaccard-links")
         done = compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), 100 - NEAR)).select("x", "y")
         rest = star.filter(F.col("x") != F.col("y")).join(done, ["x", "y"], "left_anti").select("x", "nx", "hash", "px")
         postings = written(spark, rest, "jaccard-postings")
-    where = components(spark, cores, links)
+    where = components(spark, where, links)
     left = postings.join(where.withColumnRenamed("sig", "x"), "x")
     right = left.select("hash", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("px").alias("py"), F.col("component").alias("component2"))
     pairs = left.join(right, "hash").filter((F.col("x") < F.col("y")) & (F.col("component") != F.col("component2")) & may_link(percent)).select("x", "nx", "y", "ny").distinct()
     compared = overlaps(spark, pairs, cores).filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), percent))
-    return links.union(compared.select("x", "y"))
+    return components(spark, where, compared.select("x", "y"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -338,7 +357,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH, pe
     whole = shingle_sets(again, width, percent, whole=True).join(few(survivors.select("sig")), "sig", "left_semi")
     cores = census(whole.select("sig", "n", "hashes"), max(8, -(-(total or 0) // FRAGMENT)), percent, whole=True, sized=True).filter("shared is not null").dropDuplicates(["sig"])
     cores = written(spark, cores, "jaccard-cores")
-    where = components(spark, cores, links_of(spark, cores, percent))
+    where = connected(spark, cores, percent)
     named = written(spark, where.join(firsts.select("sig", "first"), "sig"), "jaccard-named")
     first = named.groupBy("component").agg(F.min("first").alias("component_id"))
     of_core = join_dealt(named, first, ["component"], many, by=F.xxhash64("sig")).select("sig", "component_id")

@@ -47,6 +47,38 @@ def test_shingles_of_other_sizes_are_unique(spark, monkeypatch, fragments, whole
             assert held == sorted(held, key=lambda h: (times[h], h))
 
 
+def test_edges_are_read_until_their_ends_meet(spark, monkeypatch):
+    """Stars, chains and trees against plain union; what is read is a few times the links, and nothing of it once they are joined."""
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    read, write = [], jaccard.written
+
+    def counted(spark, df, name):
+        out = write(spark, df, name)
+        read.extend([out.count()] if name == "jaccard-edges" else [])
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    ids, draw = [sig(k) for k in range(400)], random.Random(1)
+    ordered = sorted(ids[300:340])
+    links = [(ids[0], x) for x in ids[1:150]] + [(ids[k], ids[150 + draw.randrange(k - 150)]) for k in range(151, 300)] + list(zip(ordered, ordered[1:], strict=False)) + [(ids[5], ids[5])]
+    near = {x: {x} for x in ids}
+    for a, b in links:
+        joined = near[a] | near[b]
+        near.update((x, joined) for x in joined)
+    want = {x: min(c) for x, c in near.items()}
+    nodes = spark.createDataFrame([(x, x) for x in ids], "sig binary, component binary")
+    frame = spark.createDataFrame(links, "x binary, y binary")
+    found = jaccard.components(spark, nodes, frame)
+    assert {bytes(r.sig): bytes(r.component) for r in found.collect()} == want
+    assert sum(read) <= 3 * 2 * len(links)
+    read.clear()
+    more = spark.createDataFrame([(ids[7], ids[399]), (ids[3], ids[8])], "x binary, y binary")
+    again = {bytes(r.sig): bytes(r.component) for r in jaccard.components(spark, found, frame.union(more)).collect()}
+    least = min(want[ids[7]], ids[399])
+    assert again == {x: least if c == want[ids[7]] or x == ids[399] else c for x, c in want.items()}
+    assert read == [2, 0]
+
+
 def test_what_is_spent_goes(spark, monkeypatch):
     """The sets' hashes are gone from the shared folder before the whole sets are counted."""
     gone, seen = [], []
