@@ -150,9 +150,16 @@ def asymmetric_links(chunks: DataFrame) -> DataFrame:
 
 
 def input_targets(chunks: DataFrame, inputs: DataFrame, strategy: str) -> DataFrame:
-    """Inputs without an embeddable chunk, and embeddable chunks without input."""
-    wanted = chunks.filter(embeddable(strategy)).select(*CHUNK)
-    return inputs.select(*CHUNK).join(wanted, CHUNK, "left_anti").withColumn("problem", F.lit("unexpected")).union(wanted.join(inputs, CHUNK, "left_anti").withColumn("problem", F.lit("missing")))
+    """Inputs without an embeddable chunk, and embeddable chunks without input; a null id has no counterpart.
+
+    Either side is read once and counted by id, so an id that very many rows have is one row of what is exchanged.
+    """
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    wanted = chunks.filter(embeddable(strategy)).select(*CHUNK, one.alias("wanted"), zero.alias("given"))
+    counts = wanted.union(inputs.select(*CHUNK, zero, one)).groupBy(*CHUNK).agg(F.sum("wanted").alias("wanted"), F.sum("given").alias("given"))
+    apart = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in CHUNK])
+    times = lambda name, n, other: F.array_repeat(F.lit(name), F.when(apart | (F.col(other) == 0), F.col(n)).otherwise(0).cast("int"))
+    return counts.select(*CHUNK, F.explode(F.concat(times("unexpected", "given", "wanted"), times("missing", "wanted", "given"))).alias("problem"))
 
 
 def input_hashes(inputs: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from orrery import queries, retrieval
 from orrery.functions import exprs as X
-from orrery.operators import ann, blocks, chunking, keyword, reconcile, search
+from orrery.operators import ann, blocks, chunking, keyword, reconcile, rules, search
 from orrery.sources import shared, units as U
 from orrery.sources.shared import scratch
 
@@ -119,3 +119,12 @@ def test_upserts_read_either_side_once(spark):
     expected = [("a", None, 1), ("b", "B", 2), ("c", "C", 2), (None, "N", 2), (None, "n", 1), ("d", "D", 1), ("d", "D", 2)]
     assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_input_targets_read_either_side_once(spark):
+    """Chunks and inputs meet in one count by id; repeated rows stay, null ids have no counterpart."""
+    rows = lambda *ids: spark.createDataFrame([("s", i, "child") for i in ids], "chunk_set_id string, chunk_id string, kind string")
+    found = rules.input_targets(rows("a", "b", "b", "c", "c", None), rows("a", "a", "b", "d", "d", None), chunking.PARENT_CHILD)
+    expected = [("c", "missing"), ("c", "missing"), (None, "missing"), ("d", "unexpected"), ("d", "unexpected"), (None, "unexpected")]
+    assert sorted(map(str, ((r.chunk_id, r.problem) for r in found.collect()))) == sorted(map(str, expected))
+    assert "Join" not in plan_of(found)
