@@ -19,7 +19,7 @@ fragment, each in its own tasks, and summed per set or per pair:
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,9 @@ FRAGMENT, BATCH = 500_000, 500_000
 PARTS, PAIRS = 4, 2
 #: Survivors whose ids are broadcast; beyond that they are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Facts that are broadcast to the rows that they are joined to, and shingles of sets that are; beyond that rows are dealt and
+#: moved. A broadcast is one exchange, where dealing takes four: Spark's driver has a thread for each, and keeps it for a minute.
+FACTS, SHINGLES = 100_000, 1_000_000
 #: Jaccard distance in percent within which a class is done with a leader. By the triangle inequality what is linked to such a
 #: class lies around the leader, within NEAR and the links' own distance.
 NEAR = 25
@@ -187,18 +190,33 @@ def linked(overlap: Column, n: Column, m: Column, percent: int) -> Column:
     return overlap * 100 >= (n + m - overlap) * percent
 
 
+def with_facts(rows: DataFrame, facts: DataFrame, on: list[str], most: int, total: Callable[[], int], how: str = "inner", by: Column | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """`join_dealt`, of `total()` rows, or a broadcast while there are no more facts than FACTS; there are `most` of them, or fewer."""
+    return rows.join(F.broadcast(facts), on, how) if most <= FACTS else join_dealt(rows, facts, on, total(), how, by, counts)
+
+
 def among(cores: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of `cores` whose sig is among `ids`: what isn't asked for is left where it is."""
     return cores.join(few(ids.toDF("sig").distinct(), BROADCAST_ROWS), "sig", "left_semi")
 
 
+def sets_of(rows: DataFrame, end: str, cores: DataFrame) -> DataFrame:
+    """The sets, h and the end's name, at one end of the rows, broadcast: for rows whose sets have no more than SHINGLES together."""
+    asked = F.broadcast(rows.select(F.col(end).alias("sig")))
+    return F.broadcast(cores.join(asked, "sig", "left_semi").select(F.col("sig").alias(end), F.col("shared").alias(f"h{end}")))
+
+
 def overlaps(spark: SparkSession, pairs: DataFrame, cores: DataFrame) -> DataFrame:
     """Adds overlap to pairs (x, nx, y, ny): counted in each part of the order, summed per pair. Pairs of one y are dealt."""
     pairs = written(spark, pairs, "jaccard-pairs")
+    many, shingles = pairs.agg(F.count("*"), F.sum(F.col("nx") + F.col("ny"))).first()
+    if (shingles or 0) <= SHINGLES:
+        found = pairs.join(sets_of(pairs, "y", cores), "y").join(sets_of(pairs, "x", cores), "x")
+        return found.select("x", "nx", "y", "ny", F.size(F.array_intersect("hx", "hy")).cast("long").alias("overlap"))
     part = lambda k: F.filter("shared", lambda h: F.pmod(h, F.lit(PARTS)) == k)
     cut = among(cores, pairs.select("x").union(pairs.select("y"))).select("sig", F.posexplode(F.array(*[part(k) for k in range(PARTS)])).alias("part", "hashes"))
     each = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    found = join_dealt(each, cut.withColumnsRenamed({"sig": "y", "hashes": "hy"}), ["y", "part"], PARTS * pairs.count(), by=F.xxhash64("x"))
+    found = join_dealt(each, cut.withColumnsRenamed({"sig": "y", "hashes": "hy"}), ["y", "part"], PARTS * many, by=F.xxhash64("x"))
     found = found.join(cut.withColumnsRenamed({"sig": "x", "hashes": "hx"}), ["x", "part"])
     partial = found.select("x", "nx", "y", "ny", F.size(F.array_intersect("hx", "hy")).cast("long").alias("overlap"))
     return partial.groupBy("x", "nx", "y", "ny").agg(F.sum("overlap").alias("overlap"))
@@ -208,7 +226,7 @@ def stars(spark: SparkSession, postings: DataFrame, rows: int) -> DataFrame:
     """hash, x, nx, px and its leader y, ny, py: of the classes that have the hash the one with the fewest rarer shingles. Postings of one hash are dealt."""
     leader = postings.groupBy("hash").agg(F.min(F.struct("px", "x", "nx")).alias("leader"), F.count("*").alias("count")).filter("count > 1")
     leader = written(spark, leader, "jaccard-leaders")
-    found = join_dealt(postings, leader.drop("count"), ["hash"], rows, by=F.xxhash64("x"), counts=leader)
+    found = with_facts(postings, leader.drop("count"), ["hash"], rows // 2, lambda: rows, by=F.xxhash64("x"), counts=leader)
     return found.select("hash", "x", "nx", "px", F.col("leader.x").alias("y"), F.col("leader.nx").alias("ny"), F.col("leader.px").alias("py"))
 
 
@@ -227,11 +245,15 @@ def may_link(percent: int) -> Column:
 def beside(near: DataFrame, cores: DataFrame, percent: int) -> DataFrame:
     """Links (x, y) between classes near the same leader, from an index of their differences to it.
 
-    near: x, nx, y (the leader), component, outside of classes around leaders that have some class near them but outside of
+    near: x, nx, y (the leader), ny, component, outside of classes around leaders that have some class near them but outside of
     their component. Of two classes in different components one is outside: so those are joined with all.
     """
-    a, b = (among(cores, near.select(c)).select(F.col("sig").alias(c), F.col("shared").alias(f"h{c}")) for c in ("x", "y"))
-    full = join_dealt(near, b, ["y"], near.count(), by=F.xxhash64("x")).join(a, "x")
+    many, shingles = near.agg(F.count("*"), F.sum(F.col("nx") + F.col("ny"))).first()
+    if (shingles or 0) <= SHINGLES:
+        full = near.join(sets_of(near, "y", cores), "y").join(sets_of(near, "x", cores), "x")
+    else:
+        a, b = (among(cores, near.select(c)).select(F.col("sig").alias(c), F.col("shared").alias(f"h{c}")) for c in ("x", "y"))
+        full = join_dealt(near, b, ["y"], many, by=F.xxhash64("x")).join(a, "x")
     full = full.select("x", "nx", "y", "component", "outside", F.size("hy").alias("whole"), F.array_except("hy", "hx").alias("missing"), F.array_except("hx", "hy").alias("extra"))
     of = lambda name, kind: F.transform(name, lambda h: F.struct(F.lit(kind).alias("kind"), h.alias("hash")))
     rows = full.select("x", "nx", "y", "component", "outside", "whole", F.size("missing").alias("lost"), F.size("extra").alias("gained"), F.explode(F.concat(of("missing", 0), of("extra", 1))).alias("difference"))
@@ -246,42 +268,46 @@ def beside(near: DataFrame, cores: DataFrame, percent: int) -> DataFrame:
 
 
 def both_ways(pairs: DataFrame) -> DataFrame:
-    return pairs.filter("x != y").select("x", "y").union(pairs.filter("x != y").select("y", "x")).distinct()
+    ends = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
+    return pairs.filter("x != y").select(F.explode(ends).alias("ends")).select("ends.x", "ends.y").distinct()
 
 
-def renamed(pairs: DataFrame, labels: DataFrame, total: int) -> DataFrame:
-    """Pairs (x, y) of the components that `labels` (sig, component) has for them. Pairs of one x, or one y, are dealt."""
+def renamed(pairs: DataFrame, labels: DataFrame, most: int, total: Callable[[], int]) -> DataFrame:
+    """Pairs (x, y) of the components that `labels` (sig, component; at most `most`) has for them. Pairs of one x, or one y, are dealt."""
     for end, other in (("x", "y"), ("y", "x")):
         found = labels.select(F.col("sig").alias(end), F.col("component").alias("renamed"))
-        pairs = join_dealt(pairs, found, [end], total, by=F.xxhash64(other)).select(F.col("renamed").alias(end), other)
+        pairs = with_facts(pairs, found, [end], most, total, by=F.xxhash64(other)).select(F.col("renamed").alias(end), other)
     return pairs
 
 
-def components(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFrame:
-    """`labels` (sig and component, the least sig of those joined so far) once `links` (x, y) join them.
+def components(spark: SparkSession, labels: DataFrame, links: DataFrame, known: int | None = None) -> DataFrame:
+    """`labels` (sig and component, the least sig of those joined so far; `known` rows) once `links` (x, y) join them.
 
     Links become edges between components, so what is joined already costs nothing. Each component with edges goes to the least of its
     neighbours, and with that one to its own least, until that is none's neighbour's; then edges are between what is left, and
     those inside one component are dropped. So an edge is read until its ends have met, not in all rounds.
     """
-    links = written(spark, links.select("x", "y"), "jaccard-new-links")
-    edges = written(spark, both_ways(renamed(links, labels, links.count())), "jaccard-edges")
-    steps = []
+    known = labels.count() if known is None else known
+    links = links.select("x", "y") if known <= FACTS else written(spark, links.select("x", "y"), "jaccard-new-links")
+    edges = written(spark, both_ways(renamed(links, labels, known, links.count)), "jaccard-edges")
+    steps = [(labels, known)]
     while many := edges.count():
         to = edges.groupBy(F.col("x").alias("sig")).agg(F.min("y").alias("y")).select("sig", F.least("sig", "y").alias("component"))
         to = written(spark, to, "jaccard-least")
-        nodes, done = to.count(), False
+        nodes, done = min(many, known), False
         while not done:
             after = to.select(F.col("sig").alias("component"), F.col("component").alias("after"))
-            jumped = written(spark, join_dealt(to, after, ["component"], nodes, by=F.xxhash64("sig")), "jaccard-jumped")
+            jumped = written(spark, with_facts(to, after, ["component"], nodes, to.count, by=F.xxhash64("sig")), "jaccard-jumped")
             done = jumped.filter("component != after").isEmpty()
             to = jumped.select("sig", F.col("after").alias("component"))
         steps.append((to, nodes))
-        edges = written(spark, both_ways(renamed(edges.filter("x < y"), to, many)), "jaccard-edges")
-    for known, total in [*reversed(steps[:-1]), (labels, labels.count())] if steps else []:
+        edges = written(spark, both_ways(renamed(edges.filter("x < y"), to, nodes, lambda many=many: many)), "jaccard-edges")
+    (to, nodes), *before = reversed(steps)
+    for labelled, more in before:
         after = to.select(F.col("sig").alias("component"), F.col("component").alias("after"))
-        to = join_dealt(known, after, ["component"], total, how="left", by=F.xxhash64("sig")).select("sig", F.coalesce("after", "component").alias("component"))
-    return written(spark, to, "jaccard-labels") if steps else labels
+        joined = with_facts(labelled, after, ["component"], nodes, labelled.count, how="left", by=F.xxhash64("sig"))
+        to, nodes = joined.select("sig", F.coalesce("after", "component").alias("component")), more
+    return written(spark, to, "jaccard-labels") if before else labels
 
 
 def connected(spark: SparkSession, cores: DataFrame, percent: int) -> DataFrame:
@@ -291,39 +317,43 @@ def connected(spark: SparkSession, cores: DataFrame, percent: int) -> DataFrame:
     prefix = F.slice("shared", 1, (F.col("n") - least_n + 1 - F.col("unique")).cast("int"))
     postings = cores.select(F.col("sig").alias("x"), F.col("n").alias("nx"), F.posexplode(prefix).alias("place", "hash"), "unique").withColumn("px", F.col("place") + F.col("unique")).drop("place", "unique")
     postings = written(spark, postings, "jaccard-postings")
-    where = written(spark, cores.select("sig", F.col("sig").alias("component")), "jaccard-labels")
-    links, around_percent = spark.createDataFrame([], "x binary, y binary"), percent - NEAR
+    where, known = cores.select("sig", F.col("sig").alias("component")), cores.count()
+    links = none = spark.createDataFrame([], "x binary, y binary")
+    around_percent = percent - NEAR
     before = None
     while True:
         rows, pairs = pairs_left(postings)
         if not rows:
-            return components(spark, where, links)
+            return components(spark, where, links, known)
         if pairs <= PAIRS * rows or before and 2 * pairs > before:
             break
         before = pairs  # each round every hash loses its leader at least, and the classes that are near it
         star = written(spark, stars(spark, postings, rows), "jaccard-stars")
         pairs = star.filter(F.col("x") != F.col("y")).filter((F.col("nx") * 100 >= F.col("ny") * around_percent) & (F.col("ny") * 100 >= F.col("nx") * around_percent)).select("x", "nx", "y", "ny").distinct()
         compared = written(spark, overlaps(spark, pairs, cores), "jaccard-compared")
-        where = components(spark, where, links.union(compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), percent)).select("x", "y")))
+        where = components(spark, where, links.union(compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), percent)).select("x", "y")), known)
         # Very many classes can have one leader.
-        many = compared.count()
-        leads = where.select(F.col("sig").alias("y"), F.col("component").alias("leads")).join(compared.select("y").distinct(), "y", "left_semi")
+        leads = where.select(F.col("sig").alias("y"), F.col("component").alias("leads"))
+        leads = leads if known <= FACTS else leads.join(compared.select("y").distinct(), "y", "left_semi")
         around = compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), around_percent))
-        around = join_dealt(around, leads, ["y"], many, by=F.xxhash64("x")).join(where.withColumnRenamed("sig", "x"), "x")
+        around = with_facts(around, leads, ["y"], known, compared.count, by=F.xxhash64("x"))
+        own = where.withColumnRenamed("sig", "x")
+        around = around.join(F.broadcast(own) if known <= FACTS else own, "x")
         around = written(spark, around.withColumn("outside", F.col("component") != F.col("leads")), "jaccard-around")
         open_ = around.filter("outside").select("y").distinct()
-        near = join_dealt(around, open_, ["y"], many, by=F.xxhash64("x")).select("x", "nx", "y", "component", "outside")
+        near = with_facts(around, open_, ["y"], known, compared.count, by=F.xxhash64("x")).select("x", "nx", "y", "ny", "component", "outside")
         near = written(spark, near, "jaccard-near")
-        links = written(spark, beside(near, cores, percent), "jaccard-links")
+        links = none if near.isEmpty() else written(spark, beside(near, cores, percent), "jaccard-links")
         done = compared.filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), 100 - NEAR)).select("x", "y")
         rest = star.filter(F.col("x") != F.col("y")).join(done, ["x", "y"], "left_anti").select("x", "nx", "hash", "px")
         postings = written(spark, rest, "jaccard-postings")
-    where = components(spark, where, links)
-    left = postings.join(where.withColumnRenamed("sig", "x"), "x")
+    where = components(spark, where, links, known)
+    own = where.withColumnRenamed("sig", "x")
+    left = postings.join(F.broadcast(own) if known <= FACTS else own, "x")
     right = left.select("hash", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("px").alias("py"), F.col("component").alias("component2"))
     pairs = left.join(right, "hash").filter((F.col("x") < F.col("y")) & (F.col("component") != F.col("component2")) & may_link(percent)).select("x", "nx", "y", "ny").distinct()
     compared = overlaps(spark, pairs, cores).filter(linked(F.col("overlap"), F.col("nx"), F.col("ny"), percent))
-    return components(spark, where, compared.select("x", "y"))
+    return components(spark, where, written(spark, compared.select("x", "y"), "jaccard-links"), known)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -358,10 +388,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, width: int = WIDTH, pe
     cores = census(whole.select("sig", "n", "hashes"), max(8, -(-(total or 0) // FRAGMENT)), percent, whole=True, sized=True).filter("shared is not null").dropDuplicates(["sig"])
     cores = written(spark, cores, "jaccard-cores")
     where = connected(spark, cores, percent)
-    named = written(spark, where.join(firsts.select("sig", "first"), "sig"), "jaccard-named")
+    facts = (lambda x: F.broadcast(x)) if many <= FACTS else (lambda x: x)
+    named = written(spark, facts(where).join(firsts.select("sig", "first"), "sig"), "jaccard-named")
     first = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_core = join_dealt(named, first, ["component"], many, by=F.xxhash64("sig")).select("sig", "component_id")
-    of_class = written(spark, firsts.select("sig", "first").join(of_core, "sig", "left").select("sig", F.coalesce("component_id", "first").alias("component_id")), "jaccard-components")
+    of_core = with_facts(named, first, ["component"], many, lambda: many, by=F.xxhash64("sig")).select("sig", "component_id")
+    of_class = written(spark, firsts.select("sig", "first").join(facts(of_core), "sig", "left").select("sig", F.coalesce("component_id", "first").alias("component_id")), "jaccard-components")
     # Rows of no words are left out of the join, those of one set are dealt.
     some, none = rows.filter("n > 0").select("doc_id", "n", "sig"), rows.filter("n = 0").select("doc_id", "n")
     out = join_dealt(some, of_class, ["sig"], rows.count(), by=F.xxhash64("doc_id")).unionByName(none, allowMissingColumns=True)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tokens
-from .common import in_arrow, table, written
+from .common import in_arrow, release, table, written
 from .labelled import fold, sample
 
 #: Slots for hashed words, rank of the interactions, and the bound of labelled rows that the model is fitted on.
@@ -161,7 +161,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     fits = sizes.n.cumsum() <= SAMPLE_SLOTS
     got = (made if fits.all() else made.filter(F.col("order").isin(sizes.order[fits].tolist()))).drop("order").toPandas()
     rows = [(Features(np.stack([s]), np.zeros(len(i), int), np.asarray(i, np.int64), np.asarray(x, float)), int(y)) for y, s, i, x in zip(got.label, got.statistics, got["slot"], got["value"], strict=True)]
-    return fit(sorted(rows, key=lambda r: (r[1], r[0].statistics.tobytes())))
+    model = fit(sorted(rows, key=lambda r: (r[1], r[0].statistics.tobytes())))
+    del made, sizes, got, rows
+    release()  # the driver keeps the model alone
+    return model
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
