@@ -40,22 +40,28 @@ class Layout:
     def table(self, name: str) -> DataFrame:
         return self.spark.table(self._name(name))
 
-    def _save(self, name: str, df: DataFrame, order: list[str]) -> None:
-        rows = df.repartition(self.buckets, "chunk_set_id").sortWithinPartitions(*SCOPE, "chunk_set_id", *order)
+    def _dealt(self, df: DataFrame) -> DataFrame:
+        """Rows in the partitions of their buckets: what is joined to them by set there needs no exchange, nor does the writer."""
+        return df.repartition(self.buckets, "chunk_set_id")
+
+    def _save(self, name: str, rows: DataFrame, order: list[str]) -> None:
+        """Writes dealt rows; the writer sorts them by scope, bucket and order."""
         writer = rows.write.partitionBy(*SCOPE).bucketBy(self.buckets, "chunk_set_id").sortBy("chunk_set_id", *order)
         writer.option("path", f"{self.folder}/{name}").saveAsTable(self._name(name), format="parquet")
 
+    def _scoped(self, df: DataFrame) -> DataFrame:
+        """Dealt rows with the scope of their set, from the buckets of the saved sets: rows are moved once."""
+        return self._dealt(df.drop(*SCOPE)).join(self.table("chunk_sets").select("chunk_set_id", *SCOPE), "chunk_set_id")
+
     def save(self, sets: DataFrame, chunks: DataFrame, embeddings: DataFrame) -> None:
         """Writes the tables: sets (with `id` as chunk_set_id), chunks and embeddings with the scope of their set.
 
         Rows without a set, or of a set without a scope, break the store's rules and aren't written.
         """
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{self.schema}`")
-        named = sets.withColumnRenamed("id", "chunk_set_id")
-        scopes = named.select("chunk_set_id", *SCOPE)
-        self._save("chunk_sets", named, [])
-        self._save("chunks", chunks.drop(*SCOPE).join(scopes, "chunk_set_id"), ["sequence", "chunk_id"])
-        self._save("chunk_embeddings", embeddings.drop(*SCOPE).join(scopes, "chunk_set_id"), ["chunk_id"])
+        self._save("chunk_sets", self._dealt(sets.withColumnRenamed("id", "chunk_set_id")), [])
+        self._save("chunks", self._scoped(chunks), ["sequence", "chunk_id"])
+        self._save("chunk_embeddings", self._scoped(embeddings), ["chunk_id"])
 
     def drop(self) -> None:
         for name in ("chunk_sets", "chunks", "chunk_embeddings"):

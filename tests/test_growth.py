@@ -128,3 +128,24 @@ def test_input_targets_read_either_side_once(spark):
     expected = [("c", "missing"), ("c", "missing"), (None, "missing"), ("d", "unexpected"), ("d", "unexpected"), (None, "unexpected")]
     assert sorted(map(str, ((r.chunk_id, r.problem) for r in found.collect()))) == sorted(map(str, expected))
     assert "Join" not in plan_of(found)
+
+
+def test_saved_rows_are_moved_once(spark):
+    """Chunks are dealt to their buckets and meet the saved sets there; rows of no set go, an old scope is replaced."""
+    from orrery.plans.layout import Layout
+
+    layout = Layout(spark, "growth_layout", scratch(spark, "growth-layout"), 4)
+    sets = spark.createDataFrame([(f"s{i}", f"t{i % 2}", "k") for i in range(6)], "id string, tenant_id string, knowledge_base_id string")
+    chunks = spark.createDataFrame([(f"s{i % 8}", f"c{i}", i, "other") for i in range(40)], "chunk_set_id string, chunk_id string, sequence int, tenant_id string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        layout.save(sets, chunks, chunks.select("chunk_set_id", "chunk_id"))
+        made = layout._scoped(chunks)
+        assert plan_of(made).count("Exchange") == 1 and "SortMergeJoin" in plan_of(made)
+        expected = sorted((f"s{i % 8}", f"c{i}", f"t{i % 8 % 2}") for i in range(40) if i % 8 < 6)
+        for name in ("chunks", "chunk_embeddings"):
+            assert sorted(layout.table(name).select("chunk_set_id", "chunk_id", "tenant_id").collect()) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        layout.drop()
