@@ -5,6 +5,7 @@ The split points and ids are this engine's own: windows of a fixed number of cod
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -85,20 +86,70 @@ def parent_child(units: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataF
     return _finished(rows.withColumn("metadata", F.lit("{}")), F.array("unit_id"))
 
 
+#: What `windows_of` makes of a document, and the code points of content that it gives back at once.
+ROWS = "document_id string, chunk_id string, parent_chunk_id string, previous_chunk_id string, next_chunk_id string, sequence int, content string, character_count int, token_count int, unit_id string"
+MOST = 1 << 20
+#: White space as `X.blank` has it; the four controls that Python alone counts among it are letters to a count of words.
+SPACES = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+CONTROLS = dict.fromkeys(range(0x1C, 0x20), "x")
+
+
+def words(text: str) -> int:
+    """Matches of `(?U)\\S+`."""
+    return len((text.translate(CONTROLS) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text).split())
+
+
+def windows_of(document: str | None, unit: str, index: int, text: str, config: ChunkConfig) -> Iterator[tuple]:
+    """A document's parents, each before its children, as ROWS.
+
+    Every window is one slice, so a long text costs no more by the character. A parent has the words of its children, but one
+    less where a cut between two of them is inside a word.
+    """
+    most, size, sequence = config.parent_max, config.child_max, 0
+    begin = "".join(f"{p}:" for p in (document, "parent", index) if p is not None)
+    for at in range(0, len(text), most):
+        content = text[at : at + most]
+        if not content.strip(SPACES):
+            continue
+        parent = hashlib.sha256(f"{begin}{at // most}:{content}".encode()).hexdigest()
+        cut = [(i // size, content[i : i + size]) for i in range(0, len(content), size)]
+        cut = [(i, w, n) for i, w in cut if (n := words(w))]
+        ids = [None, *(hashlib.sha256(f"{parent}:child:{i}:{w}".encode()).hexdigest() for i, w, _ in cut), None]
+        split = sum(content[i - 1] not in SPACES and content[i] not in SPACES for i in range(size, len(content), size))
+        sequence += 1
+        yield document, parent, None, None, None, sequence, content, len(content), sum(n for _, _, n in cut) - split, unit
+        for k, (_, w, n) in enumerate(cut, 1):
+            sequence += 1
+            yield document, ids[k], parent, ids[k - 1], ids[k + 1], sequence, w, len(w), n, unit
+
+
 def parent_child_rows(units: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:
     """`parent_child`'s chunks for documents that have one unit each, a row: they are cut, numbered and linked there, nothing is shuffled."""
-    top = units.withColumn("windows", windows(F.col("content"), config.parent_max))
-    parent_id = lambda w: F.sha2(F.concat_ws(":", "document_id", F.lit("parent"), "unit_index", w["at"], w["content"]), 256)
-    top = top.withColumn("parents", F.transform("windows", lambda w: F.struct(parent_id(w).alias("id"), w["content"].alias("content"), windows(w["content"], config.child_max).alias("windows"))))
-    child_id = lambda p, w: F.sha2(F.concat_ws(":", p["id"], F.lit("child"), w["at"], w["content"]), 256)
-    top = top.withColumn("parents", F.transform("parents", lambda p: p.withField("ids", F.transform(p["windows"], lambda w: child_id(p, w)))))
-    none = F.lit(None).cast("string")
-    fields = lambda *values: F.struct(*(v.alias(n) for n, v in zip(("content", "chunk_id", "parent_chunk_id", "previous_chunk_id", "next_chunk_id", "kind", "level"), values, strict=True)))
-    upper = lambda p: fields(p["content"], p["id"], none, none, none, F.lit("parent"), F.lit(0))
-    lower = lambda p: F.transform(p["windows"], lambda w, i: fields(w["content"], F.get(p["ids"], i), p["id"], F.when(i > 0, F.get(p["ids"], i - 1)), F.get(p["ids"], i + 1), F.lit("child"), F.lit(1)))
-    found = F.flatten(F.transform("parents", lambda p: F.concat(F.array(upper(p)), lower(p))))
-    rows = top.select("document_id", "unit_id", F.posexplode(found).alias("at", "c")).select("document_id", "unit_id", "c.*", (F.col("at") + 1).alias("sequence"))
-    return _finished(rows.withColumn("metadata", F.lit("{}")), F.array("unit_id"))
+    integer, names = {"sequence", "character_count", "token_count"}, [c.split()[0] for c in ROWS.split(", ")]
+    schema = pa.schema([(n, pa.int32() if n in integer else pa.string()) for n in names])
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for b in batches:
+            for document, unit, index, text in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for row in windows_of(document, unit, index, text or "", config):
+                    rows.append(row)
+                    size += row[7]
+                    if size >= MOST:
+                        yield batch(rows)
+                        rows, size = [], 0
+        if rows:
+            yield batch(rows)
+
+    made = in_batches(units.select("document_id", "unit_id", "unit_index", "content"), work, ROWS)
+    parent = F.col("parent_chunk_id").isNull()
+    return made.select(
+        "document_id", "chunk_id", F.when(parent, "parent").otherwise("child").alias("kind"), F.when(parent, 0).otherwise(1).alias("level"), "parent_chunk_id", "previous_chunk_id", "next_chunk_id",
+        "sequence", "content", "character_count", "token_count", F.array("unit_id").alias("source_unit_ids"), F.lit("{}").alias("metadata"),
+    )
 
 
 def _size(texts: list[tuple[str, str]]) -> int:

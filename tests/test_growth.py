@@ -1,5 +1,7 @@
 """What keeps the disk, memory and time of queries in proportion to their input."""
 
+import time
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -31,6 +33,37 @@ def test_chunks_in_rows(spark):
     assert "Exchange" not in plan_of(fast)
 
 
+SPACED = "\t\n\x0b\f\r \x85\xa0\u1680\u180e\u2000\u2005\u200a\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
+
+
+def test_chunks_in_rows_of_odd_texts(spark):
+    """Rare white space, controls, code points beyond the first plane, blank windows, cuts inside words and sizes that don't divide."""
+    rng = np.random.default_rng(3)
+    letters = [*SPACED, *"\x00\x1c\x1d\x1e\x1f\x7faé𝄞:字"]
+    texts = ["".join(rng.choice(letters, n)) for n in (1, 2, 3, 7, 12, 13, 14, 200, 900)]
+    texts += [c * 40 + d + c * 40 for c in " \u3000\x1c" for d in "a\x1f "] + ["\x1c \x1d", "a" * 99, *SPACED]
+    given = U.of_table(documents(spark, [(i if i else None, t, "en", "s") for i, t in enumerate(texts)]))
+    for config in (chunking.ChunkConfig(parent_max=13, child_max=5), chunking.ChunkConfig(parent_max=40, child_max=40), chunking.ChunkConfig(parent_max=20, child_max=1)):
+        slow, fast = chunking.parent_child(U.prepared(given), config), chunking.parent_child_rows(U.prepared_rows(given), config)
+        assert [(f.name, f.dataType) for f in fast.schema] == [(f.name, f.dataType) for f in slow.schema]
+        assert sorted(map(str, slow.collect())) == sorted(map(str, fast.collect()))
+
+
+def test_long_texts_are_cut_in_proportion(spark):
+    """One text of four million characters takes about as long as four hundred of ten thousand; its windows don't each walk all of it."""
+
+    def seconds(n, text):
+        rows = spark.range(n, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit(text[:10]), len(text) // 10).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+        began = time.perf_counter()
+        made = rules.chunk_fields(chunking.parent_child_rows(U.prepared_rows(U.of_table(rows))).withColumn("chunk_set_id", F.col("document_id")))
+        assert made.count() == 0
+        return time.perf_counter() - began
+
+    seconds(400, "ab cdé fgh" * 1000)
+    short, long = seconds(400, "ab cdé fgh" * 1000), seconds(1, "ab cdé fgh" * 400_000)
+    assert long < 3 * short + 2
+
+
 def test_chunks_of_repeated_documents(spark, tmp_path):
     """Rows of one id are still numbered together."""
     rows = documents(spark, [*TEXTS, (7, "z" * 600, "fr", "t"), (None, "p", "fr", "t"), (None, "q", "fr", "t")])
