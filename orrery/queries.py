@@ -288,6 +288,17 @@ def of_one_row(docs: DataFrame) -> bool:
     return docs.groupBy("doc_id").count().filter("count > 1").isEmpty()
 
 
+#: Documents that a task may have by itself, and how many times its even share it may have beyond them.
+ALONE, SHARE = 4096, 2
+
+
+def spread(docs: DataFrame) -> DataFrame:
+    """Documents, dealt by id where few tasks would read most of them, as with a file of one row group. Rows are counted by task, no texts are read for it."""
+    found = docs.groupBy(F.spark_partition_id()).count().agg(F.max("count").alias("most"), F.sum("count").alias("rows")).first()
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(4 * cores, "doc_id") if found.most and found.most > max(ALONE, SHARE * found.rows / cores) else docs
+
+
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return (U.prepared_rows if of_one_row(docs) else U.prepared)(U.of_table(docs))
@@ -297,7 +308,7 @@ def chunks_of(spark: SparkSession, sf_dir: str, sets: DataFrame | None = None) -
     """Chunks of all documents, or of the few whose ids are among `sets` (chunk_set_id)."""
     docs = read(spark, sf_dir, "documents")
     prepare, cut = (U.prepared_rows, chunking.parent_child_rows) if of_one_row(docs) else (U.prepared, chunking.parent_child)
-    given = U.of_table(docs)
+    given = U.of_table(docs if sets is not None else spread(docs))
     if sets is not None:
         given = given.join(F.broadcast(sets.select(F.col("chunk_set_id").alias("document_id")).distinct()), "document_id", "left_semi")
     return cut(prepare(given), CONFIG).withColumn("chunk_set_id", F.col("document_id"))

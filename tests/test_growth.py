@@ -64,6 +64,22 @@ def test_long_texts_are_cut_in_proportion(spark):
     assert long < 3 * short + 2
 
 
+def test_chunks_of_a_file_of_one_row_group(spark, tmp_path, monkeypatch):
+    """Documents that one task would read alone are dealt before they are cut; those in even parts stay where they are."""
+    rows = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("text of "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/one/documents.parquet")
+    rows.repartition(4).write.parquet(f"{tmp_path}/four/documents.parquet")
+    monkeypatch.setattr(queries, "ALONE", 50, raising=False)
+    one, four = queries.chunks_of(spark, f"{tmp_path}/one"), queries.chunks_of(spark, f"{tmp_path}/four")
+    assert one.select(F.spark_partition_id()).distinct().count() > 1
+    assert "Exchange" not in plan_of(four)
+    assert sorted(map(str, one.collect())) == sorted(map(str, four.collect()))
+    monkeypatch.setattr(queries, "ALONE", 400, raising=False)
+    assert "Exchange" not in plan_of(queries.chunks_of(spark, f"{tmp_path}/one"))
+    rows.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert queries.chunks_of(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_chunks_of_repeated_documents(spark, tmp_path):
     """Rows of one id are still numbered together."""
     rows = documents(spark, [*TEXTS, (7, "z" * 600, "fr", "t"), (None, "p", "fr", "t"), (None, "q", "fr", "t")])
